@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The ranked graph is static and every input is read in one batch; there is no
+stream, watermark, window or late-data handling to reproduce. A changing edge
+set is ranked by running ``vertexrank.rank`` again on the new snapshot.
+"""
