@@ -8,10 +8,12 @@ partitions:
   by ``src`` and cached. The state joins them without a shuffle.
 * ``hot_edges`` ``src, dst``: edges of hub sources (out-degree above
   ``hot_threshold``), left spread by ``(src, dst)`` as the dedup shuffle put
-  them. They join a broadcast of the hubs' rank shares. The threshold is at
-  least ``ceil(n_edges / num_partitions)``, so there are at most
-  ``num_partitions`` hubs and the broadcast has a proven bound; a source with a
-  third of all edges becomes a hub and its edges stay spread over every task.
+  them. They join a broadcast of the hubs' rank shares. The default threshold
+  is at least ``ceil(n_edges / num_partitions)``, so there are at most
+  ``num_partitions`` hubs; an explicit threshold is honoured while the counted
+  hubs stay under ``HOT_BROADCAST_MAX_ROWS``. Either way the broadcast has a
+  checked bound, and a source with a third of all edges becomes a hub whose
+  edges stay spread over every task.
 * ``state`` ``vertex, out_degree, is_dangling, is_hot, source_in, rank,
   prev_rank``: one row per iterated vertex, hash-partitioned by ``vertex`` and
   checkpointed.
@@ -116,9 +118,13 @@ def build_layout(
         threshold = 0  # every source counts as a hub: all edges join the broadcast state
         n_hot = n_vertices - stats["n_dangling"]
     else:
-        threshold = max(hot_threshold or MIN_HOT_THRESHOLD, math.ceil(n_edges / n))
+        if hot_threshold is None:
+            # at most num_partitions sources can exceed ceil(n_edges / num_partitions)
+            threshold = max(MIN_HOT_THRESHOLD, math.ceil(n_edges / n))
+        else:
+            threshold = max(1, int(hot_threshold))
         n_hot = deg.where(F.col("out_degree") > threshold).count()
-        if n_hot > HOT_BROADCAST_MAX_ROWS:
+        if n_hot > HOT_BROADCAST_MAX_ROWS:  # keep the broadcast of hub shares bounded
             threshold = max(threshold, math.ceil(n_edges / HOT_BROADCAST_MAX_ROWS))
             n_hot = deg.where(F.col("out_degree") > threshold).count()
 
