@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.topology import degree_table
-from .lineage import cut_lineage, keep
+from .lineage import cut_lineage, keep, release
 
 MIN_HOT_THRESHOLD = 10_000
 HOT_BROADCAST_MAX_ROWS = 1_000_000
@@ -96,14 +96,18 @@ def build_layout(
     partitioning equals the explicit ``repartition`` of the edges.
     """
     n = num_partitions
-    cached: list[DataFrame] = []
-    deg = keep(degree_table(edges), cached)
+    build: list[DataFrame] = []  # caches needed only while building
+    # The clean edges are cached once: the degree table, the hub split and the
+    # repartition by source all read them, so the input is scanned and
+    # de-duplicated a single time.
+    clean = keep(edges.select("src", "dst"), build)
+    deg = keep(degree_table(clean), build)
     stats = _count_stats(deg)
     n_vertices, n_edges = stats["n_vertices"], stats["n_edges"]
     n_sources = stats["n_sources"]
     n_state = n_vertices - n_sources if prune_sources else n_vertices
     if n_vertices == 0:
-        deg.unpersist()
+        release(build)
         return GraphLayout(n, strategy, prune_sources, 0, 0, 0, 0, 0, 0, 0, None, None, None, None)
 
     if strategy == "broadcast" and n_vertices > broadcast_max_vertices:
@@ -128,54 +132,55 @@ def build_layout(
             threshold = max(threshold, math.ceil(n_edges / HOT_BROADCAST_MAX_ROWS))
             n_hot = deg.where(F.col("out_degree") > threshold).count()
 
-    # Per-source facts every edge needs: out-degree and whether it is a source.
+    # Per-source facts: out-degree and whether the source has no in-edge.
     src_facts = deg.select(
         F.col("vertex").alias("src"),
         F.col("out_degree").alias("src_out"),
         (F.col("in_degree") == 0).alias("from_source"),
     )
+    # bounded: n_hot <= num_partitions by default, <= HOT_BROADCAST_MAX_ROWS
+    # always, or <= broadcast_max_vertices for the broadcast strategy
     hubs = src_facts.where(F.col("src_out") > threshold)
 
-    hot_all = cold_all = None
+    cached: list[DataFrame] = []  # caches the loop reads
+    source_parts: list[DataFrame] = []
+
+    def source_messages(df: DataFrame) -> DataFrame:
+        return df.where(F.col("from_source")).select(
+            F.col("dst").alias("vertex"), (F.lit(1.0) / F.col("src_out")).alias("w")
+        )
+
+    hot_edges = None
     if n_hot > 0:
-        # bounded by n_hot <= num_partitions (or HOT_BROADCAST_MAX_ROWS, or the
-        # checked vertex count for the broadcast strategy)
-        hot_all = edges.join(F.broadcast(hubs), "src")
+        hot_all = clean.join(F.broadcast(hubs), "src")
+        hot = hot_all.where(~F.col("from_source")) if prune_sources else hot_all
+        hot_edges = keep(hot.select("src", "dst"), cached)
+        hot_edges.count()
+        if prune_sources:
+            source_parts.append(source_messages(hot_all))
+
+    cold_edges = None
     if strategy == "shuffle":
-        cold = edges
+        cold = clean
         if n_hot > 0:
-            cold = edges.join(F.broadcast(hubs.select("src")), "src", "left_anti")
-        # co-partitioned with deg (both hash(vertex/src, n)): no second exchange
-        cold_all = cold.select("src", "dst").repartition(n, "src").join(src_facts, "src")
-
-    def iterated(df: DataFrame | None) -> DataFrame | None:
-        if df is None:
-            return None
+            cold = clean.join(F.broadcast(hubs.select("src")), "src", "left_anti")
+        cold = cold.repartition(n, "src")
         if prune_sources:
-            df = df.where(~F.col("from_source"))
-        return df.select("src", "dst")
+            # co-partitioned with deg (both hash(src/vertex, n)): no second exchange
+            cold_all = keep(cold.join(src_facts, "src"), build)
+            cold_all.count()
+            clean.unpersist(blocking=False)
+            source_parts.append(source_messages(cold_all))
+            cold = cold_all.where(~F.col("from_source"))
+        cold_edges = keep(cold.select("src", "dst"), cached)
 
     source_in = None
-    if prune_sources:
-        parts = [
-            df.where(F.col("from_source")).select(
-                F.col("dst").alias("vertex"), (F.lit(1.0) / F.col("src_out")).alias("w")
-            )
-            for df in (cold_all, hot_all)
-            if df is not None
-        ]
-        if cold_all is not None:
-            cold_all = keep(cold_all, cached)  # read twice below, computed once
-        msgs = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if source_parts:
+        msgs = source_parts[0]
+        for part in source_parts[1:]:
+            msgs = msgs.unionByName(part)
         source_in = msgs.groupBy("vertex").agg(F.sum("w").alias("source_in"))
 
-    cold_edges = iterated(cold_all)
-    hot_edges = iterated(hot_all)
-    if cold_edges is not None:
-        cold_edges = keep(cold_edges, cached)
-    if hot_edges is not None:
-        hot_edges = keep(hot_edges, cached)
-
     base = deg.where(F.col("in_degree") > 0) if prune_sources else deg
     base = base.select(
         "vertex",
@@ -196,14 +201,9 @@ def build_layout(
     if prune_sources:
         factored = cut_lineage(deg.where(F.col("in_degree") == 0).select("vertex"))
 
-    # Materialise the edge caches now, then drop what only the build needed.
-    for df in (cold_edges, hot_edges):
-        if df is not None:
-            df.count()
-    for df in list(cached):
-        if df is not cold_edges and df is not hot_edges:
-            df.unpersist(blocking=False)
-            cached.remove(df)
+    if cold_edges is not None:
+        cold_edges.count()
+    release(build)
 
     return GraphLayout(
         num_partitions=n,
