@@ -1,8 +1,11 @@
 """The driver loop: run a lazy step, cut its lineage, measure, decide.
 
-Each iteration is one Spark job over the edges plus two small jobs over the
-vertex state (checkpoint write, and one aggregate returning the L1 change and
-the dangling rank together). The driver only ever holds those two numbers.
+Each iteration runs as the checkpoint of the new state. The L1 change and the
+rank held by dangling vertices are collected while that job runs
+(``DataFrame.observe``), so no extra pass over the state is needed; the
+observed row count is checked against the state size, and a separate
+aggregate is run if it ever disagrees. The driver only ever holds those
+numbers.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..plans.lineage import cut_lineage
@@ -31,15 +34,31 @@ class RankResult:
         return order_ranks(self.ranks)
 
 
-def measure_state(state: DataFrame) -> tuple[float, float]:
-    """(L1 change, rank held by dangling vertices) of a state, in one job."""
-    row = state.agg(
+def _measures():
+    return (
         F.coalesce(F.sum(F.abs(F.col("rank") - F.col("prev_rank"))), F.lit(0.0)).alias("delta"),
         F.coalesce(F.sum(F.when(F.col("is_dangling"), F.col("rank"))), F.lit(0.0)).alias("dmass"),
-    ).first()
+        F.count(F.lit(1)).alias("rows"),
+    )
+
+
+def measure_state(state: DataFrame) -> tuple[float, float]:
+    """(L1 change, rank held by dangling vertices) of a state, in one job."""
+    row = state.agg(*_measures()).first()
     return float(row["delta"]), float(row["dmass"])
 
 
+def checkpoint_and_measure(new: DataFrame, expected_rows: int | None) -> tuple[DataFrame, float, float]:
+    """Checkpoint a state and return it with its L1 change and dangling rank."""
+    obs = Observation()
+    state = cut_lineage(new.observe(obs, *_measures()))
+    seen = obs.get
+    if expected_rows is not None and seen.get("rows") == expected_rows:
+        return state, float(seen["delta"]), float(seen["dmass"])
+    delta, dmass = measure_state(state)
+    return state, delta, dmass
+
+
 def iterate(
     state: DataFrame,
     step: Callable[[DataFrame, int, float], DataFrame],
@@ -47,13 +66,15 @@ def iterate(
     tol: float | None,
     max_iter: int | None,
     initial_dangling_rank: float,
+    expected_rows: int | None = None,
     on_iteration: Callable[[int, DataFrame, float], None] | None = None,
 ) -> tuple[DataFrame, int, list[float], list[float]]:
     """Repeat ``step`` until the L1 change is at most ``tol`` or ``max_iter``
     steps ran (whichever first); at least one step always runs.
 
     ``step(state, k, dangling_rank)`` builds iteration ``k`` lazily from the
-    previous state and the rank its dangling vertices held. Returns the final
+    previous state and the rank its dangling vertices held. ``expected_rows``
+    is the state size, used to validate the observed measures. Returns the final
     state, the number of steps, and the L1 change and dangling rank per step.
     """
     if tol is None and max_iter is None:
@@ -64,8 +85,7 @@ def iterate(
     k = 0
     while True:
         k += 1
-        state = cut_lineage(step(state, k, dangling_rank))
-        delta, dangling_rank = measure_state(state)
+        state, delta, dangling_rank = checkpoint_and_measure(step(state, k, dangling_rank), expected_rows)
         deltas.append(delta)
         masses.append(dangling_rank)
         if on_iteration is not None:

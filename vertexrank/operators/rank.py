@@ -140,6 +140,7 @@ def rank(
             tol=tol,
             max_iter=max_iter,
             initial_dangling_rank=initial_rank * layout.n_dangling,
+            expected_rows=layout.n_state,
             on_iteration=on_iteration,
         )
         final = full_ranks(state, source_rank_at(k, masses[-1]))
