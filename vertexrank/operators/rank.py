@@ -37,10 +37,6 @@ from .step import POLICIES, REDISTRIBUTE, layout_step
 STRATEGIES = ("shuffle", "broadcast")
 
 
-def default_partitions(edges: DataFrame) -> int:
-    return int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def rank(
     edges: DataFrame,
     *,
@@ -68,6 +64,7 @@ def rank(
     count is at most ``broadcast_max_vertices`` and gives the same values.
     ``history_path`` (a folder under a shared filesystem) receives every
     iteration's ranks as parquet partitioned by ``iteration``, 0 included.
+    ``num_partitions=None`` sizes the loop's partitions from the edge count.
     """
     if dangling not in POLICIES:
         raise ValueError(f"dangling must be one of {POLICIES}")
@@ -78,19 +75,20 @@ def rank(
     if max_iter is not None and max_iter < 1:
         raise ValueError("max_iter must be at least 1")
     spark = edges.sparkSession
-    n = num_partitions or default_partitions(edges)
     redistribute = dangling == REDISTRIBUTE
     base = 1.0 - damping
 
     # Fixed partition count and no adaptive re-planning inside the loop: the
     # cached edges and the checkpointed state must keep the same hash layout,
-    # which is what lets each step run with a single exchange.
-    loop_conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(n)}
+    # which is what lets each step run with a single exchange. The layout sets
+    # the partition count; both settings are restored on the way out.
+    shuffle_partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    loop_conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": shuffle_partitions}
     with sql_conf(spark, loop_conf):
         clean = normalize_edges(edges, sentinel=None)
         layout = build_layout(
             clean,
-            num_partitions=n,
+            num_partitions=num_partitions,
             prune_sources=prune_sources,
             strategy=strategy,
             initial_rank=initial_rank,

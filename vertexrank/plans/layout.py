@@ -40,6 +40,11 @@ from ..operators.topology import degree_table
 from .lineage import cut_lineage, keep, release
 
 MIN_HOT_THRESHOLD = 10_000
+# Partition sizing when no count is given: no partition below MIN edges (task
+# overhead dominates), none above MAX edges (memory and spill), otherwise the
+# session's spark.sql.shuffle.partitions.
+MIN_EDGES_PER_PARTITION = 10_000
+MAX_EDGES_PER_PARTITION = 8_000_000
 HOT_BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_VERTICES = 2_000_000
 
@@ -79,10 +84,17 @@ def _count_stats(deg: DataFrame) -> dict[str, int]:
     return row.asDict()
 
 
+def choose_partitions(n_edges: int, session_partitions: int) -> int:
+    """Partition count for ``n_edges`` edges (see the MIN/MAX constants)."""
+    small = max(1, math.ceil(n_edges / MIN_EDGES_PER_PARTITION))
+    large = math.ceil(n_edges / MAX_EDGES_PER_PARTITION)
+    return max(1, min(session_partitions, small), large)
+
+
 def build_layout(
     edges: DataFrame,
     *,
-    num_partitions: int,
+    num_partitions: int | None = None,
     prune_sources: bool = False,
     strategy: str = "shuffle",
     initial_rank: float = 1.0,
@@ -91,16 +103,23 @@ def build_layout(
 ) -> GraphLayout:
     """Lay out a clean, distinct edge table for the loop.
 
-    Must run with adaptive execution off and ``spark.sql.shuffle.partitions ==
-    num_partitions`` (``rank`` does this), so that every aggregate's output
-    partitioning equals the explicit ``repartition`` of the edges.
+    Must run inside a settings scope with adaptive execution off (``rank``
+    does this): it sets ``spark.sql.shuffle.partitions`` to the partition
+    count, so that every aggregate's output partitioning equals the explicit
+    ``repartition`` of the edges. ``num_partitions=None`` sizes it from the
+    edge count (:func:`choose_partitions`).
     """
-    n = num_partitions
+    spark = edges.sparkSession
     build: list[DataFrame] = []  # caches needed only while building
     # The clean edges are cached once: the degree table, the hub split and the
     # repartition by source all read them, so the input is scanned and
     # de-duplicated a single time.
     clean = keep(edges.select("src", "dst"), build)
+    if num_partitions is None:
+        session_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        num_partitions = choose_partitions(clean.count(), session_partitions)
+    n = num_partitions
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
     deg = keep(degree_table(clean), build)
     stats = _count_stats(deg)
     n_vertices, n_edges = stats["n_vertices"], stats["n_edges"]
