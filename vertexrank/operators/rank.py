@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.layout import BROADCAST_MAX_VERTICES, build_layout
-from ..plans.lineage import release
+from ..plans.lineage import keep, release
 from ..session import sql_conf
 from ..sources.edges import normalize_edges
 from .loop import RankResult, iterate
@@ -82,12 +82,16 @@ def rank(
     # cached edges and the checkpointed state must keep the same hash layout,
     # which is what lets each step run with a single exchange. The layout sets
     # the partition count; both settings are restored on the way out.
+    # The input plan (scans, joins, de-duplication) runs first, under the
+    # session's own settings, so adaptive skew-join handling still applies to it.
+    clean = keep(normalize_edges(edges, sentinel=None), inputs := [])
+    n_edges = clean.count()
     shuffle_partitions = spark.conf.get("spark.sql.shuffle.partitions")
     loop_conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": shuffle_partitions}
     with sql_conf(spark, loop_conf):
-        clean = normalize_edges(edges, sentinel=None)
         layout = build_layout(
             clean,
+            n_edges=n_edges,
             num_partitions=num_partitions,
             prune_sources=prune_sources,
             strategy=strategy,
@@ -95,6 +99,7 @@ def rank(
             hot_threshold=hot_threshold,
             broadcast_max_vertices=broadcast_max_vertices,
         )
+        release(inputs)
         if layout.is_empty:
             return RankResult(_empty_ranks(clean), 0, [], [])
         n_vertices = float(layout.n_vertices)

@@ -95,6 +95,7 @@ def build_layout(
     edges: DataFrame,
     *,
     num_partitions: int | None = None,
+    n_edges: int | None = None,
     prune_sources: bool = False,
     strategy: str = "shuffle",
     initial_rank: float = 1.0,
@@ -111,13 +112,16 @@ def build_layout(
     """
     spark = edges.sparkSession
     build: list[DataFrame] = []  # caches needed only while building
-    # The clean edges are cached once: the degree table, the hub split and the
-    # repartition by source all read them, so the input is scanned and
-    # de-duplicated a single time.
-    clean = keep(edges.select("src", "dst"), build)
+    # The clean edges are cached once (unless the caller already did): the
+    # degree table, the hub split and the repartition by source all read them,
+    # so the input is scanned and de-duplicated a single time.
+    owner = edges if edges.is_cached else keep(edges, build)
+    clean = owner.select("src", "dst")
     if num_partitions is None:
         session_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        num_partitions = choose_partitions(clean.count(), session_partitions)
+        if n_edges is None:
+            n_edges = clean.count()
+        num_partitions = choose_partitions(n_edges, session_partitions)
     n = num_partitions
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     deg = keep(degree_table(clean), build)
@@ -188,7 +192,7 @@ def build_layout(
             # co-partitioned with deg (both hash(src/vertex, n)): no second exchange
             cold_all = keep(cold.join(src_facts, "src"), build)
             cold_all.count()
-            clean.unpersist(blocking=False)
+            owner.unpersist(blocking=False)  # peak stays at two copies of the edges
             source_parts.append(source_messages(cold_all))
             cold = cold_all.where(~F.col("from_source"))
         cold_edges = keep(cold.select("src", "dst"), cached)
