@@ -8,9 +8,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.succession import successor_pairs
 from .edges import normalize_edges
 
 
@@ -23,16 +24,13 @@ def part_chain_edges(lineitem: DataFrame, returned_only: bool = True) -> DataFra
 
     Lines are ordered by line number, then part and supplier key (the line
     number alone is not unique). Part key 0 is the sentinel and drops out.
+    The "next line" is found without a per-order window, so an order with a
+    huge number of lines is still split across tasks (``successor_pairs``).
     """
-    cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     li = lineitem
     if returned_only:
         li = li.where(F.col("l_returnflag") == "R")
-    li = li.select(*cols)
-    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    pairs = li.select(
-        F.col("l_partkey").alias("src"), F.lead("l_partkey").over(order).alias("dst")
-    )
+    pairs = successor_pairs(li, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], "l_partkey")
     return normalize_edges(pairs, sentinel=0)
 
 
