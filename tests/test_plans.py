@@ -6,7 +6,6 @@ from vertexrank.operators import degree_table, rank
 from vertexrank.operators.step import layout_step
 from vertexrank.plans.inspect import live_plan_lines, plan_text, python_nodes, shuffle_count
 from vertexrank.plans.layout import build_layout
-from vertexrank.plans.lineage import release
 from vertexrank.session import sql_conf
 from vertexrank.sources.graphs import customer_supplier, returned_part_chain
 
@@ -40,7 +39,7 @@ def test_one_shuffle_per_step_and_constant_plan(spark, kw):
             sizes.append(len(live_plan_lines(step)))
             state = step.checkpoint(eager=True)
         assert sizes[0] == sizes[1] == sizes[2]
-        release(layout.cached)
+        layout.close()
 
 
 def test_hub_edges_use_bounded_broadcast(spark):
@@ -50,7 +49,7 @@ def test_hub_edges_use_bounded_broadcast(spark):
         step = layout_step(layout, layout.state, self_loop=True, damping=0.85, mass=0.0, source_rank=None)
         text = "\n".join(live_plan_lines(step))
         assert "BroadcastExchange" in text and "ShuffledHashJoin" in text
-        release(layout.cached)
+        layout.close()
 
 
 def test_default_hub_threshold_bounds_hub_count(spark):
@@ -58,7 +57,7 @@ def test_default_hub_threshold_bounds_hub_count(spark):
         layout = build_layout(customer_supplier(spark, SF001), num_partitions=4)
         assert layout.hot_threshold >= layout.n_edges / 4
         assert layout.n_hot <= 4
-        release(layout.cached)
+        layout.close()
 
 
 def test_graph_scan_prunes_and_pushes_down(spark):

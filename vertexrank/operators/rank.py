@@ -147,7 +147,7 @@ def rank(
             on_iteration=on_iteration,
         )
         final = full_ranks(state, source_rank_at(k, masses[-1]))
-        release(layout.cached)
+        layout.close()
     return RankResult(final, k, deltas, masses)
 
 

@@ -73,6 +73,10 @@ class GraphLayout:
     def is_empty(self) -> bool:
         return self.n_vertices == 0
 
+    def close(self) -> None:
+        """Release the cached edge tables."""
+        release(self.cached)
+
 
 def _count_stats(deg: DataFrame) -> dict[str, int]:
     row = deg.agg(
@@ -228,7 +232,7 @@ def build_layout(
         cold_edges.count()
     release(build)
 
-    return GraphLayout(
+    layout = GraphLayout(
         num_partitions=n,
         strategy=strategy,
         prune_sources=prune_sources,
@@ -245,3 +249,4 @@ def build_layout(
         factored=factored,
         cached=cached,
     )
+    return layout
