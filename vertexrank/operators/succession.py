@@ -81,8 +81,13 @@ def successor_pairs(
     df: DataFrame, group: str, order: list[str], value: str, num_partitions: int | None = None
 ) -> DataFrame:
     """``src, dst``: each row's ``value`` and the next row's, within ``group``
-    in ``(group, *order)`` order (rows tied on every key are interchangeable)."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    in ``(group, *order)`` order (rows tied on every key are interchangeable).
+
+    The range partition count is explicit (adaptive coalescing could group the
+    partitions of the two branches differently); by default it is the input's
+    scan-partition count, which follows the input size.
+    """
+    n = num_partitions or max(1, df.rdd.getNumPartitions())
     keys = [group, *order]
     ordered = (
         df.select(*keys, F.col(value).alias("_v"))

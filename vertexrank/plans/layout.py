@@ -7,8 +7,8 @@ partitions:
 * ``cold_edges`` ``src, dst``: edges whose source is not a hub, hash-partitioned
   by ``src`` and cached. The state joins them without a shuffle.
 * ``hot_edges`` ``src, dst``: edges of hub sources (out-degree above
-  ``hot_threshold``), left spread by ``(src, dst)`` as the dedup shuffle put
-  them. They join a broadcast of the hubs' rank shares. The default threshold
+  ``hot_threshold``), hash-partitioned by ``(src, dst)``, so a hub's edges
+  are spread over every partition. They join a broadcast of the hubs' rank shares. The default threshold
   is at least ``ceil(n_edges / num_partitions)``, so there are at most
   ``num_partitions`` hubs; an explicit threshold is honoured while the counted
   hubs stay under ``HOT_BROADCAST_MAX_ROWS``. Either way the broadcast has a
@@ -128,7 +128,11 @@ def build_layout(
         num_partitions = choose_partitions(n_edges, session_partitions)
     n = num_partitions
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    deg = keep(degree_table(clean), build)
+    # Explicit layout, not inherited: the state that grows out of this table
+    # must be hash-partitioned by vertex into exactly n partitions whatever the
+    # input looks like (a one-partition input would otherwise leave it in one).
+    # One shuffle of one row per vertex, at build time only.
+    deg = keep(degree_table(clean).repartition(n, "vertex"), build)
     stats = _count_stats(deg)
     n_vertices, n_edges = stats["n_vertices"], stats["n_edges"]
     n_sources = stats["n_sources"]
@@ -181,7 +185,8 @@ def build_layout(
     if n_hot > 0:
         hot_all = clean.join(F.broadcast(hubs), "src")
         hot = hot_all.where(~F.col("from_source")) if prune_sources else hot_all
-        hot_edges = keep(hot.select("src", "dst"), cached)
+        # spread over all n partitions by (src, dst): a hub's edges land everywhere
+        hot_edges = keep(hot.select("src", "dst").repartition(n, "src", "dst"), cached)
         hot_edges.count()
         if prune_sources:
             source_parts.append(source_messages(hot_all))
