@@ -68,11 +68,12 @@ def rank_step(
     dangling: str = SELF_LOOP,
     damping: float = 0.85,
 ) -> DataFrame:
-    """New ``vertex, rank`` from the ranks of every vertex, lazily.
+    """New ``vertex, rank`` from the ranks of every vertex.
 
     ``self_loop``: dangling vertices keep their rank via a self-loop.
     ``redistribute``: their rank is spread evenly over all vertices; the
-    one-row mass joins as a broadcast (one row, bounded).
+    dangling mass is computed first (one aggregate returning one number) and
+    enters the plan as a literal. The result is lazy.
     """
     if dangling not in POLICIES:
         raise ValueError(f"dangling must be one of {POLICIES}")
@@ -82,8 +83,8 @@ def rank_step(
     out = ranks.select("vertex", "rank").join(inflow, "vertex", "left")
     new = F.lit(base) + F.lit(damping) * F.coalesce(F.col("inflow"), F.lit(0.0))
     if dangling == REDISTRIBUTE:
-        out = out.crossJoin(F.broadcast(dangling_mass(edges, ranks)))
-        new = new + F.lit(damping) * F.col("dangling_mass")
+        mass = dangling_mass(edges, ranks).first()["dangling_mass"]
+        new = new + F.lit(damping) * F.lit(float(mass or 0.0))
     return out.select("vertex", new.alias("rank"))
 
 
