@@ -198,3 +198,12 @@ def test_invalid_arguments(edges):
         rank(edges(T1), strategy="nope")
     with pytest.raises(ValueError):
         rank(edges(T1), tol=None, max_iter=None)
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_relabelling_ids_permutes_ranks(r_graph, form):
+    relabel = lambda c: F.concat(F.lit("v"), (F.col(c) * 7 + 3).cast("string"))
+    renamed = r_graph.select(relabel("src").alias("src"), relabel("dst").alias("dst"))
+    a = as_dict(rank(r_graph, max_iter=3, **form).ranks)
+    b = as_dict(rank(renamed, max_iter=3, **form).ranks)
+    assert Approx({f"v{k * 7 + 3}": v for k, v in a.items()}, 1e-9) == b

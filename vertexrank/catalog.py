@@ -39,7 +39,7 @@ from .operators import (
     with_positions,
 )
 from .session import scratch_path
-from .sources.edges import edge_line_report, normalize_edges, parse_edge_lines
+from .sources.edges import edge_line_report, normalize_edges, parse_edge_lines, read_edges
 from .sources.graphs import customer_supplier, load_table, part_chain, returned_part_chain
 from .sources.sinks import read_rank_history, read_ranks, write_ranks
 
@@ -49,7 +49,8 @@ K = 10  # fixed iteration count of the fixed-k rank queries
 # sit exactly on a rounding tie, where the last bit of a sum (which depends on
 # summation order) would decide the direction; the offset moves ties away.
 ROUND_OFFSET = 1.23456789e-9
-TOL = 1e-3  # tolerance of the rank_tolerance query
+TOL = 1e-3  # tolerance of the rank_tolerance query (redistribute)
+TOL_SELF_LOOP = 1.0  # tolerance of the rank_tolerance_self_loop query
 HUB_THRESHOLD = 16  # out-degree above which a source is laid out as a hub (hub queries)
 
 GRAPHS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -111,6 +112,16 @@ def q_normalize_edges(spark, sf_dir):
     return normalize_edges(parse_edge_lines(_edge_text_lines(spark, sf_dir)))
 
 
+def q_read_edges_text(spark, sf_dir):
+    """The R graph written as a text edge list (quoted source, plain target, a
+    third field to ignore), then read back with ``read_edges``."""
+    path = scratch_path(spark, "edges-text")
+    q, t = F.lit('"'), F.lit("\t")
+    line = F.concat(q, F.col("src").cast("string"), q, t, F.col("dst").cast("string"), t, F.lit("x"))
+    returned_part_chain(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return read_edges(spark, path)
+
+
 # ------------------------------------------------------------------ graph SQL
 
 _CHAIN_SQL = """SELECT DISTINCT src, dst FROM (
@@ -233,6 +244,11 @@ def q_rank_tolerance(spark, sf_dir):
     return res.ranks.select("vertex", F.lit(res.iterations).cast("long").alias("iterations"), _r6())
 
 
+def q_rank_tolerance_self_loop(spark, sf_dir):
+    res = rank(returned_part_chain(spark, sf_dir), tol=TOL_SELF_LOOP, max_iter=None)
+    return res.ranks.select("vertex", F.lit(res.iterations).cast("long").alias("iterations"), _r6())
+
+
 def _ranks_after_one(spark, sf_dir, policy):
     edges = returned_part_chain(spark, sf_dir)
     return edges, rank(edges, dangling=policy, max_iter=1).ranks
@@ -294,6 +310,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_edge_lines": q_parse_edge_lines,
     "edge_line_report": q_edge_line_report,
     "normalize_edges": q_normalize_edges,
+    "read_edges_text": q_read_edges_text,
     # topology
     "with_out_edges": _topo("R", with_out_edges),
     "with_in_edges": _topo("R", with_in_edges),
@@ -328,6 +345,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rank_redistribute_pruned": _rank_query("R", dangling="redistribute", prune_sources=True, max_iter=K),
     "rank_broadcast": _rank_query("R", strategy="broadcast", max_iter=K),
     "rank_tolerance": q_rank_tolerance,
+    "rank_tolerance_self_loop": q_rank_tolerance_self_loop,
     "rank_self_loop_c": _rank_query("C", max_iter=K),
     "rank_redistribute_c": _rank_query("C", dangling="redistribute", max_iter=K),
     "rank_self_loop_pruned_c": _rank_query("C", prune_sources=True, max_iter=K),
@@ -357,6 +375,9 @@ def _oracle() -> dict[str, str]:
 FROM {_FIELDS_SQL}"""
     sql["normalize_edges"] = f"SELECT DISTINCT src, dst FROM {_PARSED_SQL} WHERE src <> '0' AND dst <> '0'"
 
+    sql["read_edges_text"] = _with_graph(
+        "R", "SELECT CAST(src AS VARCHAR) AS src, CAST(dst AS VARCHAR) AS dst FROM e"
+    )
     sql["with_out_edges"] = _with_graph("R", "SELECT DISTINCT src AS vertex FROM e")
     sql["with_in_edges"] = _with_graph("R", "SELECT DISTINCT dst AS vertex FROM e")
     sql["vertices"] = _with_graph("R", "SELECT v AS vertex FROM v")
@@ -428,6 +449,7 @@ WHERE e.src NOT IN (SELECT dst FROM e) GROUP BY e.dst"""
             sql["rank_redistribute_p"] = rd
             sql["rank_self_loop_hubs_p"] = sl
     sql["rank_tolerance"] = _tolerance_sql("R", "redistribute", TOL)
+    sql["rank_tolerance_self_loop"] = _tolerance_sql("R", "self_loop", TOL_SELF_LOOP, cap=10**9)
 
     sl_r = _plain_rank_cte("R", "self_loop", K)
     sql["order_ranks"] = sl_r + (
