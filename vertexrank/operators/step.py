@@ -100,6 +100,15 @@ def rank_delta(a: DataFrame, b: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- fused loop step
 
 
+def _double(x: float) -> str:
+    """An exact DOUBLE literal for a SQL expression (a bare ``0.85`` would be
+    parsed as DECIMAL)."""
+    return f"double('{float(x)!r}')"
+
+
+SHARE_EXPR = "CASE WHEN out_degree > 0 THEN rank / out_degree END"
+
+
 def layout_step(
     layout: GraphLayout,
     state: DataFrame,
@@ -113,28 +122,32 @@ def layout_step(
 
     ``mass`` is the dangling mass to add (0 for the self-loop policy);
     ``source_rank`` the rank the factored-out sources hold during this step
-    (``None`` when sources are not factored out).
+    (``None`` when sources are not factored out). Expressions are given as SQL
+    strings (``selectExpr``): the loop builds a new plan every iteration, and
+    one string per projection is far fewer driver round trips than a tree of
+    column objects.
     """
-    shares = state.select(F.col("vertex").alias("src"), _share().alias("share"))
+    shares = state.selectExpr("vertex AS src", f"{SHARE_EXPR} AS share")
     parts = []
     if layout.cold_edges is not None:
         parts.append(layout.cold_edges.join(shares.hint("shuffle_hash"), "src"))
     if layout.hot_edges is not None:
         senders = shares if layout.strategy == "broadcast" else (
-            state.where(F.col("is_hot")).select(F.col("vertex").alias("src"), _share().alias("share"))
+            state.where("is_hot").selectExpr("vertex AS src", f"{SHARE_EXPR} AS share")
         )
         parts.append(layout.hot_edges.join(F.broadcast(senders), "src"))
     msgs = parts[0]
     for extra in parts[1:]:
         msgs = msgs.unionByName(extra)
-    inflow = msgs.groupBy(F.col("dst").alias("vertex")).agg(F.sum("share").alias("inflow"))
+    inflow = msgs.groupBy("dst").agg(F.expr("sum(share) AS inflow")).withColumnRenamed("dst", "vertex")
 
-    total = F.coalesce(F.col("inflow"), F.lit(0.0))
+    total = "coalesce(inflow, double('0.0'))"
     if self_loop:
-        total = total + F.when(F.col("is_dangling"), F.col("rank")).otherwise(F.lit(0.0))
+        total += " + CASE WHEN is_dangling THEN rank ELSE double('0.0') END"
     if source_rank is not None:
-        total = total + F.col("source_in") * F.lit(float(source_rank))
-    new_rank = F.lit(1.0 - damping) + F.lit(damping) * F.lit(float(mass)) + F.lit(damping) * total
-    return state.join(inflow.hint("shuffle_hash"), "vertex", "left").select(
-        *STATE_COLUMNS[:5], new_rank.alias("rank"), F.col("rank").alias("prev_rank")
+        total += f" + source_in * {_double(source_rank)}"
+    d = _double(damping)
+    new_rank = f"{_double(1.0 - damping)} + {d} * {_double(mass)} + {d} * ({total})"
+    return state.join(inflow.hint("shuffle_hash"), "vertex", "left").selectExpr(
+        *STATE_COLUMNS[:5], f"{new_rank} AS rank", "rank AS prev_rank"
     )
