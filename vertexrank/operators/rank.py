@@ -84,70 +84,76 @@ def rank(
     # the partition count; both settings are restored on the way out.
     # The input plan (scans, joins, de-duplication) runs first, under the
     # session's own settings, so adaptive skew-join handling still applies to it.
-    clean = keep(normalize_edges(edges, sentinel=None), inputs := [])
-    n_edges = clean.count()
-    shuffle_partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    loop_conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": shuffle_partitions}
-    with sql_conf(spark, loop_conf):
-        layout = build_layout(
-            clean,
-            n_edges=n_edges,
-            num_partitions=num_partitions,
-            prune_sources=prune_sources,
-            strategy=strategy,
-            initial_rank=initial_rank,
-            hot_threshold=hot_threshold,
-            broadcast_max_vertices=broadcast_max_vertices,
-        )
-        release(inputs)
-        if layout.is_empty:
-            return RankResult(_empty_ranks(clean), 0, [], [])
-        n_vertices = float(layout.n_vertices)
-        masses: list[float] = []  # dangling mass m used by each step
-
-        def mass_for(dangling_rank: float) -> float:
-            return dangling_rank / n_vertices if redistribute else 0.0
-
-        def source_rank_at(k: int, m: float) -> float:
-            """Rank the factored-out sources hold after step k (k >= 1)."""
-            return base + damping * m if redistribute else base
-
-        def step(state: DataFrame, k: int, dangling_rank: float) -> DataFrame:
-            m = mass_for(dangling_rank)
-            masses.append(m)
-            src_rank = None
-            if prune_sources:
-                src_rank = initial_rank if k == 1 else source_rank_at(k, m)
-            return layout_step(
-                layout, state, self_loop=not redistribute, damping=damping, mass=m, source_rank=src_rank
+    inputs: list[DataFrame] = []
+    layout = None
+    try:
+        clean = keep(normalize_edges(edges, sentinel=None), inputs)
+        n_edges = clean.count()
+        shuffle_partitions = spark.conf.get("spark.sql.shuffle.partitions")
+        loop_conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": shuffle_partitions}
+        with sql_conf(spark, loop_conf):
+            layout = build_layout(
+                clean,
+                n_edges=n_edges,
+                num_partitions=num_partitions,
+                prune_sources=prune_sources,
+                strategy=strategy,
+                initial_rank=initial_rank,
+                hot_threshold=hot_threshold,
+                broadcast_max_vertices=broadcast_max_vertices,
             )
-
-        def full_ranks(state: DataFrame, source_value: float | None) -> DataFrame:
-            ranks = state.select("vertex", "rank")
-            if layout.factored is not None:
-                ranks = ranks.unionByName(
-                    layout.factored.select("vertex", F.lit(float(source_value)).alias("rank"))
+            release(inputs)
+            if layout.is_empty:
+                return RankResult(_empty_ranks(clean), 0, [], [])
+            n_vertices = float(layout.n_vertices)
+            masses: list[float] = []  # dangling mass m used by each step
+
+            def mass_for(dangling_rank: float) -> float:
+                return dangling_rank / n_vertices if redistribute else 0.0
+
+            def source_rank_at(k: int, m: float) -> float:
+                """Rank the factored-out sources hold after step k (k >= 1)."""
+                return base + damping * m if redistribute else base
+
+            def step(state: DataFrame, k: int, dangling_rank: float) -> DataFrame:
+                m = mass_for(dangling_rank)
+                masses.append(m)
+                src_rank = None
+                if prune_sources:
+                    src_rank = initial_rank if k == 1 else source_rank_at(k, m)
+                return layout_step(
+                    layout, state, self_loop=not redistribute, damping=damping, mass=m, source_rank=src_rank
                 )
-            return ranks
-
-        on_iteration = None
-        if history_path is not None:
-            _write_history(full_ranks(layout.state, initial_rank), 0, history_path)
-
-            def on_iteration(k: int, state: DataFrame, _dangling_rank: float) -> None:
-                _write_history(full_ranks(state, source_rank_at(k, masses[-1])), k, history_path)
-
-        state, k, deltas, _ = iterate(
-            layout.state,
-            step,
-            tol=tol,
-            max_iter=max_iter,
-            initial_dangling_rank=initial_rank * layout.n_dangling,
-            expected_rows=layout.n_state,
-            on_iteration=on_iteration,
-        )
-        final = full_ranks(state, source_rank_at(k, masses[-1]))
-        layout.close()
+
+            def full_ranks(state: DataFrame, source_value: float | None) -> DataFrame:
+                ranks = state.select("vertex", "rank")
+                if layout.factored is not None:
+                    ranks = ranks.unionByName(
+                        layout.factored.select("vertex", F.lit(float(source_value)).alias("rank"))
+                    )
+                return ranks
+
+            on_iteration = None
+            if history_path is not None:
+                _write_history(full_ranks(layout.state, initial_rank), 0, history_path)
+
+                def on_iteration(k: int, state: DataFrame, _dangling_rank: float) -> None:
+                    _write_history(full_ranks(state, source_rank_at(k, masses[-1])), k, history_path)
+
+            state, k, deltas, _ = iterate(
+                layout.state,
+                step,
+                tol=tol,
+                max_iter=max_iter,
+                initial_dangling_rank=initial_rank * layout.n_dangling,
+                expected_rows=layout.n_state,
+                on_iteration=on_iteration,
+            )
+            final = full_ranks(state, source_rank_at(k, masses[-1]))
+    finally:  # caches go whether the loop finished or failed
+        release(inputs)
+        if layout is not None:
+            layout.close()
     return RankResult(final, k, deltas, masses)
 
 
