@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from vertexrank.sources.edges import (
     edge_line_report,
     edges_from_table,
@@ -67,4 +65,3 @@ def test_edges_from_table_keeps_type_and_drops_nulls(spark):
 def test_parse_plan_has_no_python(spark):
     plan = parse_edge_lines(lines_df(spark, T5_LINES))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
-    assert F is not None
