@@ -27,8 +27,10 @@ def build_session(
     conf = {
         "spark.ui.enabled": "false",
         "spark.sql.session.timeZone": "UTC",
-        # checkpoint files of dropped iterations are removed by the context cleaner
+        # checkpoint files of dropped iterations are removed by the context cleaner,
+        # and written compressed (one state per step goes to shared storage)
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.checkpoint.compress": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
