@@ -351,6 +351,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rank_self_loop_pruned_c": _rank_query("C", prune_sources=True, max_iter=K),
     "rank_redistribute_pruned_c": _rank_query("C", dangling="redistribute", prune_sources=True, max_iter=K),
     "rank_redistribute_p": _rank_query("P", dangling="redistribute", max_iter=K),
+    "rank_redistribute_pruned_p": _rank_query("P", dangling="redistribute", prune_sources=True, max_iter=K),
+    "rank_broadcast_pruned_c": _rank_query(
+        "C", dangling="redistribute", prune_sources=True, strategy="broadcast", max_iter=K
+    ),
     "rank_self_loop_hubs_p": _rank_query("P", max_iter=K, hot_threshold=HUB_THRESHOLD),
     "rank_redistribute_pruned_hubs_c": _rank_query(
         "C", dangling="redistribute", prune_sources=True, max_iter=K, hot_threshold=HUB_THRESHOLD
@@ -445,8 +449,10 @@ WHERE e.src NOT IN (SELECT dst FROM e) GROUP BY e.dst"""
             sql["rank_broadcast"] = sl
         if g == "C":
             sql["rank_redistribute_pruned_hubs_c"] = la
+            sql["rank_broadcast_pruned_c"] = la
         if g == "P":
             sql["rank_redistribute_p"] = rd
+            sql["rank_redistribute_pruned_p"] = la
             sql["rank_self_loop_hubs_p"] = sl
     sql["rank_tolerance"] = _tolerance_sql("R", "redistribute", TOL)
     sql["rank_tolerance_self_loop"] = _tolerance_sql("R", "self_loop", TOL_SELF_LOOP, cap=10**9)
