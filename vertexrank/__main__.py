@@ -1,6 +1,6 @@
 """Command line: rank a text edge list and write the ranks.
 
-    spark-submit -m vertexrank INPUT OUTPUT EPS [options]
+    spark-submit --py-files vertexrank.zip vertexrank/__main__.py INPUT OUTPUT EPS [options]
     python -m vertexrank INPUT OUTPUT EPS --master local[8] [options]
 
 INPUT is one or more TAB-separated edge files (``src<TAB>dst``, quotes
@@ -14,10 +14,10 @@ import argparse
 import json
 import time
 
-from .operators.rank import rank
-from .session import build_session
-from .sources.edges import read_edges
-from .sources.sinks import FORMATS, write_ranks
+from vertexrank.operators.rank import rank
+from vertexrank.session import build_session
+from vertexrank.sources.edges import read_edges
+from vertexrank.sources.sinks import FORMATS, write_ranks
 
 
 def main(argv: list[str] | None = None) -> None:
