@@ -1,17 +1,20 @@
-"""From candidate groups to verified components, without all pairs of a group.
+"""From candidate groups to verified components, without pair rows.
 
 ``groups`` holds (key, id): ids that share a key are candidates of each other.
-A group of m near copies would give m*m/2 pairs, so a round compares every
-member with one leader of the group only, the member that shares most with
-others (the original of a family of edited copies). Members that the verified
-links have joined need no further test. What is left - pairs of one group in
-different components - is then enumerated and tested in full, so that no link
-between components is lost.
+A group of m near copies would give m*m/2 pairs. Instead every group elects a
+leader, the member that shares most with others (the original of a family of
+edited copies), and all members of the groups of one leader meet as its
+family: in blocks of bounded size, one task each. There a member is compared
+with the leader, and members that the leader does not link are compared with
+the rest of the family, in whole sets, so every pair that shares a key is
+decided and no link between components is lost. A block returns at most one
+row per member. A family larger than a block is dealt over salts, and every
+two salts meet in a block of their own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,62 +24,125 @@ from pyspark.sql import functions as F
 from .common import cut, shuffle_partitions
 from .components import components
 
-# Rows of one hub compared by one task; hubs with more are spread over salts.
-HUB_ROWS = 2000
+# Text of a family that one salt holds; a task sees two salts at most.
+BLOCK_BYTES = 4 * 1024 * 1024
 
 Sets = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 
-def verify_pairs(pairs: DataFrame, texts: DataFrame, sets: Sets, share: int) -> DataFrame:
-    """Pairs ``x, y`` whose sets have ``100 * |x & y| >= share * |x | y|``.
-
-    ``texts`` is ``id, text`` (one row per id on a pair); ``sets(column)``
-    returns the sorted distinct values of every text and their ranges. The
-    rows of one ``y`` meet in one task (salted above ``HUB_ROWS``) and stream
-    past its set, so a task holds one set and one slice of rows.
-    """
-    n = shuffle_partitions(pairs.sparkSession)
-    salts = pairs.groupBy("y").agg(F.ceil(F.count("*") / HUB_ROWS).cast("int").alias("salts"))
+def _linked(both, a, b, share: int):
+    return 100 * both >= share * (a + b - both)
+
+
+def family_links(hub: int, hub_set: np.ndarray, ids: np.ndarray, sets: list[np.ndarray], filters: list[list[np.ndarray]], share: int):
+    """Links (x, y) that span the components of a family block."""
+    size = np.array([len(s) for s in sets])
+    values = np.concatenate(sets) if sets else hub_set[:0]
+    offsets = np.append(0, np.cumsum(size))[:-1]
+    at = np.searchsorted(hub_set, values)
+    at[at == len(hub_set)] = 0
+    same = np.append(0, np.cumsum(hub_set[at] == values)) if len(hub_set) else np.zeros(len(values) + 1, np.int64)
+    ends = np.append(offsets, len(values))
+    near = _linked(same[ends[1:]] - same[ends[:-1]], size, len(hub_set), share) & (size > 0)
+    out = [(int(x), hub) for x in ids[near] if x != hub]
+    rest = np.flatnonzero(~near)
+    if not len(rest) or len(ids) < 2:
+        return out
+    label = np.where(near, -1, np.arange(len(ids)))
+    lists = []
+    for order in filters:
+        tokens = np.concatenate(order)
+        owner = np.repeat(np.arange(len(order)), [len(o) for o in order])
+        by = np.argsort(tokens, kind="stable")
+        lists.append((tokens[by], owner[by]))
+    codes = None
+    for i in rest.tolist():
+        maybe = (label != label[i]) & (100 * np.minimum(size, size[i]) >= share * np.maximum(size, size[i]))
+        for (tokens, owner), order in zip(lists, filters, strict=True):
+            if not maybe.any():
+                break
+            hit = np.zeros(len(ids), bool)
+            lo, hi = np.searchsorted(tokens, order[i], "left"), np.searchsorted(tokens, order[i], "right")
+            for a, b in zip(lo.tolist(), hi.tolist(), strict=True):
+                hit[owner[a:b]] = True
+            maybe &= hit
+        found = np.flatnonzero(maybe)
+        if not len(found):
+            continue
+        if len(found) <= 8:
+            both = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for j in found.tolist()])
+        else:
+            if codes is None:
+                codes = np.unique(values, return_inverse=True)[1]
+                flag = np.zeros(len(values) + 1, bool)
+            own = codes[offsets[i] : offsets[i] + size[i]]
+            flag[own] = True
+            total = np.zeros(len(values) + 1, np.int32)
+            np.cumsum(flag[codes], out=total[1:])
+            flag[own] = False
+            both = (total[ends[1:]] - total[ends[:-1]])[found]
+        for j in found[_linked(both, size[i], size[found], share)].tolist():
+            if label[j] != label[i]:
+                out.append((int(ids[i]), int(ids[j])))
+                label[label == label[i]] = label[j]
+    return out
+
+
+def verify_families(tried: DataFrame, rows: DataFrame, sets: Sets, share: int, filters: Sequence[str]) -> DataFrame:
+    """Verified links ``a, b`` within the families ``x, y`` (member, leader).
+
+    ``rows``: ``id, text, filters...`` (materialised, one row per id)."""
+    n = shuffle_partitions(tried.sparkSession)
+    weight = rows.select(F.col("id").alias("x"), F.octet_length("text").alias("w"))
+    salts = cut(tried.join(weight, "x").groupBy("y").agg(F.ceil(F.sum("w") / BLOCK_BYTES).cast("int").alias("salts")))
+    salts = salts.select("y", F.greatest("salts", F.lit(1)).alias("salts"))
+    every = F.sequence(F.lit(0), F.col("salts") - 1)
     hubs = (
-        salts.join(texts.withColumnRenamed("id", "y"), "y")
-        .select("y", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("x"), "text")
+        salts.join(rows.withColumnRenamed("id", "y"), "y")
+        .select("y", "salts", F.explode(every).alias("lo"), "text", *filters)
+        .select("y", "lo", F.explode(F.sequence("lo", F.col("salts") - 1)).alias("hi"), F.lit(None).cast("long").alias("x"), "text", *filters)
     )
-    rows = (
-        pairs.join(salts, "y")
-        .join(texts.withColumnRenamed("id", "x"), "x")
-        .select("y", F.pmod(F.xxhash64("x"), F.col("salts")).cast("int").alias("salt"), "x", "text")
+    own = F.pmod(F.xxhash64("x"), F.col("salts")).cast("int")
+    members = (
+        tried.join(salts, "y")
+        .join(rows.withColumnRenamed("id", "x"), "x")
+        .select("y", "x", own.alias("own"), F.explode(every).alias("other"), "text", *filters)
+        .select("y", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "x", "text", *filters)
     )
-    dealt = hubs.unionByName(rows).repartition(n, "y", "salt").sortWithinPartitions("y", "salt", F.col("x").asc_nulls_first())
+    dealt = hubs.unionByName(members).repartition(n, "y", "lo", "hi").sortWithinPartitions("y", "lo", "hi", F.col("x").asc_nulls_first())
 
     def run(batches):
-        hub, hub_set = None, None
+        key, block = None, None
+
+        def finish():
+            links = family_links(key[0], block["hub"], np.array(block["ids"], np.int64), block["sets"], block["filters"], share) if block["ids"] else []
+            return pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in links], pa.int64()), "b": pa.array([p[1] for p in links], pa.int64())})
+
         for batch in batches:
             step = max(1, int(len(batch) * 2_000_000 / max(batch.column("text").nbytes, 1)))
             for at in range(0, len(batch), step):
                 part = batch.slice(at, step)
                 values, ranges = sets(part.column("text"))
-                ys = part.column("y").to_pylist()
+                keys = list(zip(*[part.column(c).to_pylist() for c in ("y", "lo", "hi")], strict=True))
                 xs = part.column("x").to_pylist()
-                out_x, out_y = [], []
-                for i, (x, y) in enumerate(zip(xs, ys, strict=True)):
-                    own = values[ranges[i] : ranges[i + 1]]
+                extra = [part.column(c) for c in filters]
+                for i, x in enumerate(xs):
+                    if keys[i] != key:
+                        if key is not None:
+                            yield finish()
+                        key, block = keys[i], {"hub": values[:0], "ids": [], "sets": [], "filters": [[] for _ in filters]}
+                    held = values[ranges[i] : ranges[i + 1]].copy()
                     if x is None:
-                        hub, hub_set = y, own.copy()
-                        continue
-                    if hub != y or not len(own) or not len(hub_set):
-                        continue
-                    # lengths alone rule out most unlike pairs
-                    if 100 * min(len(own), len(hub_set)) < share * max(len(own), len(hub_set)):
+                        block["hub"] = held
                         continue
-                    at_hub = np.searchsorted(hub_set, own)
-                    at_hub[at_hub == len(hub_set)] = 0
-                    both = int((hub_set[at_hub] == own).sum())
-                    if 100 * both >= share * (len(own) + len(hub_set) - both):
-                        out_x.append(x)
-                        out_y.append(y)
-                yield pa.RecordBatch.from_pydict({"x": pa.array(out_x, pa.int64()), "y": pa.array(out_y, pa.int64())})
+                    block["ids"].append(x)
+                    block["sets"].append(held)
+                    for k, column in enumerate(extra):
+                        block["filters"][k].append(column[i].values.to_numpy(zero_copy_only=False).copy())
+        if key is not None:
+            yield finish()
 
-    return dealt.mapInArrow(run, "x long, y long")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def link_groups(
@@ -84,35 +150,25 @@ def link_groups(
     texts_of: Callable[[DataFrame], DataFrame],
     sets: Sets,
     share: int,
-    keep: Callable[[DataFrame], DataFrame] | None = None,
+    filters: DataFrame | None = None,
 ) -> DataFrame:
-    """``id, component, links`` of every id with a verified link.
+    """``id, component`` of every id with a verified link.
 
-    ``groups``: ``key, id`` (distinct; groups of one allowed). ``texts_of(ids)``
-    returns ``id, text`` for a table of ids. ``keep(pairs)`` is a further
-    necessary condition applied to pairs ``x, y`` before they are verified.
+    ``groups``: ``key, id`` (distinct, materialised; groups of one allowed).
+    ``texts_of(ids)`` returns ``id, text`` for a table of ids. ``filters``:
+    ``id`` and array columns; two ids can link only if they share a value in
+    every one of these columns.
     """
-    keep = keep or (lambda pairs: pairs)
     sizes = groups.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     groups = cut(groups.join(sizes, "key").select("key", "id", "size"))
     centre = groups.groupBy("id").agg(F.sum("size").alias("centre"))
     led = cut(groups.join(centre, "id").groupBy("key").agg(F.max(F.struct("centre", (-F.col("id")).alias("m"))).alias("top")))
     led = led.select("key", (-F.col("top.m")).alias("y"))
-    tried = cut(keep(groups.join(led, "key").where("id <> y").select(F.col("id").alias("x"), "y").distinct()))
-    ids = tried.select(F.col("x").alias("id")).unionByName(tried.select(F.col("y").alias("id"))).distinct()
-    links = cut(verify_pairs(tried, texts_of(ids), sets, share))
-
-    joined = components(links.toDF("a", "b"))
-    member = groups.join(joined, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    open_keys = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    member = cut(member.join(open_keys, "key"))
-    left = member.select("key", F.col("id").alias("x"), F.col("component").alias("cx"))
-    right = member.select("key", F.col("id").alias("y"), F.col("component").alias("cy"))
-    rest = left.join(right, "key").where("cx < cy").select("x", "y").distinct()
-    rest = rest.join(tried, ["x", "y"], "left_anti").join(tried.toDF("y", "x"), ["x", "y"], "left_anti")
-    rest = cut(keep(rest))
-    if not rest.isEmpty():
-        ids = rest.select(F.col("x").alias("id")).unionByName(rest.select(F.col("y").alias("id"))).distinct()
-        links = cut(links.unionByName(verify_pairs(rest, texts_of(ids), sets, share)))
-        joined = components(links.toDF("a", "b"))
-    return joined
+    tried = cut(groups.join(led, "key").where("id <> y").select(F.col("id").alias("x"), "y").distinct())
+    rows = texts_of(groups.select("id").distinct())
+    names: list[str] = []
+    if filters is not None:
+        names = [c for c in filters.columns if c != "id"]
+        rows = rows.join(filters, "id")
+    links = cut(verify_families(tried, rows, sets, share, names))
+    return components(links)

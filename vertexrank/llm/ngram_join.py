@@ -13,9 +13,9 @@ Here that must hold under several orders at once:
   dropped, since no other text can share them, but keep their place in every
   prefix. Most texts without a near copy have prefixes of singles only, and
   leave the join here;
-* shingles in a prefix of the first order propose pairs; a pair stays if its
-  prefixes also intersect under all other orders; survivors are verified on
-  the whole sets (see ``linking``).
+* texts that share a shingle of their prefixes in the first order meet in
+  families (see ``linking``); a pair is a candidate if its prefixes intersect
+  under every order; candidates are verified on the whole sets.
 
 Texts with equal sets are one node (a 64-bit fingerprint of the set), so
 copies are never expanded into pairs. Shingles are compared by 64-bit hashes.
@@ -119,15 +119,7 @@ def ngram_components(docs: DataFrame, n: int = 4, share: int = 85, orders: int =
             far = F.when(p > F.col("counted"), F.col("high")).otherwise(F.array().cast("array<bigint>"))
             prefixes.append(F.concat(near, far).alias(f"p{k}"))
         held = cut(held.select(F.col("node").alias("id"), "n", *prefixes).where(F.size("p0") > 0))
-        groups = held.select(F.explode("p0").alias("key"), "id")
-
-        def keep(pairs: DataFrame) -> DataFrame:
-            side = lambda c: held.select(F.col("id").alias(c), *[F.col(x).alias(f"{x}{c}") for x in ("n", *(f"p{k}" for k in range(1, orders)))])
-            out = pairs.join(side("x"), "x").join(side("y"), "y")
-            out = out.where(100 * F.least("nx", "ny") >= share * F.greatest("nx", "ny"))
-            for k in range(1, orders):
-                out = out.where(F.arrays_overlap(f"p{k}x", f"p{k}y"))
-            return out.select("x", "y")
+        groups = cut(held.select(F.explode("p0").alias("key"), "id"))
 
         def texts_of(ids: DataFrame) -> DataFrame:
             ids = cut(ids)
@@ -136,7 +128,7 @@ def ngram_components(docs: DataFrame, n: int = 4, share: int = 85, orders: int =
             found = arrow_map(rows, "text", _node_texts(n), "id long, text string").join(ids, "id", "left_semi")
             return cut(found.groupBy("id").agg(F.first("text").alias("text")))
 
-        joined = link_groups(groups, texts_of, _sets(n), share, keep)
+        joined = link_groups(groups, texts_of, _sets(n), share, held.drop("n"))
         of_node = nodes.select("node", "doc_id").join(joined, nodes["node"] == joined["id"], "left")
         of_node = of_node.select("node", "doc_id", F.coalesce("component", "node").alias("component"))
         least = of_node.groupBy("component").agg(F.min("doc_id").alias("component_id"))
