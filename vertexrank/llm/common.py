@@ -3,8 +3,9 @@ lineage, size-checked joins and bounded slices of Arrow batches."""
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +35,61 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(folder)
 
 
+_SCOPES: list[list[str]] = []
+
+
+def _drop(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that ``cut`` writes inside are removed at the end, but for those
+    passed to ``final``."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        _drop(spark, _SCOPES.pop())
+
+
+@contextmanager
+def released(*frames: DataFrame):
+    """Unpersist cached frames at the end."""
+    try:
+        yield
+    finally:
+        for df in frames:
+            df.unpersist()
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and continue from its reliable checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once, into a Parquet table in the shared checkpoint folder,
+    and continue from that table: lineage ends there, a lost executor costs a
+    re-read, and later plans see its true size (a checkpointed plan keeps the
+    estimates it was made from, which multiply with every round of joins)."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def final(df: DataFrame) -> DataFrame:
+    """``cut`` for a result that outlives the innermost ``scratch``."""
+    scope = _SCOPES.pop() if _SCOPES else None
+    try:
+        return cut(df)
+    finally:
+        if scope is not None:
+            _SCOPES.append(scope)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -103,7 +155,3 @@ def arrow_map(
 def list_of(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
     """Arrow list column from flat values and offsets (n + 1)."""
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32), pa.int32()), pa.array(values, kind))
-
-
-def env_flag(name: str) -> bool:
-    return os.environ.get(name, "") not in ("", "0")

@@ -4,9 +4,9 @@ Alternates two star operations over the edge table until it is a forest of
 stars (Kiveris et al., "Connected components in MapReduce and beyond"): the
 large star links every larger neighbour of a vertex to the smallest
 neighbour, the small star does so for the smaller neighbours. Every step is a
-partial aggregate and an equi-join; the table of each round is checkpointed,
-so a lost executor costs one round and both join sides are plain scans that
-adaptive execution can split at a hub.
+partial aggregate and an equi-join; the table of each round is written to
+the shared folder, so a lost executor costs one round and both join sides are
+plain scans that adaptive execution can split at a hub.
 """
 
 from __future__ import annotations

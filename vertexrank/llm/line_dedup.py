@@ -28,7 +28,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, join_checked, list_of, utf8
+from .common import arrow_map, cut, final, join_checked, list_of, released, scratch, utf8
 from .hashing import U, as_long, characters, distinct_sets, mix, range_sums, span_hashes
 from .linking import link_groups
 
@@ -168,7 +168,7 @@ def line_families(docs: DataFrame, share: int = 80) -> DataFrame:
     docs = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
     lines = arrow_map(docs, "text", _profile, "doc_id long, pos int, h1 long, h2 long, bands array<bigint>")
     lines = lines.where("h1 is not null").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with scratch(docs.sparkSession), released(lines):
         banded = lines.select(F.col("h1").alias("id"), F.explode("bands").alias("key"))
         met = cut(banded.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key"))
         groups = cut(banded.join(met, "key").select("key", "id").distinct())
@@ -190,9 +190,7 @@ def line_families(docs: DataFrame, share: int = 80) -> DataFrame:
         spot = F.struct("doc_id", "pos")
         families = cut(tagged.groupBy("f1", "f2").agg(F.min(spot).alias("top"), F.max(spot).alias("end")).where("top < end").select("f1", "f2", "top"))
         gone = tagged.join(families, ["f1", "f2"]).where(F.struct("doc_id", "pos") > F.col("top"))
-        return cut(gone.select("doc_id", "pos").distinct())
-    finally:
-        lines.unpersist()
+        return final(gone.select("doc_id", "pos").distinct())
 
 
 def dedup_lines(docs: DataFrame, share: int = 80) -> DataFrame:

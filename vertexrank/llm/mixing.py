@@ -34,7 +34,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_MAX_BYTES, cut, shuffle_partitions
+from .common import BROADCAST_MAX_BYTES, cut, final, scratch, shuffle_partitions
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -164,23 +164,24 @@ def _fill(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return at.select("source", "limit", "used")
 
 
-def _copies(share: float, cap: int, passes: int) -> tuple[Column, Column]:
-    """Copies after ``passes`` filling passes, and the order of the next pass."""
-    rate = _rate(share, cap)
-    floor = F.floor(rate + 1e-12).cast("int")
-    part = rate - floor
-    h = F.pmod(F.xxhash64("doc_id", "size"), F.lit(1 << 52)) / float(1 << 52)
-    turn = h / F.greatest(part, F.lit(1e-12))
+def _with_copies(rows: DataFrame, share: float, cap: int, passes: int) -> DataFrame:
+    """``rows`` (joined with the parameters) plus ``rate``, ``copies`` after
+    ``passes`` filling passes, and ``o``, the order of the next pass."""
     top = float(1 << ORDER_BITS)
-    first = F.floor(turn / (1 + turn) * top).cast("long")
-    later = F.floor(h * top).cast("long")
-    copies = floor
+    rate = F.col("rate")
+    rows = rows.withColumn("rate", _rate(share, cap))
+    rows = rows.withColumn("h", F.pmod(F.xxhash64("doc_id", "size"), F.lit(1 << 52)) / float(1 << 52))
+    rows = rows.withColumn("copies", F.floor(rate + 1e-12).cast("int"))
+    rows = rows.withColumn("turn", F.col("h") / F.greatest(rate - F.col("copies"), F.lit(1e-12)))
+    rows = rows.withColumn("o", F.floor(F.col("turn") / (1 + F.col("turn")) * top).cast("long"))
     for k in range(passes):
-        may = (F.col("size") > 0) & (copies < cap)
+        may = (F.col("size") > 0) & (F.col("copies") < cap) & (F.col("o") < F.col(f"limit{k}"))
         if k:
             may = may & (F.col("size") <= F.col(f"left{k}"))
-        copies = F.when(may & ((first if k == 0 else later) < F.col(f"limit{k}")), copies + 1).otherwise(copies)
-    return copies, (first if passes == 0 else later)
+        rows = rows.withColumn("copies", F.col("copies") + may.cast("int"))
+        if k == 0:
+            rows = rows.withColumn("o", F.floor(F.col("h") * top).cast("long"))
+    return rows.drop("h", "turn")
 
 
 def mix_parameters(sized: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, cap: int = CAP, passes: int = 3) -> DataFrame:
@@ -188,17 +189,18 @@ def mix_parameters(sized: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
     is ``doc_id, source, size`` (materialised)."""
     params = balance(sized, source_targets(sized, weights, share, cap), share, cap)
     for k in range(passes):
-        copies, order = _copies(share, cap, k)
-        rows = _join(sized, params).withColumn("copies", copies).withColumn("o", order)
+        rows = cut(_with_copies(_join(sized, params), share, cap, k).select("source", "size", "copies", "o"))
         got = rows.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("got")).withColumnRenamed("source", "__t")
-        left = params.join(got, F.col("source").eqNullSafe(F.col("__t")), "left").withColumn(
-            f"left{k}", F.greatest(F.lit(0.0), F.col("target") - F.coalesce("got", F.lit(0)))
-        ).drop("__t", "got")
-        params = cut(left)
+        params = cut(
+            params.join(got, F.col("source").eqNullSafe(F.col("__t")), "left")
+            .withColumn(f"left{k}", F.greatest(F.lit(0.0), F.col("target") - F.coalesce("got", F.lit(0))))
+            .drop("__t", "got")
+        )
+        budgets = params.select("source", F.col(f"left{k}").alias("budget"))
         fit = rows.where(f"copies < {cap} and size > 0").select("source", "o", "size")
         if k:
-            fit = _join(fit, params.select("source", f"left{k}")).where(F.col("size") <= F.col(f"left{k}")).drop(f"left{k}")
-        limits = _fill(fit, params.select("source", F.col(f"left{k}").alias("budget"))).select(F.col("source").alias("__t"), F.col("limit").alias(f"limit{k}"))
+            fit = _join(fit, budgets).where("size <= budget").drop("budget")
+        limits = _fill(fit, budgets).select(F.col("source").alias("__t"), F.col("limit").alias(f"limit{k}"))
         params = cut(params.join(limits, F.col("source").eqNullSafe(F.col("__t")), "left").drop("__t"))
     return params
 
@@ -206,15 +208,14 @@ def mix_parameters(sized: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
 def apply_mix(rows: DataFrame, params: DataFrame, share: float = SHARE, cap: int = CAP, passes: int = 3) -> DataFrame:
     """``rows`` (with ``doc_id, source, size``) plus ``source_size, target, rate,
     copies, taken``."""
-    copies, _ = _copies(share, cap, passes)
-    out = _join(rows, params).withColumn("rate", _rate(share, cap)).withColumn("copies", copies)
-    return out.withColumn("taken", (F.col("copies") * F.col("size")).cast("long")).select(
-        *rows.columns, "source_size", "target", "rate", "copies", "taken"
-    )
+    out = _with_copies(_join(rows, params), share, cap, passes)
+    out = out.withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
+    return out.select(*rows.columns, "source_size", "target", "rate", "copies", "taken")
 
 
 def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
     """The mix as a recipe: ``doc_id, source, size, source_size, target, rate,
     copies, taken`` of every row of ``docs``."""
-    sized = cut(docs.select("doc_id", "source", n_words().alias("size")))
-    return apply_mix(sized, mix_parameters(sized, weights, share, cap), share, cap)
+    with scratch(docs.sparkSession):
+        sized = cut(docs.select("doc_id", "source", n_words().alias("size")))
+        return final(apply_mix(sized, mix_parameters(sized, weights, share, cap), share, cap))

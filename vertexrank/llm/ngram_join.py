@@ -35,7 +35,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, join_checked, list_of, utf8
+from .common import arrow_map, cut, final, join_checked, list_of, released, scratch, utf8
 from .hashing import U, as_long, distinct_sets, mix, range_sums, shingles
 from .linking import link_groups
 
@@ -94,11 +94,11 @@ def ngram_components(docs: DataFrame, n: int = 4, share: int = 85, orders: int =
     profile = arrow_map(
         docs, "text", _profile(n, share), "doc_id long, n long, node long, counted int, tokens array<bigint>"
     ).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        first = profile.where("node is not null").groupBy("node").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counted").alias("counted"), F.first("tokens").alias("tokens")
-        )
-        nodes = first.persist(StorageLevel.MEMORY_AND_DISK)
+    first = profile.where("node is not null").groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counted").alias("counted"), F.first("tokens").alias("tokens")
+    )
+    nodes = first.persist(StorageLevel.MEMORY_AND_DISK)
+    with scratch(docs.sparkSession), released(profile, nodes):
         entry = nodes.select("node", "counted", F.posexplode("tokens").alias("pos", "token"))
         shared = cut(entry.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"))
         hits = entry.join(shared, "token").select("node", (F.col("pos") < F.col("counted")).alias("low"), "token", "df")
@@ -135,6 +135,4 @@ def ngram_components(docs: DataFrame, n: int = 4, share: int = 85, orders: int =
         of_node = cut(of_node.join(least, "component").select("node", "component_id"))
         own = profile.select("doc_id", F.col("n").alias("n_shingles"), "node")
         out = own.join(of_node, "node", "left")
-        return cut(out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
-    finally:
-        profile.unpersist()
+        return final(out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))

@@ -5,9 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read_table
+from .decontaminate import find_leaks
+from .line_dedup import dedup_lines
+from .mixing import mix_documents
 from .ngram_join import ngram_components
+from .quality import quality
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines before, lines removed, and the text that stays."""
+    return dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +37,42 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op5_mix_sources": op5_mix_sources,
+    "op6_quality_classifier": op6_quality_classifier,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
+_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
+
+
+def _shingles(table: str, key: str, n: int) -> str:
+    """Distinct n-word shingles of a table as (key, s)."""
+    return f"""
+SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= {n}
+    THEN list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i:i + {n - 1}], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+FROM (SELECT {key}, {_WORDS} AS w FROM {table} WHERE text IS NOT NULL)"""
+
+
 # DuckDB SQL of the queries that SQL can express on whole tables
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_benchmark_decontamination": f"""
+WITH d AS ({_shingles("documents", "doc_id", 5)}),
+b AS ({_shingles("benchmark", "item_id", 5)}),
+n AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id)
+SELECT d.doc_id, b.item_id, n.n_item, count(*) AS n_shared, count(*) / n.n_item AS containment
+FROM d JOIN b USING (s) JOIN n USING (item_id)
+GROUP BY d.doc_id, b.item_id, n.n_item HAVING 100 * count(*) >= 80 * n.n_item""",
+    "op10_ngram_jaccard_join": f"""
+WITH RECURSIVE d AS MATERIALIZED ({_shingles("documents", "doc_id", 4)}),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+l AS MATERIALIZED (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM d x JOIN d y USING (s) JOIN n p ON p.doc_id = x.doc_id JOIN n q ON q.doc_id = y.doc_id
+  WHERE x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id, p.n, q.n
+  HAVING 100 * count(*) >= 85 * (p.n + q.n - count(*))),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM r GROUP BY a) USING (doc_id)""",
+}

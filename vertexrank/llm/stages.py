@@ -1,6 +1,9 @@
 """Stages of the corpus pipeline: ``(spark, docs, sf_dir) -> DataFrame``.
 
-All but the last return the columns of ``docs``.
+All but the last return the columns of ``docs``. Rows with a null ``doc_id``
+pass the stages that decide by id; a row repeated with one ``doc_id`` shares
+its decisions; null and empty texts pass unless the classifier rejects them;
+further columns are kept.
 """
 
 from __future__ import annotations
@@ -8,28 +11,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_checked, cut
+from . import decontaminate as leaks
+from .common import cut, join_checked, read_table
+from .line_dedup import dedup_lines
+from .mixing import apply_mix, mix_parameters, n_words
 from .ngram_join import ngram_components
+from .quality import fit, score_documents
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents that the classifier rejects go."""
+    model = fit(docs, read_table(spark, sf_dir, "labels"))
+    return score_documents(docs, model).where("predicted = 1").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Of every family of like lines one stays; documents left without text go."""
+    cleaned = dedup_lines(docs)
+    return cleaned.where("n_removed = 0 or trim(text) <> ''").select(*docs.columns)
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id."""
+    """One document of each group of near copies stays, that with the smallest id."""
     found = ngram_components(docs, n=5, share=80)
     gone = cut(found.where("doc_id <> component_id").select("doc_id").distinct())
     return join_checked(docs, gone, "doc_id", "left_anti", 16)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents that hold a benchmark item go."""
+    return leaks.drop_leaks(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents in the mix, with their number of ``copies`` (1 or 2) and the
+    sizes and targets behind it."""
+    sized = cut(docs.select("doc_id", "source", n_words().alias("size")))
+    mixed = apply_mix(docs.withColumn("size", n_words()), mix_parameters(sized))
+    return mixed.where("copies > 0 or size = 0")
