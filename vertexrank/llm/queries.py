@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import neighbours
 from .common import read_table
 from .decontaminate import find_leaks
 from .line_dedup import dedup_lines
 from .mixing import mix_documents
 from .ngram_join import ngram_components
+from .preference import format_preferences, neighbour_pairs
 from .quality import quality
+from .secrets import find_secrets
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +23,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table marks no preference; conversation 2k is taken as chosen and
+    2k + 1 as rejected."""
+    return format_preferences(neighbour_pairs(read_table(spark, sf_dir, "conversations")))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -32,15 +41,26 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(read_table(spark, sf_dir, "documents"))
+
+
+def op9_multi_index_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(read_table(spark, sf_dir, "documents"), n=4, share=85)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_preference_formatting": op2_preference_formatting,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_mix_sources": op5_mix_sources,
     "op6_quality_classifier": op6_quality_classifier,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_multi_index_neighbours": op9_multi_index_neighbours,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
@@ -58,6 +78,37 @@ FROM (SELECT {key}, {_WORDS} AS w FROM {table} WHERE text IS NOT NULL)"""
 
 # DuckDB SQL of the queries that SQL can express on whole tables
 ORACLE_SQL: dict[str, str] = {
+    "op2_preference_formatting": """
+WITH t AS (
+  SELECT conv_id // 2 AS pair_id, conv_id % 2 = 0 AS yes, conv_id, coalesce(turn, -(1::BIGINT << 62)) AS turn,
+         replace(coalesce(role, ''), '<|', '< |') AS role, replace(coalesce(text, ''), '<|', '< |') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+e AS (
+  SELECT pair_id, turn, coalesce(list(role || chr(0) || text ORDER BY role, text) FILTER (yes), []) AS y,
+         coalesce(list(role || chr(0) || text ORDER BY role, text) FILTER (NOT yes), []) AS n
+  FROM t GROUP BY pair_id, turn),
+f AS (SELECT pair_id, min(turn) FILTER (y <> n) AS first FROM e GROUP BY pair_id),
+p AS (
+  SELECT t.pair_id, CASE WHEN first IS NULL OR turn < first THEN 'prompt' WHEN yes THEN 'chosen' ELSE 'rejected' END AS part,
+         turn, role, text, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS shown
+  FROM t JOIN f USING (pair_id) WHERE yes OR turn >= first),
+q AS (
+  SELECT *, row_number() OVER w AS k, coalesce(sum(length(shown)) OVER (PARTITION BY pair_id, part ORDER BY turn, role, text
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+  FROM p WINDOW w AS (PARTITION BY pair_id, part ORDER BY turn, role, text)),
+g AS (
+  SELECT pair_id, part, count(*) AS n, string_agg(shown, '' ORDER BY k) AS shown,
+         coalesce(string_agg((pos + length(role) + 5)::BIGINT || ':' || (pos + length(shown))::BIGINT, ',' ORDER BY k) FILTER (role = 'assistant'), '') AS mask
+  FROM q GROUP BY pair_id, part),
+i AS (SELECT pair_id, min(conv_id) FILTER (yes) AS chosen_id, min(conv_id) FILTER (NOT yes) AS rejected_id FROM t GROUP BY pair_id)
+SELECT i.pair_id, chosen_id, rejected_id, coalesce(a.n, 0) AS n_prompt, coalesce(b.n, 0) AS n_chosen, coalesce(c.n, 0) AS n_rejected,
+       coalesce(a.shown, '') AS prompt,
+       CASE WHEN chosen_id IS NOT NULL THEN coalesce(b.shown, '') END AS chosen,
+       CASE WHEN rejected_id IS NOT NULL THEN coalesce(c.shown, '') END AS rejected,
+       CASE WHEN chosen_id IS NOT NULL THEN coalesce(b.mask, '') END AS chosen_mask,
+       CASE WHEN rejected_id IS NOT NULL THEN coalesce(c.mask, '') END AS rejected_mask
+FROM i LEFT JOIN g a ON a.pair_id = i.pair_id AND a.part = 'prompt' LEFT JOIN g b ON b.pair_id = i.pair_id AND b.part = 'chosen'
+LEFT JOIN g c ON c.pair_id = i.pair_id AND c.part = 'rejected'""",
     "op3_benchmark_decontamination": f"""
 WITH d AS ({_shingles("documents", "doc_id", 5)}),
 b AS ({_shingles("benchmark", "item_id", 5)}),
