@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .ann import neighbours
 from .common import read_table
 from .decontaminate import find_leaks
+from .html_extract import extract
 from .line_dedup import dedup_lines
 from .mixing import mix_documents
 from .ngram_join import ngram_components
@@ -41,6 +42,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(read_table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_mix_sources": op5_mix_sources,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_html_extraction": op7_html_extraction,
     "op8_secret_scan": op8_secret_scan,
     "op9_multi_index_neighbours": op9_multi_index_neighbours,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
