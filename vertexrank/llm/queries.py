@@ -17,6 +17,7 @@ from .ngram_join import ngram_components
 from .preference import format_preferences, neighbour_pairs
 from .quality import quality
 from .secrets import find_secrets
+from .suffix_dedup import remove_repeats
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +35,11 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(read_table(spark, sf_dir, "documents"))
 
@@ -62,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_preference_formatting": op2_preference_formatting,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_mix_sources": op5_mix_sources,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_html_extraction": op7_html_extraction,
