@@ -5,7 +5,7 @@ Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Like the original programs, a timed run reads a TAB-separated edge-list text
 file, cleans it, ranks, and writes the ranks sorted ascending as
 ``(vertex,rank)`` lines. The edge files are derived once from the tables
-(returned-part chain ``R``, customer->supplier ``C``) before timing; that
+(order chain ``R``, customer->supplier ``C``) before timing; that
 derivation is reported separately as ``prep``.
 """
 
@@ -26,7 +26,7 @@ from vertexrank.functions.columns import edge_line  # noqa: E402
 from vertexrank.operators import rank  # noqa: E402
 from vertexrank.session import build_session, scratch_path  # noqa: E402
 from vertexrank.sources.edges import read_edges  # noqa: E402
-from vertexrank.sources.graphs import customer_supplier, returned_part_chain  # noqa: E402
+from vertexrank.sources.graphs import customer_supplier, order_chain  # noqa: E402
 from vertexrank.sources.sinks import write_ranks  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -44,7 +44,7 @@ RUNS = [
     ("rank_self_loop_pruned_c", "C", dict(prune_sources=True, max_iter=K)),
     ("rank_redistribute_pruned_c", "C", dict(dangling="redistribute", prune_sources=True, max_iter=K)),
 ]
-GRAPHS = {"R": returned_part_chain, "C": customer_supplier}
+GRAPHS = {"R": order_chain, "C": customer_supplier}
 
 
 def main() -> None:

@@ -11,9 +11,12 @@ SF001 = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = build_session("local[4]", app_name="vertexrank-tests", shuffle_partitions=2)
-    checkpoint_dir(s)  # uses the session's folder; a temporary one only when unset
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("warehouse")
+    s = build_session(
+        "local[4]", app_name="vertexrank-tests", shuffle_partitions=2, extra={"spark.sql.warehouse.dir": f"file://{folder}"}
+    )
+    checkpoint_dir(s)
     yield s
 
 

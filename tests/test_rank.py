@@ -207,3 +207,28 @@ def test_relabelling_ids_permutes_ranks(r_graph, form):
     a = as_dict(rank(r_graph, max_iter=3, **form).ranks)
     b = as_dict(rank(renamed, max_iter=3, **form).ranks)
     assert Approx({f"v{k * 7 + 3}": v for k, v in a.items()}, 1e-9) == b
+
+
+def test_no_silent_cap(r_graph):
+    full = rank(r_graph, dangling="redistribute", tol=1e-9)
+    assert full.converged and full.iterations > 64 and full.deltas[-1] <= 1e-9
+    capped = rank(r_graph, dangling="redistribute", tol=1e-9, max_iter=5)
+    assert capped.converged is False and capped.iterations == 5
+    assert rank(r_graph, max_iter=2).converged is None
+
+
+def test_history_path_in_use_is_refused(r_graph, tmp_path):
+    path = str(tmp_path / "h")
+    rank(r_graph, max_iter=2, history_path=path)
+    with pytest.raises(FileExistsError):
+        rank(r_graph, max_iter=2, history_path=path)
+
+
+def test_broadcast_falls_back_on_long_ids(edges, monkeypatch):
+    import vertexrank.plans.layout as layout
+
+    monkeypatch.setattr(layout, "BROADCAST_MAX_BYTES", 2000)
+    long_ids = edges([("x" * 900 + a, "x" * 900 + b) for a, b in [("1", "2"), ("2", "3"), ("3", "1")]])
+    with pytest.warns(UserWarning, match="exceed"):
+        res = rank(long_ids, max_iter=2, strategy="broadcast")
+    assert as_dict(res.ranks) == as_dict(rank(long_ids, max_iter=2).ranks)

@@ -1,4 +1,4 @@
-from vertexrank.session import checkpoint_dir, scratch_path, sql_conf
+from vertexrank.session import checkpoint_dir, path_exists, scratch_path, sql_conf
 
 
 def test_sql_conf_restores_values(spark):
@@ -26,3 +26,12 @@ def test_checkpoint_dir_is_the_sessions(spark):
     assert d and d == spark.sparkContext.getCheckpointDir()
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(d.rstrip("/") + "/x-")
+
+
+def test_checkpoint_folder_defaults_to_the_warehouse(spark):
+    import inspect
+
+    from vertexrank import session
+
+    assert "tempfile" not in inspect.getsource(session)
+    assert path_exists(spark, checkpoint_dir(spark))

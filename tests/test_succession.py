@@ -1,7 +1,13 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+import pytest
+
 from vertexrank.operators.succession import successor_pairs
+from vertexrank.plans.inspect import python_nodes
+from vertexrank.session import sql_conf
+
+from .conftest import SF001
 
 
 def window_lead(df, group, order, value):
@@ -24,6 +30,16 @@ def test_matches_window_lead_with_one_hot_group(spark):
     assert len(got) == 20000 - df.select("g").distinct().count()  # all values non-null
 
 
+@pytest.mark.parametrize("reuse", ["true", "false"])
+@pytest.mark.parametrize("n", [16, 64])
+def test_exact_whatever_is_reused(spark, n, reuse):
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    order = ["l_linenumber", "l_partkey", "l_suppkey"]
+    with sql_conf(spark, {"spark.sql.exchange.reuse": reuse}):
+        got = sorted(map(tuple, successor_pairs(li, "l_orderkey", order, "l_partkey", num_partitions=n).collect()))
+    assert got == window_lead(li, "l_orderkey", order, "l_partkey")
+
+
 def test_ties_nulls_and_empty_partitions(spark):
     rows = [(1, 1, 10), (1, 1, 10), (1, 2, None), (1, 3, 30), (None, 1, 40), (None, 2, 50), (2, 1, 60)]
     df = spark.createDataFrame(rows, "g long, o long, v long")
@@ -35,4 +51,4 @@ def test_ties_nulls_and_empty_partitions(spark):
 def test_runs_without_python_udf_rows(spark):
     df = spark.range(10).select((F.col("id") % 2).alias("g"), "id")
     plan = successor_pairs(df, "g", ["id"], "id")
-    assert "BatchEvalPython" not in plan._jdf.queryExecution().simpleString()
+    assert not python_nodes(plan)

@@ -3,8 +3,8 @@
     spark-submit --py-files vertexrank.zip vertexrank/__main__.py INPUT OUTPUT EPS [options]
     python -m vertexrank INPUT OUTPUT EPS --master local[8] [options]
 
-INPUT is one or more TAB-separated edge files (``src<TAB>dst``, quotes
-optional, id ``0`` dropped). Ranks are written to OUTPUT in ascending order;
+INPUT is one or more TAB-separated edge files, comma-separated (``src<TAB>dst``,
+quotes optional, id ``0`` dropped; malformed lines are dropped and counted). Ranks are written to OUTPUT in ascending order;
 the iteration count, the L1 change per step and the wall time go to stdout.
 """
 
@@ -16,7 +16,7 @@ import time
 
 from vertexrank.operators.rank import rank
 from vertexrank.session import build_session
-from vertexrank.sources.edges import read_edges
+from vertexrank.sources.edges import edge_line_report, read_edge_lines, read_edges
 from vertexrank.sources.sinks import FORMATS, write_ranks
 
 
@@ -28,7 +28,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--dangling", choices=("self_loop", "redistribute"), default="self_loop")
     p.add_argument("--prune-sources", action="store_true", help="take vertices without in-edges out of the loop")
     p.add_argument("--strategy", choices=("shuffle", "broadcast"), default="shuffle")
-    p.add_argument("--max-iter", type=int, default=64, help="iteration cap (0: none)")
+    p.add_argument("--max-iter", type=int, default=None, help="iteration cap (default: none)")
     p.add_argument("--damping", type=float, default=0.85)
     p.add_argument("--format", choices=FORMATS, default="tuple")
     p.add_argument("--partitions", type=int, default=None)
@@ -38,21 +38,30 @@ def main(argv: list[str] | None = None) -> None:
 
     start = time.time()
     spark = build_session(args.master)
+    paths = args.input.split(",")
+    lines = edge_line_report(read_edge_lines(spark, paths)).first()
     res = rank(
-        read_edges(spark, args.input),
+        read_edges(spark, paths),
         dangling=args.dangling,
         prune_sources=args.prune_sources,
         strategy=args.strategy,
         damping=args.damping,
         tol=args.eps,
-        max_iter=args.max_iter or None,
+        max_iter=args.max_iter,
         num_partitions=args.partitions,
         history_path=args.history,
     )
     write_ranks(res.ranks, args.output, fmt=args.format)
     print(
         json.dumps(
-            {"iterations": res.iterations, "deltas": res.deltas, "wall_ms": int((time.time() - start) * 1000)}
+            {
+                "iterations": res.iterations,
+                "converged": res.converged,
+                "deltas": res.deltas,
+                "lines": lines["n_lines"],
+                "malformed": lines["n_malformed"],
+                "wall_ms": int((time.time() - start) * 1000),
+            }
         )
     )
 

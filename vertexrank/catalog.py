@@ -2,8 +2,9 @@
 
 Graphs (all derived from the given tables, so their size grows with them):
 
-* ``R``: part -> next part within an order, returned line items only;
-* ``P``: the same over every line item (no dangling vertex, no source);
+* ``F``: every order as a path, customer -> first part -> ... -> last part ->
+  supplier (customers are sources, suppliers dangling, parts a linked core);
+* ``P``: part -> next part within an order (no dangling vertex, no source);
 * ``C``: customer -> supplier (all customers are sources, all suppliers dangling).
 
 Ranks are compared rounded to 6 decimals on both sides (summation order
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators import (
@@ -26,6 +27,7 @@ from .operators import (
     dangling_mass,
     degree_table,
     graph_stats,
+    order_ranks,
     out_degrees,
     rank,
     rank_delta,
@@ -40,7 +42,7 @@ from .operators import (
 )
 from .session import scratch_path
 from .sources.edges import edge_line_report, normalize_edges, parse_edge_lines, read_edges
-from .sources.graphs import customer_supplier, load_table, part_chain, returned_part_chain
+from .sources.graphs import customer_supplier, load_table, order_chain, part_chain
 from .sources.sinks import read_rank_history, read_ranks, write_ranks
 
 K = 10  # fixed iteration count of the fixed-k rank queries
@@ -54,7 +56,7 @@ TOL_SELF_LOOP = 1.0  # tolerance of the rank_tolerance_self_loop query
 HUB_THRESHOLD = 16  # out-degree above which a source is laid out as a hub (hub queries)
 
 GRAPHS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "R": returned_part_chain,
+    "F": order_chain,
     "P": part_chain,
     "C": customer_supplier,
 }
@@ -113,12 +115,12 @@ def q_normalize_edges(spark, sf_dir):
 
 
 def q_read_edges_text(spark, sf_dir):
-    """The R graph written as a text edge list (quoted source, plain target, a
+    """The F graph written as a text edge list (quoted source, plain target, a
     third field to ignore), then read back with ``read_edges``."""
     path = scratch_path(spark, "edges-text")
     q, t = F.lit('"'), F.lit("\t")
     line = F.concat(q, F.col("src").cast("string"), q, t, F.col("dst").cast("string"), t, F.lit("x"))
-    returned_part_chain(spark, sf_dir).select(line.alias("value")).write.text(path)
+    order_chain(spark, sf_dir).select(line.alias("value")).write.text(path)
     return read_edges(spark, path)
 
 
@@ -131,7 +133,17 @@ _CHAIN_SQL = """SELECT DISTINCT src, dst FROM (
 WHERE src IS NOT NULL AND dst IS NOT NULL AND src <> 0 AND dst <> 0"""
 
 GRAPH_SQL = {
-    "R": _CHAIN_SQL.format(where="WHERE l_returnflag = 'R'"),
+    "F": """SELECT DISTINCT src, dst FROM (
+  SELECT 'p' || l_partkey AS src, 'p' || lead(l_partkey) OVER (PARTITION BY l_orderkey
+         ORDER BY l_linenumber, l_partkey, l_suppkey) AS dst
+  FROM lineitem
+  UNION ALL
+  SELECT 'c' || o_custkey, 'p' || a.l_partkey FROM orders
+  JOIN (SELECT l_orderkey, min(struct_pack(n := l_linenumber, l_partkey := l_partkey, s := l_suppkey)) AS a FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey
+  UNION ALL
+  SELECT 'p' || z.l_partkey, 's' || z.l_suppkey FROM
+       (SELECT max(struct_pack(n := l_linenumber, l_partkey := l_partkey, l_suppkey := l_suppkey)) AS z FROM lineitem GROUP BY l_orderkey))
+WHERE src IS NOT NULL AND dst IS NOT NULL""",
     "P": _CHAIN_SQL.format(where=""),
     "C": """SELECT DISTINCT 'c' || o_custkey AS src, 's' || l_suppkey AS dst
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey
@@ -207,7 +219,22 @@ def _rank_at_sql(cte: str, k: int) -> str:
     return cte + f"SELECT v AS vertex, R6(rank) AS rank FROM r WHERE k = {k}"
 
 
-def _tolerance_sql(g: str, policy: str, tol: float, cap: int = 64) -> str:
+def _lookahead_tolerance_sql(g: str, policy: str, tol: float, cap: int = 400) -> str:
+    """Pruned forms stop by the change of the vertices that are no sources."""
+    if policy == "self_loop":
+        cte = _plain_rank_cte(g, "self_loop", cap)
+    else:
+        cte = _lookahead_rank_cte(g, cap)
+    return (
+        cte
+        + f""", d AS (SELECT a.k, sum(abs(a.rank - b.rank)) AS delta FROM r a JOIN r b ON a.v = b.v AND b.k = a.k - 1
+  JOIN f ON f.v = a.v WHERE NOT f.source GROUP BY a.k),
+s AS (SELECT min(k) AS k FROM d WHERE delta <= {tol!r})
+SELECT v AS vertex, CAST(r.k AS BIGINT) AS iterations, R6(rank) AS rank FROM r JOIN s ON r.k = s.k"""
+    )
+
+
+def _tolerance_sql(g: str, policy: str, tol: float, cap: int = 10**9) -> str:
     e2 = _E2_SELF_LOOP if policy == "self_loop" else _E2_PLAIN
     m = "0" if policy == "self_loop" else _MASS
     return (
@@ -240,17 +267,17 @@ def _rank_query(g: str, **kw) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def q_rank_tolerance(spark, sf_dir):
-    res = rank(returned_part_chain(spark, sf_dir), dangling="redistribute", tol=TOL)
+    res = rank(order_chain(spark, sf_dir), dangling="redistribute", tol=TOL)
     return res.ranks.select("vertex", F.lit(res.iterations).cast("long").alias("iterations"), _r6())
 
 
 def q_rank_tolerance_self_loop(spark, sf_dir):
-    res = rank(returned_part_chain(spark, sf_dir), tol=TOL_SELF_LOOP, max_iter=None)
+    res = rank(order_chain(spark, sf_dir), tol=TOL_SELF_LOOP, max_iter=None)
     return res.ranks.select("vertex", F.lit(res.iterations).cast("long").alias("iterations"), _r6())
 
 
 def _ranks_after_one(spark, sf_dir, policy):
-    edges = returned_part_chain(spark, sf_dir)
+    edges = order_chain(spark, sf_dir)
     return edges, rank(edges, dangling=policy, max_iter=1).ranks
 
 
@@ -275,25 +302,46 @@ def q_rank_delta(spark, sf_dir):
     return rank_delta(r1, r2).select(_r6("delta"))
 
 
-def q_order_ranks(spark, sf_dir):
-    ranks = _ranks6(rank(returned_part_chain(spark, sf_dir), max_iter=K).ranks)
+def q_rank_positions(spark, sf_dir):
+    ranks = _ranks6(rank(order_chain(spark, sf_dir), max_iter=K).ranks)
     return with_positions(ranks)
 
 
+def q_order_ranks(spark, sf_dir):
+    """Sorted ranks written out; the position of a row is its place in the files
+    taken in name order."""
+    path = scratch_path(spark, "ordered")
+    order_ranks(_ranks6(rank(order_chain(spark, sf_dir), max_iter=K).ranks)).write.parquet(path)
+    back = spark.read.parquet(path).select("vertex", "rank", "_metadata.file_name", "_metadata.row_index")
+    sizes = back.groupBy("file_name").agg(F.count("*").alias("n"))  # one row per file
+    before = sizes.select("file_name", (F.sum("n").over(Window.orderBy("file_name")) - F.col("n")).alias("before"))
+    return back.join(F.broadcast(before), "file_name").select(
+        "vertex", "rank", (F.col("before") + F.col("row_index") + 1).cast("long").alias("position")
+    )
+
+
+def _rank_to(tol: float, **kw):
+    def run(spark, sf_dir):
+        res = rank(order_chain(spark, sf_dir), tol=tol, **kw)
+        return res.ranks.select("vertex", F.lit(res.iterations).cast("long").alias("iterations"), _r6())
+
+    return run
+
+
 def q_write_ranks_roundtrip(spark, sf_dir):
-    ranks = rank(returned_part_chain(spark, sf_dir), max_iter=K).ranks
+    ranks = rank(order_chain(spark, sf_dir), max_iter=K).ranks
     out = []
     for fmt in ("tuple", "tsv"):
         path = scratch_path(spark, f"ranks-{fmt}")
         write_ranks(ranks, path, fmt=fmt)
-        back = read_ranks(spark, path, fmt=fmt, vertex_type="bigint")
+        back = read_ranks(spark, path, fmt=fmt, vertex_type="string")
         out.append(back.select(F.lit(fmt).alias("fmt"), "vertex", _r6()))
     return out[0].unionByName(out[1])
 
 
 def q_rank_history(spark, sf_dir):
     path = scratch_path(spark, "history")
-    rank(returned_part_chain(spark, sf_dir), max_iter=K, history_path=path)
+    rank(order_chain(spark, sf_dir), max_iter=K, history_path=path)
     return read_rank_history(spark, path).select("iteration", "vertex", _r6())
 
 
@@ -312,26 +360,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_edges": q_normalize_edges,
     "read_edges_text": q_read_edges_text,
     # topology
-    "with_out_edges": _topo("R", with_out_edges),
-    "with_in_edges": _topo("R", with_in_edges),
-    "vertices": _topo("R", vertices),
-    "dangling": _topo("R", dangling),
-    "sources": _topo("R", sources),
-    "close_dangling": _topo("R", close_dangling),
-    "out_degrees": _topo("R", out_degrees),
-    "degree_table": _topo("R", degree_table),
+    "with_out_edges": _topo("F", with_out_edges),
+    "with_in_edges": _topo("F", with_in_edges),
+    "vertices": _topo("F", vertices),
+    "dangling": _topo("F", dangling),
+    "sources": _topo("F", sources),
+    "close_dangling": _topo("F", close_dangling),
+    "out_degrees": _topo("F", out_degrees),
+    "degree_table": _topo("F", degree_table),
     "adjacency": _topo(
-        "R",
+        "F",
         adjacency,
         lambda df: df.select(
             "vertex", "chunk", "out_degree", F.array_join("neighbours", ",").alias("neighbours")
         ),
     ),
-    "graph_stats": _topo("R", graph_stats),
+    "adjacency_chunked": _topo(
+        "F",
+        lambda e: adjacency(e, chunk_size=4),
+        lambda df: df.groupBy("vertex", "out_degree").agg(
+            F.array_join(F.array_sort(F.flatten(F.collect_list("neighbours"))), ",").alias("neighbours")
+        ),
+    ),
+    "graph_stats": _topo("F", graph_stats),
     "graph_stats_c": _topo("C", graph_stats),
     "graph_stats_p": _topo("P", graph_stats),
-    "split_sources": _topo("R", split_sources),
-    "source_inflow": _topo("R", source_inflow, lambda df: df.select("vertex", _r6("source_in"))),
+    "split_sources": _topo("F", split_sources),
+    "source_inflow": _topo("F", source_inflow, lambda df: df.select("vertex", _r6("source_in"))),
     "source_inflow_c": _topo("C", source_inflow, lambda df: df.select("vertex", _r6("source_in"))),
     # one step
     "contributions": q_contributions,
@@ -339,12 +394,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dangling_mass": q_dangling_mass,
     "rank_delta": q_rank_delta,
     # full rank
-    "rank_self_loop": _rank_query("R", max_iter=K),
-    "rank_redistribute": _rank_query("R", dangling="redistribute", max_iter=K),
-    "rank_self_loop_pruned": _rank_query("R", prune_sources=True, max_iter=K),
-    "rank_redistribute_pruned": _rank_query("R", dangling="redistribute", prune_sources=True, max_iter=K),
-    "rank_broadcast": _rank_query("R", strategy="broadcast", max_iter=K),
+    "rank_self_loop": _rank_query("F", max_iter=K),
+    "rank_redistribute": _rank_query("F", dangling="redistribute", max_iter=K),
+    "rank_self_loop_pruned": _rank_query("F", prune_sources=True, max_iter=K),
+    "rank_redistribute_pruned": _rank_query("F", dangling="redistribute", prune_sources=True, max_iter=K),
+    "rank_broadcast": _rank_query("F", strategy="broadcast", max_iter=K),
     "rank_tolerance": q_rank_tolerance,
+    "rank_redistribute_1e6": _rank_to(1e-6, dangling="redistribute"),
+    "rank_self_loop_1e6": _rank_to(1e-6),
+    "rank_tolerance_pruned": _rank_to(TOL, dangling="redistribute", prune_sources=True),
+    "rank_tolerance_self_loop_pruned": _rank_to(TOL_SELF_LOOP, prune_sources=True),
+    "rank_redistribute_pruned_hubs": _rank_query(
+        "F", dangling="redistribute", prune_sources=True, max_iter=K, hot_threshold=HUB_THRESHOLD
+    ),
+    "rank_broadcast_pruned": _rank_query(
+        "F", dangling="redistribute", prune_sources=True, strategy="broadcast", max_iter=K
+    ),
     "rank_tolerance_self_loop": q_rank_tolerance_self_loop,
     "rank_self_loop_c": _rank_query("C", max_iter=K),
     "rank_redistribute_c": _rank_query("C", dangling="redistribute", max_iter=K),
@@ -361,6 +426,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     # order and sinks
     "order_ranks": q_order_ranks,
+    "rank_positions": q_rank_positions,
     "write_ranks_roundtrip": q_write_ranks_roundtrip,
     "rank_history": q_rank_history,
 }
@@ -380,19 +446,19 @@ FROM {_FIELDS_SQL}"""
     sql["normalize_edges"] = f"SELECT DISTINCT src, dst FROM {_PARSED_SQL} WHERE src <> '0' AND dst <> '0'"
 
     sql["read_edges_text"] = _with_graph(
-        "R", "SELECT CAST(src AS VARCHAR) AS src, CAST(dst AS VARCHAR) AS dst FROM e"
+        "F", "SELECT CAST(src AS VARCHAR) AS src, CAST(dst AS VARCHAR) AS dst FROM e"
     )
-    sql["with_out_edges"] = _with_graph("R", "SELECT DISTINCT src AS vertex FROM e")
-    sql["with_in_edges"] = _with_graph("R", "SELECT DISTINCT dst AS vertex FROM e")
-    sql["vertices"] = _with_graph("R", "SELECT v AS vertex FROM v")
-    sql["dangling"] = _with_graph("R", "SELECT v AS vertex FROM v WHERE v NOT IN (SELECT src FROM e)")
-    sql["sources"] = _with_graph("R", "SELECT v AS vertex FROM v WHERE v NOT IN (SELECT dst FROM e)")
+    sql["with_out_edges"] = _with_graph("F", "SELECT DISTINCT src AS vertex FROM e")
+    sql["with_in_edges"] = _with_graph("F", "SELECT DISTINCT dst AS vertex FROM e")
+    sql["vertices"] = _with_graph("F", "SELECT v AS vertex FROM v")
+    sql["dangling"] = _with_graph("F", "SELECT v AS vertex FROM v WHERE v NOT IN (SELECT src FROM e)")
+    sql["sources"] = _with_graph("F", "SELECT v AS vertex FROM v WHERE v NOT IN (SELECT dst FROM e)")
     sql["close_dangling"] = _with_graph(
-        "R", "SELECT src, dst FROM e UNION ALL SELECT v, v FROM v WHERE v NOT IN (SELECT src FROM e)"
+        "F", "SELECT src, dst FROM e UNION ALL SELECT v, v FROM v WHERE v NOT IN (SELECT src FROM e)"
     )
-    sql["out_degrees"] = _with_graph("R", "SELECT src AS vertex, count(*) AS out_degree FROM e GROUP BY src")
+    sql["out_degrees"] = _with_graph("F", "SELECT src AS vertex, count(*) AS out_degree FROM e GROUP BY src")
     sql["degree_table"] = _with_graph(
-        "R",
+        "F",
         """SELECT v AS vertex,
   (SELECT count(*) FROM e WHERE e.src = v.v) AS out_degree,
   (SELECT count(*) FROM e WHERE e.dst = v.v) AS in_degree,
@@ -400,32 +466,37 @@ FROM {_FIELDS_SQL}"""
 FROM v""",
     )
     sql["adjacency"] = _with_graph(
-        "R",
+        "F",
         """SELECT src AS vertex, CAST(0 AS BIGINT) AS chunk, count(*) AS out_degree,
   string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS neighbours
+FROM e GROUP BY src""",
+    )
+    sql["adjacency_chunked"] = _with_graph(
+        "F",
+        """SELECT src AS vertex, count(*) AS out_degree, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS neighbours
 FROM e GROUP BY src""",
     )
     stats = """SELECT (SELECT count(*) FROM e) AS n_edges, (SELECT count(*) FROM v) AS n_vertices,
   (SELECT count(*) FROM v WHERE v NOT IN (SELECT src FROM e)) AS n_dangling,
   (SELECT count(*) FROM v WHERE v NOT IN (SELECT dst FROM e)) AS n_sources,
   (SELECT count(*) FROM e WHERE src = dst) AS n_self_loops"""
-    for g, name in (("R", "graph_stats"), ("C", "graph_stats_c"), ("P", "graph_stats_p")):
+    for g, name in (("F", "graph_stats"), ("C", "graph_stats_c"), ("P", "graph_stats_p")):
         sql[name] = _with_graph(g, stats)
     sql["split_sources"] = _with_graph(
-        "R", "SELECT src, dst, src NOT IN (SELECT dst FROM e) AS from_source FROM e"
+        "F", "SELECT src, dst, src NOT IN (SELECT dst FROM e) AS from_source FROM e"
     )
     inflow = """SELECT e.dst AS vertex, R6(sum(1.0::DOUBLE / d.deg)) AS source_in
 FROM e JOIN (SELECT src, count(*) AS deg FROM e GROUP BY src) d ON d.src = e.src
 WHERE e.src NOT IN (SELECT dst FROM e) GROUP BY e.dst"""
-    sql["source_inflow"] = _with_graph("R", inflow)
+    sql["source_inflow"] = _with_graph("F", inflow)
     sql["source_inflow_c"] = _with_graph("C", inflow)
 
-    self_loop_2 = _plain_rank_cte("R", "self_loop", 2)
+    self_loop_2 = _plain_rank_cte("F", "self_loop", 2)
     sql["contributions"] = self_loop_2 + (
         "SELECT e2.dst AS vertex, R6(sum(p.rank * w.w)) AS inflow "
         "FROM r p JOIN w ON w.src = p.v JOIN e2 ON e2.src = p.v WHERE p.k = 1 GROUP BY e2.dst"
     )
-    redist_2 = _plain_rank_cte("R", "redistribute", 2)
+    redist_2 = _plain_rank_cte("F", "redistribute", 2)
     sql["rank_step"] = _rank_at_sql(redist_2, 2)
     sql["dangling_mass"] = redist_2 + (
         "SELECT R6(coalesce(sum(r.rank) FILTER (WHERE f.dang), 0) / (SELECT n FROM n)) "
@@ -436,17 +507,19 @@ WHERE e.src NOT IN (SELECT dst FROM e) GROUP BY e.dst"""
         "FROM r a JOIN r b ON a.v = b.v WHERE a.k = 1 AND b.k = 2"
     )
 
-    for g, sfx in (("R", ""), ("C", "_c"), ("P", "_p")):
+    for g, sfx in (("F", ""), ("C", "_c"), ("P", "_p")):
         sl = _rank_at_sql(_plain_rank_cte(g, "self_loop", K), K)
         rd = _rank_at_sql(_plain_rank_cte(g, "redistribute", K), K)
         la = _rank_at_sql(_lookahead_rank_cte(g, K), K)
-        if g in ("R", "C"):
+        if g in ("F", "C"):
             sql[f"rank_self_loop{sfx}"] = sl
             sql[f"rank_redistribute{sfx}"] = rd
             sql[f"rank_self_loop_pruned{sfx}"] = sl  # same ranks at every step
             sql[f"rank_redistribute_pruned{sfx}"] = la
-        if g == "R":
+        if g == "F":
             sql["rank_broadcast"] = sl
+            sql["rank_redistribute_pruned_hubs"] = la
+            sql["rank_broadcast_pruned"] = la
         if g == "C":
             sql["rank_redistribute_pruned_hubs_c"] = la
             sql["rank_broadcast_pruned_c"] = la
@@ -454,14 +527,19 @@ WHERE e.src NOT IN (SELECT dst FROM e) GROUP BY e.dst"""
             sql["rank_redistribute_p"] = rd
             sql["rank_redistribute_pruned_p"] = la
             sql["rank_self_loop_hubs_p"] = sl
-    sql["rank_tolerance"] = _tolerance_sql("R", "redistribute", TOL)
-    sql["rank_tolerance_self_loop"] = _tolerance_sql("R", "self_loop", TOL_SELF_LOOP, cap=10**9)
-
-    sl_r = _plain_rank_cte("R", "self_loop", K)
+    sql["rank_tolerance"] = _tolerance_sql("F", "redistribute", TOL)
+    sql["rank_tolerance_self_loop"] = _tolerance_sql("F", "self_loop", TOL_SELF_LOOP)
+    sql["rank_redistribute_1e6"] = _tolerance_sql("F", "redistribute", 1e-6)
+    sql["rank_self_loop_1e6"] = _tolerance_sql("F", "self_loop", 1e-6)
+    sql["rank_tolerance_pruned"] = _lookahead_tolerance_sql("F", "redistribute", TOL, cap=90)
+    sql["rank_tolerance_self_loop_pruned"] = _lookahead_tolerance_sql("F", "self_loop", TOL_SELF_LOOP, cap=60)
+
+    sl_r = _plain_rank_cte("F", "self_loop", K)
     sql["order_ranks"] = sl_r + (
         "SELECT vertex, rank, row_number() OVER (ORDER BY rank, vertex) AS position FROM "
         f"(SELECT v AS vertex, R6(rank) AS rank FROM r WHERE k = {K})"
     )
+    sql["rank_positions"] = sql["order_ranks"]
     sql["write_ranks_roundtrip"] = sl_r + (
         "SELECT fmt, v AS vertex, R6(rank) AS rank FROM r "
         f"CROSS JOIN (VALUES ('tuple'), ('tsv')) t(fmt) WHERE k = {K}"

@@ -27,6 +27,8 @@ class RankResult:
     iterations: int
     deltas: list[float] = field(default_factory=list)
     masses: list[float] = field(default_factory=list)
+    # whether the tolerance was reached; None if none was given
+    converged: bool | None = None
 
     def ordered(self) -> DataFrame:
         from .order import order_ranks

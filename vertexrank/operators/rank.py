@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from ..plans.layout import BROADCAST_MAX_VERTICES, build_layout
 from ..plans.lineage import keep, release
-from ..session import sql_conf
+from ..session import path_exists, sql_conf
 from ..sources.edges import normalize_edges
 from .loop import RankResult, iterate
 from .step import POLICIES, REDISTRIBUTE, layout_step
@@ -45,7 +45,7 @@ def rank(
     strategy: str = "shuffle",
     damping: float = 0.85,
     tol: float | None = None,
-    max_iter: int | None = 64,
+    max_iter: int | None = None,
     initial_rank: float = 1.0,
     num_partitions: int | None = None,
     hot_threshold: int | None = None,
@@ -55,15 +55,18 @@ def rank(
     """Rank the vertices of ``edges`` (columns ``src, dst``, any one key type).
 
     Stops when the L1 change is at most ``tol`` or after ``max_iter`` steps,
-    whichever comes first; ``tol=None`` runs exactly ``max_iter`` steps. At
-    least one step always runs. Duplicate and null edges are dropped first;
+    whichever comes first; ``tol`` alone runs to the tolerance, ``max_iter``
+    alone exactly that many steps, and one of them must be given. At least one
+    step always runs. ``RankResult.converged`` says whether the tolerance was
+    reached (``None`` without one). Duplicate and null edges are dropped first;
     self-loops in the input count as out-edges.
 
     ``strategy="broadcast"`` joins the edges against a broadcast of the rank
     state instead of the co-partitioned one; it is used only while the vertex
     count is at most ``broadcast_max_vertices`` and gives the same values.
-    ``history_path`` (a folder under a shared filesystem) receives every
-    iteration's ranks as parquet partitioned by ``iteration``, 0 included.
+    ``history_path`` (a folder under a shared filesystem, not yet there)
+    receives every iteration's ranks as parquet partitioned by ``iteration``, 0
+    included.
     ``num_partitions=None`` sizes the loop's partitions from the edge count.
     """
     if dangling not in POLICIES:
@@ -104,7 +107,7 @@ def rank(
             )
             release(inputs)
             if layout.is_empty:
-                return RankResult(_empty_ranks(clean), 0, [], [])
+                return RankResult(_empty_ranks(clean), 0, [], [], None if tol is None else True)
             n_vertices = float(layout.n_vertices)
             masses: list[float] = []  # dangling mass m used by each step
 
@@ -135,6 +138,8 @@ def rank(
 
             on_iteration = None
             if history_path is not None:
+                if path_exists(spark, history_path):
+                    raise FileExistsError(f"history_path is in use: {history_path}")
                 _write_history(full_ranks(layout.state, initial_rank), 0, history_path)
 
                 def on_iteration(k: int, state: DataFrame, _dangling_rank: float) -> None:
@@ -154,13 +159,11 @@ def rank(
         release(inputs)
         if layout is not None:
             layout.close()
-    return RankResult(final, k, deltas, masses)
+    return RankResult(final, k, deltas, masses, None if tol is None else deltas[-1] <= tol)
 
 
 def _write_history(ranks: DataFrame, k: int, path: str) -> None:
-    ranks.select(F.lit(k).alias("iteration"), "vertex", "rank").write.mode("append").partitionBy(
-        "iteration"
-    ).parquet(path)
+    ranks.select("vertex", "rank").write.mode("error").parquet(f"{path.rstrip('/')}/iteration={k}")
 
 
 def _empty_ranks(edges: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.layout import STATE_COLUMNS, GraphLayout
-from .topology import close_dangling, dangling, out_degrees
+from .topology import close_dangling, dangling, join_source, out_degrees
 
 SELF_LOOP = "self_loop"
 REDISTRIBUTE = "redistribute"
@@ -37,10 +37,9 @@ def contributions(edges: DataFrame, ranks: DataFrame) -> DataFrame:
     vertex. ``edges`` are taken as given (close them first for the self-loop
     policy); vertices receiving nothing are absent."""
     deg = out_degrees(edges).withColumnRenamed("vertex", "src")
-    r = ranks.select(F.col("vertex").alias("src"), F.col("rank"))
+    facts = deg.join(ranks.select(F.col("vertex").alias("src"), F.col("rank")), "src")
     return (
-        edges.join(deg, "src")
-        .join(r, "src")
+        join_source(edges.select("src", "dst"), facts)
         .groupBy(F.col("dst").alias("vertex"))
         .agg(F.sum(_share()).alias("inflow"))
     )
@@ -72,8 +71,7 @@ def rank_step(
 
     ``self_loop``: dangling vertices keep their rank via a self-loop.
     ``redistribute``: their rank is spread evenly over all vertices; the
-    dangling mass is computed first (one aggregate returning one number) and
-    enters the plan as a literal. The result is lazy.
+    dangling mass enters the plan as a scalar subquery. The result is lazy.
     """
     if dangling not in POLICIES:
         raise ValueError(f"dangling must be one of {POLICIES}")
@@ -83,8 +81,7 @@ def rank_step(
     out = ranks.select("vertex", "rank").join(inflow, "vertex", "left")
     new = F.lit(base) + F.lit(damping) * F.coalesce(F.col("inflow"), F.lit(0.0))
     if dangling == REDISTRIBUTE:
-        mass = dangling_mass(edges, ranks).first()["dangling_mass"]
-        new = new + F.lit(damping) * F.lit(float(mass or 0.0))
+        new = new + F.lit(damping) * F.coalesce(dangling_mass(edges, ranks).scalar(), F.lit(0.0))
     return out.select("vertex", new.alias("rank"))
 
 
@@ -130,24 +127,27 @@ def layout_step(
     shares = state.selectExpr("vertex AS src", f"{SHARE_EXPR} AS share")
     parts = []
     if layout.cold_edges is not None:
-        parts.append(layout.cold_edges.join(shares.hint("shuffle_hash"), "src"))
+        parts.append(layout.cold_edges.join(shares.hint("merge"), "src"))
     if layout.hot_edges is not None:
         senders = shares if layout.strategy == "broadcast" else (
             state.where("is_hot").selectExpr("vertex AS src", f"{SHARE_EXPR} AS share")
         )
         parts.append(layout.hot_edges.join(F.broadcast(senders), "src"))
-    msgs = parts[0]
-    for extra in parts[1:]:
-        msgs = msgs.unionByName(extra)
-    inflow = msgs.groupBy("dst").agg(F.expr("sum(share) AS inflow")).withColumnRenamed("dst", "vertex")
-
-    total = "coalesce(inflow, double('0.0'))"
+    if parts:
+        msgs = parts[0]
+        for extra in parts[1:]:
+            msgs = msgs.unionByName(extra)
+        inflow = msgs.groupBy("dst").agg(F.expr("sum(share) AS inflow")).withColumnRenamed("dst", "vertex")
+        fed = state.join(inflow.hint("merge"), "vertex", "left")
+        total = "coalesce(inflow, double('0.0'))"
+    else:  # every edge left the loop with its source: nothing to join or shuffle
+        fed, total = state, "double('0.0')"
     if self_loop:
         total += " + CASE WHEN is_dangling THEN rank ELSE double('0.0') END"
     if source_rank is not None:
         total += f" + source_in * {_double(source_rank)}"
     d = _double(damping)
     new_rank = f"{_double(1.0 - damping)} + {d} * {_double(mass)} + {d} * ({total})"
-    return state.join(inflow.hint("shuffle_hash"), "vertex", "left").selectExpr(
+    return fed.selectExpr(
         *STATE_COLUMNS[:5], f"{new_rank} AS rank", "rank AS prev_rank"
     )

@@ -1,80 +1,26 @@
 """Next row within a group, without gathering any group into one task.
 
 ``successor_pairs`` gives, for rows ordered by ``(group, *order)``, the pair
-(value of a row, value of the next row of the same group) — what
+(value of a row, value of the next row of the same group) - what
 ``lead(value) OVER (PARTITION BY group ORDER BY order)`` gives, minus the last
-row of each group. A window would send every row of a group to one task; a
-group holding a third of the data would make that task a straggler. Here:
-
-1. rows are range-partitioned on ``(group, *order)`` and sorted within
-   partitions, so a large group is split over several partitions;
-2. one Arrow pass per partition pairs neighbouring rows of the same group and
-   emits the partition's first and last row;
-3. the last row of each partition is paired with the first row of the next
-   non-empty partition from that small table (two rows per partition at most).
-
-Both branches read the same range shuffle (Spark reuses the exchange), so they
-see the same partition contents.
+row of each group. A window per group would send every row of a group to one
+task; a group holding a third of the data would make that task a straggler.
+Here:
+
+1. rows are dealt by range of ``(group, *order)``, so a large group is split
+   over several ranges, and written once with their range number: everything
+   below reads that one evaluation, whatever Spark reuses or samples anew;
+2. ``lead`` runs per (range, group), at most a range's rows;
+3. the last row of each range is paired with the first row of the next one,
+   from a table of one row per range.
 """
 
 from __future__ import annotations
 
-import sys
-
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-HEAD, PAIR, TAIL = 0, 1, 2
-
-# The Arrow pass runs in Python workers; ship this module's code with it so
-# executors need no installed copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
-def _pair_scan(batches):
-    """Arrow pass over one sorted partition: neighbour pairs plus head and tail rows."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
-    from pyspark import TaskContext
-
-    pid = TaskContext.get().partitionId()
-    prev_g = prev_v = None
-    head_done = False
-    schema = None
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        g, v = batch.column(0), batch.column(1)
-        if schema is None:
-            schema = pa.schema([("kind", pa.int32()), ("p", pa.int32()), ("grp", g.type), ("src", v.type), ("dst", v.type)])
-        if not head_done:
-            yield _rows(schema, HEAD, pid, g.slice(0, 1), pa.nulls(1, v.type), v.slice(0, 1))
-            head_done = True
-        if prev_g is not None:
-            g, v = pa.concat_arrays([prev_g, g]), pa.concat_arrays([prev_v, v])
-        m = len(g)
-        if m > 1:
-            a, b = g.slice(0, m - 1), g.slice(1)
-            same = pc.or_(
-                pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b))
-            )
-            src, dst = pc.filter(v.slice(0, m - 1), same), pc.filter(v.slice(1), same)
-            if len(src):
-                yield _rows(schema, PAIR, pid, pa.nulls(len(src), g.type), src, dst)
-        prev_g, prev_v = g.slice(m - 1), v.slice(m - 1)
-    if prev_g is not None:
-        yield _rows(schema, TAIL, pid, prev_g, prev_v, pa.nulls(1, prev_v.type))
-
-
-def _rows(schema, kind, pid, grp, src, dst):
-    import pyarrow as pa
-
-    n = len(src)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([kind] * n, pa.int32()), pa.array([pid] * n, pa.int32()), grp, src, dst], schema=schema
-    )
+from ..session import scratch_path
 
 
 def successor_pairs(
@@ -83,47 +29,26 @@ def successor_pairs(
     """``src, dst``: each row's ``value`` and the next row's, within ``group``
     in ``(group, *order)`` order (rows tied on every key are interchangeable).
 
-    The range partition count is explicit (adaptive coalescing could group the
-    partitions of the two branches differently); by default it is the input's
-    scan-partition count, which follows the input size.
+    The number of ranges defaults to the session's shuffle partitions.
     """
-    n = num_partitions or max(1, df.rdd.getNumPartitions())
-    keys = [group, *order]
-    ordered = (
-        df.select(*keys, F.col(value).alias("_v"))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [f"_k{i}" for i in range(1 + len(order))]
+    path = scratch_path(df.sparkSession, "ranges")
+    (
+        df.select(*[F.col(c).alias(k) for c, k in zip([group, *order], keys, strict=True)], F.col(value).alias("_v"))
         .repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .select(F.col(group).alias("_g"), "_v")
-    )
-    g_type, v_type = ordered.schema["_g"].dataType, ordered.schema["_v"].dataType
-    out_schema = T.StructType(
-        [
-            T.StructField("kind", T.IntegerType()),
-            T.StructField("p", T.IntegerType()),
-            T.StructField("grp", g_type),
-            T.StructField("src", v_type),
-            T.StructField("dst", v_type),
-        ]
+        .withColumn("_p", F.spark_partition_id())
+        .write.parquet(path)
     )
-    scanned = ordered.mapInArrow(_pair_scan, out_schema)
-    inner = scanned.where(F.col("kind") == PAIR).select("src", "dst")
-    # at most one head and one tail per partition: a bounded table
-    ends = scanned.where(F.col("kind") != PAIR)
-    nxt = Window.orderBy("p", "kind")
-    cross = (
-        ends.select(
-            "kind",
-            "grp",
-            "src",
-            F.lead("kind").over(nxt).alias("next_kind"),
-            F.lead("grp").over(nxt).alias("next_grp"),
-            F.lead("dst").over(nxt).alias("next_dst"),
-        )
-        .where(
-            (F.col("kind") == TAIL)
-            & (F.col("next_kind") == HEAD)
-            & F.col("grp").eqNullSafe(F.col("next_grp"))
-        )
-        .select("src", F.col("next_dst").alias("dst"))
+    dealt = df.sparkSession.read.parquet(path)
+    # the value goes last, so that rows tied on every key have one order everywhere
+    row = F.struct(*keys, "_v")
+    within = Window.partitionBy("_p", "_k0").orderBy(*keys[1:], "_v")
+    # a null value of the next row and no next row are different things
+    inner = dealt.select(F.col("_v").alias("src"), F.lead(F.struct("_v")).over(within).alias("_n")).where("_n IS NOT NULL")
+    ends = dealt.groupBy("_p").agg(F.min(row).alias("head"), F.max(row).alias("tail"))
+    ends = ends.select("tail", F.lead("head").over(Window.orderBy("_p")).alias("head"))
+    cross = ends.where(F.col("head").isNotNull() & F.col("tail._k0").eqNullSafe(F.col("head._k0")))
+    return inner.select("src", F.col("_n._v").alias("dst")).unionByName(
+        cross.select(F.col("tail._v").alias("src"), F.col("head._v").alias("dst"))
     )
-    return inner.unionByName(cross)

@@ -80,24 +80,43 @@ def adjacency(edges: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE) -> DataFra
     A vertex's list is cut into ``ceil(out_degree / chunk_size)`` chunks by a
     hash of the neighbour, so no row and no group holds more than about
     ``chunk_size`` neighbours, however large a hub is; the chunks of one hub
-    land in different shuffle partitions. A vertex below ``chunk_size`` has one
-    row with ``chunk = 0`` holding its whole list.
+    land in different shuffle partitions. Every list is a set of rows ``chunk =
+    0 .. n-1``, each sorted; one chunk is the common case of that, and readers
+    that need one list per vertex flatten the chunks.
     """
     deg = out_degrees(edges).withColumnRenamed("vertex", "src")
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("out_degree") / F.lit(chunk_size))).cast("long")
     chunk = F.when(F.col("out_degree") <= chunk_size, F.lit(0).cast("long")).otherwise(
         F.pmod(F.xxhash64("dst"), n_chunks)
     )
-    # The degree join is an ordinary equi-join; a hub's partition is split at
-    # run time by adaptive skew-join handling. The grouping key includes the
-    # chunk, so no aggregation group exceeds about ``chunk_size`` rows.
+    # The grouping key includes the chunk, so no aggregation group exceeds about
+    # ``chunk_size`` rows.
     return (
-        edges.join(deg, "src")
+        join_source(edges.select("src", "dst"), deg)
         .groupBy(F.col("src").alias("vertex"), chunk.alias("chunk"), "out_degree")
         .agg(F.array_sort(F.collect_list("dst")).alias("neighbours"))
     )
 
 
+def join_source(edges: DataFrame, facts: DataFrame) -> DataFrame:
+    """``edges`` with the facts of their source: ``facts`` has ``src``,
+    ``out_degree`` (over these edges) and more, one row per source.
+
+    Sources with more than an even share of a partition's edges are hubs: at
+    most as many as there are partitions, whatever the graph, so their facts are
+    broadcast and their edges stay spread where they are. All others meet in a
+    shuffle, where none holds more than one partition's share. Lazy: the share
+    is a scalar subquery.
+    """
+    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = facts.agg((F.sum("out_degree") / F.lit(n)).alias("share")).scalar()
+    hub = F.col("out_degree") > F.coalesce(share, F.lit(0.0))
+    hubs = facts.where(hub)
+    hot = edges.join(F.broadcast(hubs), "src")
+    cold = edges.join(F.broadcast(hubs.select("src")), "src", "left_anti").join(facts.where(~hub), "src")
+    return hot.unionByName(cold)
+
+
 def graph_stats(edges: DataFrame) -> DataFrame:
     """One row: ``n_edges, n_vertices, n_dangling, n_sources, n_self_loops``."""
     return degree_table(edges).agg(
@@ -113,20 +132,19 @@ def split_sources(edges: DataFrame) -> DataFrame:
     """Edges tagged by whether their source vertex has no in-edge:
     ``src, dst, from_source``. The untagged halves are the iterated adjacency
     and the adjacency of factored-out sources."""
-    has_in = with_in_edges(edges).select(F.col("vertex").alias("src"), F.lit(False).alias("_in"))
-    return edges.join(has_in, "src", "left").select(
-        "src", "dst", F.col("_in").isNull().alias("from_source")
-    )
+    facts = degree_table(edges).where(F.col("out_degree") > 0)
+    facts = facts.select(F.col("vertex").alias("src"), "out_degree", (F.col("in_degree") == 0).alias("from_source"))
+    return join_source(edges.select("src", "dst"), facts).select("src", "dst", "from_source")
 
 
 def source_inflow(edges: DataFrame) -> DataFrame:
     """``vertex, source_in``: for each vertex, the sum of ``1/out(u)`` over its
     in-edges from sources ``u``; vertices fed by no source are absent."""
-    deg = degree_table(edges).where(F.col("in_degree") == 0).select(
-        F.col("vertex").alias("src"), F.col("out_degree")
-    )
+    facts = degree_table(edges).where(F.col("out_degree") > 0)
+    facts = facts.select(F.col("vertex").alias("src"), "out_degree", (F.col("in_degree") == 0).alias("from_source"))
     return (
-        edges.join(deg, "src")
+        join_source(edges.select("src", "dst"), facts)
+        .where("from_source")
         .groupBy(F.col("dst").alias("vertex"))
         .agg(F.sum(F.lit(1.0) / F.col("out_degree")).alias("source_in"))
     )

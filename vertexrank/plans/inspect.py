@@ -12,7 +12,20 @@ import re
 
 from pyspark.sql import DataFrame
 
-PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
+PYTHON_NODES = (
+    "BatchEvalPython",
+    "ArrowEvalPython",
+    "MapInPandas",
+    "MapInArrow",
+    "PythonMapInArrow",
+    "FlatMapGroupsInPandas",
+    "FlatMapGroupsInArrow",
+    "FlatMapCoGroupsInPandas",
+    "FlatMapCoGroupsInArrow",
+    "AggregateInPandas",
+    "WindowInPandas",
+    "PythonUDF",
+)
 _MARKER = re.compile(r"[:+]- ")
 
 
@@ -60,4 +73,4 @@ def shuffle_count(df: DataFrame) -> int:
 
 def python_nodes(df: DataFrame) -> list[str]:
     """Plan lines that would run Python code per row or batch."""
-    return [line for line in plan_text(df).splitlines() if any(p in line for p in PYTHON_NODES)]
+    return [line for line in live_plan_lines(df) if any(p in line for p in PYTHON_NODES)]

@@ -44,9 +44,10 @@ MIN_HOT_THRESHOLD = 10_000
 # overhead dominates), none above MAX edges (memory and spill), otherwise the
 # session's spark.sql.shuffle.partitions.
 MIN_EDGES_PER_PARTITION = 10_000
-MAX_EDGES_PER_PARTITION = 8_000_000
+MAX_EDGES_PER_PARTITION = 64_000_000
 HOT_BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_VERTICES = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 STATE_COLUMNS = ["vertex", "out_degree", "is_dangling", "is_hot", "source_in", "rank", "prev_rank"]
 
@@ -84,6 +85,8 @@ def _count_stats(deg: DataFrame) -> dict[str, int]:
         F.coalesce(F.sum("out_degree"), F.lit(0)).cast("long").alias("n_edges"),
         F.count_if(F.col("out_degree") == 0).alias("n_dangling"),
         F.count_if(F.col("in_degree") == 0).alias("n_sources"),
+        F.coalesce(F.sum(F.when(F.col("in_degree") > 0, F.col("out_degree"))), F.lit(0)).cast("long").alias("n_inner"),
+        F.coalesce(F.avg(F.octet_length(F.col("vertex").cast("string"))), F.lit(0.0)).alias("id_bytes"),
     ).first()
     return row.asDict()
 
@@ -121,7 +124,8 @@ def build_layout(
     # so the input is scanned and de-duplicated a single time.
     owner = edges if edges.is_cached else keep(edges, build)
     clean = owner.select("src", "dst")
-    if num_partitions is None:
+    sized = num_partitions is None
+    if sized:
         session_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         if n_edges is None:
             n_edges = clean.count()
@@ -137,14 +141,23 @@ def build_layout(
     n_vertices, n_edges = stats["n_vertices"], stats["n_edges"]
     n_sources = stats["n_sources"]
     n_state = n_vertices - n_sources if prune_sources else n_vertices
+    if sized and prune_sources and n_vertices:
+        # the loop runs on the edges of the vertices that stay
+        inner = choose_partitions(max(stats["n_inner"], n_state), session_partitions)
+        if inner != n:
+            n = inner
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            deg = keep(deg.repartition(n, "vertex"), build)
     if n_vertices == 0:
         release(build)
         return GraphLayout(n, strategy, prune_sources, 0, 0, 0, 0, 0, 0, 0, None, None, None, None)
 
-    if strategy == "broadcast" and n_vertices > broadcast_max_vertices:
+    # a broadcast row holds the id, its share and the hash map's overhead
+    state_bytes = int(n_vertices * (stats["id_bytes"] + 48))
+    if strategy == "broadcast" and (n_vertices > broadcast_max_vertices or state_bytes > BROADCAST_MAX_BYTES):
         warnings.warn(
-            f"{n_vertices} vertices exceed broadcast_max_vertices={broadcast_max_vertices}; "
-            "using the shuffle layout",
+            f"{n_vertices} vertices (about {state_bytes} bytes) exceed broadcast_max_vertices="
+            f"{broadcast_max_vertices} or {BROADCAST_MAX_BYTES} bytes; using the shuffle layout",
             stacklevel=3,
         )
         strategy = "shuffle"
@@ -161,6 +174,9 @@ def build_layout(
         n_hot = deg.where(F.col("out_degree") > threshold).count()
         if n_hot > HOT_BROADCAST_MAX_ROWS:  # keep the broadcast of hub shares bounded
             threshold = max(threshold, math.ceil(n_edges / HOT_BROADCAST_MAX_ROWS))
+            warnings.warn(
+                f"hot_threshold={hot_threshold} would broadcast {n_hot} hubs; raised to {threshold}", stacklevel=3
+            )
             n_hot = deg.where(F.col("out_degree") > threshold).count()
 
     # Per-source facts: out-degree and whether the source has no in-edge.
@@ -187,7 +203,8 @@ def build_layout(
         hot = hot_all.where(~F.col("from_source")) if prune_sources else hot_all
         # spread over all n partitions by (src, dst): a hub's edges land everywhere
         hot_edges = keep(hot.select("src", "dst").repartition(n, "src", "dst"), cached)
-        hot_edges.count()
+        if hot_edges.count() == 0:
+            hot_edges = None
         if prune_sources:
             source_parts.append(source_messages(hot_all))
 
@@ -201,10 +218,12 @@ def build_layout(
             # co-partitioned with deg (both hash(src/vertex, n)): no second exchange
             cold_all = keep(cold.join(src_facts, "src"), build)
             cold_all.count()
-            owner.unpersist(blocking=False)  # peak stays at two copies of the edges
+            if owner in build:  # peak stays at two copies of the edges
+                owner.unpersist(blocking=False)
             source_parts.append(source_messages(cold_all))
             cold = cold_all.where(~F.col("from_source"))
-        cold_edges = keep(cold.select("src", "dst"), cached)
+        # sorted once, so that the merge join of every step sorts only the state
+        cold_edges = keep(cold.select("src", "dst").sortWithinPartitions("src"), cached)
 
     source_in = None
     if source_parts:
@@ -221,7 +240,7 @@ def build_layout(
         (F.col("out_degree") > threshold).alias("is_hot"),
     )
     if source_in is not None:
-        base = base.join(source_in.hint("shuffle_hash"), "vertex", "left").withColumn(
+        base = base.join(source_in.hint("merge"), "vertex", "left").withColumn(
             "source_in", F.coalesce(F.col("source_in"), F.lit(0.0))
         )
     else:
@@ -233,8 +252,8 @@ def build_layout(
     if prune_sources:
         factored = cut_lineage(deg.where(F.col("in_degree") == 0).select("vertex"))
 
-    if cold_edges is not None:
-        cold_edges.count()
+    if cold_edges is not None and cold_edges.count() == 0:
+        cold_edges = None
     release(build)
 
     layout = GraphLayout(

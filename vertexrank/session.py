@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import os
-import tempfile
 from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
@@ -46,9 +45,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage, as the session names it.
 
     Order: the directory already set on the context, then the
-    ``spark.checkpoint.dir`` setting. Only a local-mode session without either
-    gets a fresh temporary folder (as in tests); a cluster session without one
-    is an error, since a machine-local folder is not visible to executors.
+    ``spark.checkpoint.dir`` setting, then a folder under the session's
+    warehouse (``spark.sql.warehouse.dir``), which executors share as well.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,19 +58,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="vertexrank-ckpt-"))
-        return sc.getCheckpointDir()
-    raise RuntimeError(
-        "spark.checkpoint.dir is not set; point it at a shared filesystem folder "
-        "(HDFS, S3, ...) so iteration state survives executor loss"
-    )
+    sc.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    return sc.getCheckpointDir()
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-path of the checkpoint folder for written tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.urandom(6).hex()}"
+    """A fresh sub-path of the checkpoint folder for written tables; it is
+    removed when the application ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{os.urandom(6).hex()}"
+    fs, p = _path(spark, path)
+    fs.mkdirs(p.getParent())
+    fs.deleteOnExit(p)
+    return path
 
 
 @contextlib.contextmanager

@@ -18,8 +18,8 @@ from ..functions.columns import (
 )
 
 
-def read_edge_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Raw lines of one or more text files, one row per line (column ``value``).
+def read_edge_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Raw lines of one or more text files (a path or a list of paths), one row per line (column ``value``).
 
     ``read.text`` rather than ``read.csv``: the CSV reader would keep doubled
     quotes and skip blank lines, which then could not be counted as malformed.
@@ -84,15 +84,16 @@ def normalize_edges(
     )
 
 
-def read_edges(spark: SparkSession, path: str, sentinel=SENTINEL) -> DataFrame:
+def read_edges(spark: SparkSession, path: str | list[str], sentinel=SENTINEL) -> DataFrame:
     """Text edge list to a clean, distinct ``src, dst`` string edge table."""
     return normalize_edges(parse_edge_lines(read_edge_lines(spark, path)), sentinel=sentinel)
 
 
 def edges_from_table(
-    table: DataFrame, src_col: str, dst_col: str, sentinel=SENTINEL
+    table: DataFrame, src_col: str, dst_col: str, sentinel=None
 ) -> DataFrame:
-    """Edges from two key columns of any table, keeping the columns' type.
+    """Edges from two key columns of any table, keeping the columns' type and
+    every id (the sentinel ``0`` is a rule of text files; pass it to apply it).
 
     Only the two columns are selected, so a parquet scan reads just those.
     """

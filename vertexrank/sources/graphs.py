@@ -2,6 +2,9 @@
 
 * ``returned_part_chain``: part -> next returned part within an order (line order).
 * ``part_chain``: the same over every line item.
+* ``order_chain``: every order as a path, customer -> first part -> ... -> last
+  part -> supplier of the last line; customers are sources, suppliers dangling,
+  and parts a densely linked core (ids prefixed ``c``/``p``/``s``).
 * ``customer_supplier``: customer -> supplier for every line item of an order;
   ids are prefixed (``c``/``s``) because the two keys share one number space.
 """
@@ -45,6 +48,29 @@ def customer_supplier_edges(orders: DataFrame, lineitem: DataFrame) -> DataFrame
     return normalize_edges(pairs, sentinel=None)
 
 
+def order_chain_edges(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Edges along every order: customer, its parts in line order, last supplier.
+
+    First and last line of an order come from a partial aggregate, so a huge
+    order costs one row per task.
+    """
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey")
+    name = lambda letter, c: F.concat(F.lit(letter), c.cast("string"))
+    ends = lineitem.where("l_orderkey IS NOT NULL").groupBy("l_orderkey").agg(F.min(line).alias("a"), F.max(line).alias("z"))
+    buys = ends.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        name("c", F.col("o_custkey")).alias("src"), name("p", F.col("a.l_partkey")).alias("dst")
+    )
+    ships = ends.select(name("p", F.col("z.l_partkey")).alias("src"), name("s", F.col("z.l_suppkey")).alias("dst"))
+    parts = successor_pairs(
+        lineitem.where("l_orderkey IS NOT NULL"), "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], "l_partkey"
+    ).select(name("p", F.col("src")).alias("src"), name("p", F.col("dst")).alias("dst"))
+    return normalize_edges(buys.unionByName(parts).unionByName(ships), sentinel=None)
+
+
+def order_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_chain_edges(load_table(spark, sf_dir, "orders"), load_table(spark, sf_dir, "lineitem"))
+
+
 def returned_part_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part_chain_edges(load_table(spark, sf_dir, "lineitem"), returned_only=True)
 

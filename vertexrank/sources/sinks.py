@@ -37,7 +37,10 @@ def write_ranks(ranks: DataFrame, path: str, fmt: str = "tuple", mode: str = "er
     if fmt == "parquet":
         ordered.write.mode(mode).parquet(path)
     else:
-        ordered.select(format_rank_line(fmt).alias("value")).write.mode(mode).text(path)
+        # an id with a line break would come back as two lines
+        broken = F.col("vertex").cast("string").rlike(r"[\r\n]")
+        line = F.when(broken, F.raise_error(F.lit("vertex id with a line break; write parquet"))).otherwise(format_rank_line(fmt))
+        ordered.select(line.cast("string").alias("value")).write.mode(mode).text(path)
 
 
 def read_ranks(spark: SparkSession, path: str, fmt: str = "tuple", vertex_type: str = "string") -> DataFrame:
@@ -47,10 +50,10 @@ def read_ranks(spark: SparkSession, path: str, fmt: str = "tuple", vertex_type:
     lines = spark.read.text(path)
     if fmt == "tuple":
         # vertex ids may contain commas: the rank is after the last one
-        pattern = r"^\((.*),([^,]*)\)$"
+        pattern = r"(?s)^\((.*),([^,]*)\)$"
         v, r = F.regexp_extract("value", pattern, 1), F.regexp_extract("value", pattern, 2)
     elif fmt == "tsv":
-        pattern = r"^(.*)\t([^\t]*)$"
+        pattern = r"(?s)^(.*)\t([^\t]*)$"
         v, r = F.regexp_extract("value", pattern, 1), F.regexp_extract("value", pattern, 2)
     else:
         raise ValueError(f"fmt must be one of {FORMATS}")
