@@ -5,17 +5,18 @@ reaches ``share`` per cent. Under any global order of the shingles, two such
 sets share one of their first ``p = n - ceil(share * n / 100) + 1`` shingles.
 Here that must hold under several orders at once:
 
-* order k puts a fixed fifth of the shingle hashes first, by ascending class
+* order k puts a fixed share of the shingle hashes first (a third more than the
+  longest prefix: a fifth at 85 per cent), by ascending class
   of document frequency (the logarithm of the count, singles first) and, within
   a class, by a hash of its own; the other shingles follow by hash;
-* only the fifth (and, for short texts, the few shingles beyond it that a
+* only that share (and, for short texts, the few shingles beyond it that a
   prefix reaches) is ever shuffled and counted; shingles of one text are
   dropped, since no other text can share them, but keep their place in every
   prefix. Most texts without a near copy have prefixes of singles only, and
   leave the join here;
 * texts that share a shingle of their prefixes in the first order meet in
-  families (see ``linking``); a pair is a candidate if its prefixes intersect
-  under every order; candidates are verified on the whole sets.
+  families (see ``linking``); a pair of a family is a candidate if its prefixes
+  also intersect under all other orders, and is verified on the whole sets.
 
 Texts with equal sets are one node (a 64-bit fingerprint of the set), so
 copies are never expanded into pairs. Shingles are compared by 64-bit hashes.
@@ -40,8 +41,11 @@ from .hashing import U, as_long, distinct_sets, mix, range_sums, shingles
 from .linking import link_groups
 
 ORDERS = 3
-# Share of the hash space that is counted: 1 / 5, above the 15 % of a prefix.
-COUNTED = (1 << 64) // 5
+
+
+def counted_below(share: int) -> int:
+    """Hashes below this are counted: 4/3 of a prefix's share of all shingles."""
+    return (1 << 64) * 4 * (100 - share) // 300
 
 
 def prefix_length(n: np.ndarray, share: int) -> np.ndarray:
@@ -54,7 +58,7 @@ def _profile(n: int, share: int):
         values, ranges = distinct_sets(*shingles(data, offsets, n))
         size = np.diff(ranges)
         low = np.zeros(len(values) + 1, np.int64)
-        np.cumsum(values < U(COUNTED), out=low[1:])
+        np.cumsum(values < U(counted_below(share)), out=low[1:])
         counted = low[ranges[1:]] - low[ranges[:-1]]
         taken = np.where(size > 0, np.maximum(counted, np.minimum(prefix_length(size, share), size)), 0)
         row = np.repeat(np.arange(len(size)), taken)
@@ -128,7 +132,7 @@ def ngram_components(docs: DataFrame, n: int = 4, share: int = 85, orders: int =
             found = arrow_map(rows, "text", _node_texts(n), "id long, text string").join(ids, "id", "left_semi")
             return cut(found.groupBy("id").agg(F.first("text").alias("text")))
 
-        joined = link_groups(groups, texts_of, _sets(n), share, held.drop("n"))
+        joined = link_groups(groups, texts_of, _sets(n), share, held.drop("n", "p0"))
         of_node = nodes.select("node", "doc_id").join(joined, nodes["node"] == joined["id"], "left")
         of_node = of_node.select("node", "doc_id", F.coalesce("component", "node").alias("component"))
         least = of_node.groupBy("component").agg(F.min("doc_id").alias("component_id"))
