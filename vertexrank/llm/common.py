@@ -4,19 +4,21 @@ lineage, size-checked joins and bounded slices of Arrow batches."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 # A join side is broadcast only if its counted rows times its row width stay below this.
 BROADCAST_MAX_BYTES = 16 * 1024 * 1024
 # Text handled at once inside a task; a single longer text is handled alone.
-SLICE_BYTES = 2 * 1024 * 1024
+SLICE_BYTES = 1024 * 1024
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -131,14 +133,23 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         start = stop
 
 
+def pack(docs: DataFrame, own: Sequence[str]) -> DataFrame:
+    """The columns ``own``, with all others in one struct out of the way of names
+    an operator uses."""
+    extra = [c for c in docs.columns if c not in own]
+    return docs.select(*own, F.struct(*[F.col(f"`{c}`") for c in extra], F.lit(0).alias("__none")).alias("__extra"))
+
+
+def unpack(packed: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Expressions that give ``columns`` back from a packed frame."""
+    return [(F.col(c) if c in packed.columns else F.col("__extra").getField(c)).alias(c) for c in columns]
+
+
 def arrow_map(
-    df: DataFrame, text: str, make: Callable[[pa.RecordBatch], dict], schema: str, limit: int = SLICE_BYTES
+    df: DataFrame, text: str, make: Callable[[pa.RecordBatch], dict], schema: str | StructType, limit: int = SLICE_BYTES
 ) -> DataFrame:
     """``make(slice)`` returns the output columns for each bounded slice."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    target = to_arrow_schema(_parse_datatype_string(schema))
+    target = to_arrow_schema(_parse_datatype_string(schema) if isinstance(schema, str) else schema)
 
     def run(batches):
         for batch in batches:

@@ -194,7 +194,9 @@ def line_families(docs: DataFrame, share: int = 80) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, share: int = 80) -> DataFrame:
-    """``docs`` with ``text`` cleaned, plus ``n_lines`` (before) and ``n_removed``."""
+    """``docs`` with ``text`` cleaned, plus ``n_lines`` (before) and ``n_removed``
+    (columns of these names are replaced)."""
+    docs = docs.drop("n_lines", "n_removed")
     gone = line_families(docs, share)
     per = cut(gone.groupBy("doc_id").agg(F.collect_list("pos").alias("__gone")))
     rows = max(per.count(), 1)
@@ -204,7 +206,7 @@ def dedup_lines(docs: DataFrame, share: int = 80) -> DataFrame:
     left = F.array_except(F.sequence(F.lit(0), F.size("__parts") - 1), F.col("__gone"))
     cleaned = F.array_join(F.transform(left, lambda i: F.get("__parts", i)), "\n")
     return out.select(
-        *[F.when(F.col("__gone").isNull(), F.col("text")).otherwise(cleaned).alias("text") if c == "text" else F.col(c) for c in docs.columns],
+        *[F.when(F.col("__gone").isNull(), F.col("text")).otherwise(cleaned).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
         F.when(F.col("text").isNull(), 0).otherwise(F.size("__parts")).alias("n_lines"),
         F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).alias("n_removed"),
     )

@@ -210,7 +210,7 @@ def apply_mix(rows: DataFrame, params: DataFrame, share: float = SHARE, cap: int
     copies, taken``."""
     out = _with_copies(_join(rows, params), share, cap, passes)
     out = out.withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
-    return out.select(*rows.columns, "source_size", "target", "rate", "copies", "taken")
+    return out.select(*[f"`{c}`" for c in rows.columns], "source_size", "target", "rate", "copies", "taken")
 
 
 def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import arrow_map, utf8
 from .crf import Crf, forward_backward, train
@@ -165,9 +166,10 @@ def _score(model: Crf | float):
 
 
 def score_documents(docs: DataFrame, model: Crf | float) -> DataFrame:
-    """``docs`` plus ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on)."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", score double"
-    scored = arrow_map(docs, "text", _score(model), schema)
+    """``docs`` plus ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on); columns
+    of these names are replaced."""
+    docs = docs.drop("score", "predicted")
+    scored = arrow_map(docs, "text", _score(model), T.StructType(list(docs.schema.fields)).add("score", "double"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as leaks
-from .common import cut, join_checked, read_table
+from .common import cut, join_checked, pack, read_table, unpack
 from .line_dedup import dedup_lines
 from .mixing import apply_mix, mix_parameters, n_words
 from .ngram_join import ngram_components
@@ -22,13 +22,14 @@ from .quality import fit, score_documents
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     model = fit(docs, read_table(spark, sf_dir, "labels"))
-    return score_documents(docs, model).where("predicted = 1").select(*docs.columns)
+    scored = score_documents(pack(docs, ["doc_id", "text"]), model).where("predicted = 1")
+    return scored.select(*unpack(scored, docs.columns))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every family of like lines one stays; documents left without text go."""
-    cleaned = dedup_lines(docs)
-    return cleaned.where("n_removed = 0 or trim(text) <> ''").select(*docs.columns)
+    cleaned = dedup_lines(pack(docs, ["doc_id", "text"])).where("n_removed = 0 or trim(text) <> ''")
+    return cleaned.drop("n_lines", "n_removed").select(*unpack(cleaned.drop("n_lines", "n_removed"), docs.columns))
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +46,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the mix, with their number of ``copies`` (1 or 2) and the
-    sizes and targets behind it."""
+    sizes and targets behind it; empty documents stay as they are."""
     sized = cut(docs.select("doc_id", "source", n_words().alias("size")))
-    mixed = apply_mix(docs.withColumn("size", n_words()), mix_parameters(sized))
-    return mixed.where("copies > 0 or size = 0")
+    packed = pack(docs, ["doc_id", "source", "text"]).withColumn("size", n_words())
+    mixed = apply_mix(packed, mix_parameters(sized)).where("copies > 0 or size = 0")
+    added = ["size", "source_size", "target", "rate", "copies", "taken"]
+    return mixed.select(*unpack(mixed.drop(*added), [c for c in docs.columns if c not in added]), *added)
