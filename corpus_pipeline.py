@@ -8,12 +8,10 @@ lost executor never costs more than one stage.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from vertexrank.llm import stages
-from vertexrank.llm.common import ensure_checkpoint_dir, read_table
+from vertexrank.llm.common import read_table, scratch_folder
 
 STAGES = [
     ("quality_filter", stages.quality_filter),
@@ -29,8 +27,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, "pipeline")
     docs = read_table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"

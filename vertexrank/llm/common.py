@@ -68,18 +68,24 @@ def released(*frames: DataFrame):
             df.unpersist()
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared checkpoint folder, removed when the application ends."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, into a Parquet table in the shared checkpoint folder,
     and continue from that table: lineage ends there, a lost executor costs a
     re-read, and later plans see its true size (a checkpointed plan keeps the
     estimates it was made from, which multiply with every round of joins)."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "table")
     if _SCOPES:
         _SCOPES[-1].append(path)
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
