@@ -182,7 +182,7 @@ def test_suffix_order_is_sorted():
     rng = np.random.default_rng(3)
     texts = [bytes(rng.integers(97, 99, n).astype(np.uint8)) for n in (90, 40, 0, 15, 200)]
     data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.append(0, np.cumsum([len(t) for t in texts]))
-    pos, lcp = bwt.suffix_order(data, offsets, 25)
+    pos, lcp = bwt.suffix_order(data, offsets, 25, 16)
     raw, end = b"".join(texts), lambda p: int(offsets[np.searchsorted(offsets, p, "right")])
     blocks = lambda p: [raw[i : i + 16] for i in range(p, end(p) - 15, 16)]
     assert len(pos) == sum(max(0, len(t) - 15) for t in texts)
