@@ -59,7 +59,9 @@ def test_edges_from_table_keeps_type_and_drops_nulls(spark):
     )
     e = edges_from_table(t, "a", "b")
     assert dict(e.dtypes) == {"src": "bigint", "dst": "bigint"}
-    assert {(r.src, r.dst) for r in e.collect()} == {(1, 2), (3, 3)}
+    # a key table has no sentinel unless one is named
+    assert {(r.src, r.dst) for r in e.collect()} == {(0, 5), (1, 2), (3, 3)}
+    assert {(r.src, r.dst) for r in edges_from_table(t, "a", "b", sentinel=0).collect()} == {(1, 2), (3, 3)}
 
 
 def test_parse_plan_has_no_python(spark):
