@@ -126,6 +126,14 @@ def test_line_dedup(spark, docs):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_tells_rows_of_one_id_apart(spark):
+    rows = [(7, "alpha beta\nDUP LINE"), (7, "gamma delta\nepsilon zeta"), (1, "dup line"), (None, "eta theta iota\ndup  line"), (None, "kappa"), (7, "dup line"), (7, "dup line")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(7, "alpha beta", 1), (7, "gamma delta\nepsilon zeta", 0), (1, "dup line", 0), (None, "eta theta iota", 1), (None, "kappa", 0), (7, "", 1), (7, "", 1)]
+    got = line_dedup.dedup_lines(df, null_ids=True).select("doc_id", "text", "n_removed").collect()
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
 def test_minhash_recall():
     rng = np.random.default_rng(5)
     found = total = 0

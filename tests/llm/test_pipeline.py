@@ -1,6 +1,7 @@
 """The pipeline and the registered queries against brute force and DuckDB."""
 
 import re
+from collections import Counter
 
 import duckdb
 import pytest
@@ -76,3 +77,15 @@ def test_stages_keep_odd_rows_and_columns(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
     assert stages.quality_filter(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF).columns == empty.columns
+
+
+def test_stages_judge_rows_by_id_and_text(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 100").orderBy("item_id").head()["text"]
+    say = lambda w: " ".join(f"{w}{i}" for i in range(60))
+    rows = [(1, say("a")), (7, say("a") + " end"), (7, say("b")), (9, say("c")), (9, say("c")), (9, say("c")), (None, "so " + say("a")), (None, say("d")), (None, say("d")), (None, say("e")), (12, ""), (12, "")]
+    docs = spark.createDataFrame([(*r, f"s{k}") for k, r in enumerate(rows)], "doc_id long, text string, source string")
+    got = sorted(map(repr, map(tuple, stages.ngram_join(spark, docs, SF).collect())))
+    assert got == sorted(map(repr, [(1, say("a"), "s0"), (7, say("b"), "s2"), (9, say("c"), "s3"), (None, say("d"), "s7"), (None, say("e"), "s9"), (12, "", "s10"), (12, "", "s11")]))
+    rows = [(11, say("a") + " " + item), (11, say("b")), (None, item + " " + say("c")), (None, say("d"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(map(tuple, stages.decontaminate(spark, docs, SF).collect())) == Counter([rows[1], rows[3]])

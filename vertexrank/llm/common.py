@@ -113,6 +113,15 @@ def join_checked(big: DataFrame, small: DataFrame, on, how: str, row_bytes: int)
     return big.join(small.hint("merge"), on, how)
 
 
+def join_text(rows: DataFrame, found: DataFrame, how: str, row_bytes: int) -> DataFrame:
+    """``join_checked`` of ``rows`` (with ``doc_id, text``) with what was found per
+    ``doc_id`` and ``th``, the hash of the text: rows that share an id but not the
+    text are told apart, and a null ``doc_id`` is a value like any other."""
+    found = found.withColumnsRenamed({"doc_id": "__doc_id", "th": "__th"})
+    here = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.xxhash64("text") == F.col("__th"))
+    return join_checked(rows, found, here, how, row_bytes).drop("__doc_id", "__th")
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (n + 1) of a string column; null is empty."""
     if isinstance(column, pa.ChunkedArray):

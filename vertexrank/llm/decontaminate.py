@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, list_of, utf8
+from .common import arrow_map, cut, join_text, list_of, utf8
 from .hashing import U, as_long, distinct_sets, mix, shingles
 
 WORDS = 5
@@ -112,6 +112,7 @@ def _search(index: ItemIndex, share: int):
         place[place == len(index.values)] = 0
         near = near[index.values[place] == values[near]]
         bounds = np.searchsorted(near, ranges)
+        keys = [c for c in part.schema.names if c != "text"]
         out = {"row": [], "item_id": [], "n_item": [], "n_shared": []}
         for d in np.flatnonzero(np.diff(bounds)).tolist():
             own = values[ranges[d] : ranges[d + 1]]
@@ -120,8 +121,8 @@ def _search(index: ItemIndex, share: int):
                 out["item_id"].append(int(index.ids[item]))
                 out["n_item"].append(len(index.sets[item]))
                 out["n_shared"].append(shared)
-        out["doc_id"] = part.column("doc_id").take(pa.array(out.pop("row"), pa.int64()))
-        return out
+        row = pa.array(out.pop("row"), pa.int64())
+        return out | {c: part.column(c).take(row) for c in keys}
 
     return make
 
@@ -131,29 +132,32 @@ def _item_sets(part: pa.RecordBatch) -> dict:
     return {"item_id": part.column("item_id"), "shingles": list_of(as_long(values), ranges, pa.int64())}
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, share: int = 80) -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, share: int = 80, by_text: bool = False) -> DataFrame:
     """``doc_id, item_id, n_item, n_shared, containment`` of every leak of an
-    item (``item_id, text``) into a document (``doc_id, text``)."""
+    item (``item_id, text``) into a document (``doc_id, text``); with ``by_text``
+    also ``th``, the hash of the document's text."""
+    rows, key = docs.select("doc_id", "text"), ""
+    if by_text:
+        rows, key = rows.withColumn("th", F.xxhash64("text")), ", th long"
     sets = arrow_map(items.select("item_id", "text"), "text", _item_sets, "item_id long, shingles array<bigint>")
     sets = cut(sets.where("size(shingles) > 0 and item_id is not null").distinct())
     total = sets.agg(F.sum(F.size("shingles"))).head()[0] or 0
     blocks = -(-total // BLOCK_SHINGLES)
     out = None
     for b in range(blocks):
-        rows = sets.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "shingles").collect()
-        if not rows:
+        part = sets.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "shingles").collect()
+        if not part:
             continue
-        index = ItemIndex([(r[0], np.array(r[1], np.int64).view(U)) for r in rows])
-        found = arrow_map(docs.select("doc_id", "text"), "text", _search(index, share), "doc_id long, item_id long, n_item long, n_shared long")
+        index = ItemIndex([(r[0], np.array(r[1], np.int64).view(U)) for r in part])
+        found = arrow_map(rows, "text", _search(index, share), f"doc_id long{key}, item_id long, n_item long, n_shared long")
         out = found if out is None else out.unionByName(found)
     if out is None:
-        out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_item long, n_shared long")
+        out = docs.sparkSession.createDataFrame([], f"doc_id long{key}, item_id long, n_item long, n_shared long")
     return out.withColumn("containment", F.col("n_shared") / F.col("n_item")).distinct()
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, share: int = 80) -> DataFrame:
-    """``docs`` without the documents that an item leaks into."""
-    from .common import join_checked
-
-    gone = cut(find_leaks(docs, items, share).where("doc_id is not null").select("doc_id").distinct())
-    return join_checked(docs, gone, "doc_id", "left_anti", 16)
+    """``docs`` without the documents that an item leaks into, judged by id and
+    text (rows without id too)."""
+    gone = cut(find_leaks(docs, items, share, by_text=True).select("doc_id", "th").distinct())
+    return join_text(docs, gone, "left_anti", 24)

@@ -6,7 +6,8 @@ Lines with equal comparison text are copies (128-bit hash). Other lines are
 candidates if their MinHash signatures agree on a band, and linked if the
 exact Jaccard similarity of their sets of character 7-grams is 0.8 or more; a
 distributed union-find over the links gives the families. Of each family the
-line with the smallest (doc_id, position) stays.
+line with the smallest (doc_id, position) stays (of different texts under one
+``doc_id``: the one with the smallest text hash; a null ``doc_id`` comes last).
 
 Signature: one-permutation MinHash in two rounds of 20 bins with optimal
 densification, i.e. 40 values from two hashes per shingle; 10 bands of 4
@@ -15,9 +16,10 @@ with 0.99997.
 
 Defined cases: blank lines always stay; a line shorter than 7 characters is one
 shingle, so only its copies match; a document whose lines all go keeps its row
-with empty text; null text stays null; a row with null ``doc_id`` is returned
-unchanged and takes no part; rows repeated with one ``doc_id`` count as one
-document; other columns are passed through.
+with empty text; null text stays null; rows repeated with one ``doc_id`` and
+text count as one document, rows that share the ``doc_id`` alone do not; rows
+with null ``doc_id`` are documents by their text with ``null_ids``, else they are
+returned unchanged and take no part; other columns are passed through.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, final, join_checked, list_of, released, scratch, utf8
+from .common import arrow_map, cut, final, join_checked, join_text, list_of, released, scratch, utf8
 from .hashing import U, as_long, characters, distinct_sets, mix, range_sums, span_hashes
 from .linking import link_groups
 
@@ -142,6 +144,7 @@ def _profile(part: pa.RecordBatch) -> dict:
     np.cumsum(long_enough * BANDS, out=offsets[1:])
     return {
         "doc_id": part.column("doc_id").take(pa.array(doc)),
+        "th": part.column("th").take(pa.array(doc)),
         "pos": pos.astype(np.int32),
         "h1": pa.array(as_long(h1), pa.int64(), mask=blank),
         "h2": as_long(h2),
@@ -163,10 +166,11 @@ def _line_texts(part: pa.RecordBatch) -> dict:
     return {"id": as_long(h1), "text": [raw[a:b].decode("utf-8", "replace") for a, b in zip(lo[keep].tolist(), hi[keep].tolist(), strict=True)]}
 
 
-def line_families(docs: DataFrame, share: int = 80) -> DataFrame:
-    """``doc_id, pos, stays`` for every line that is not blank (checkpointed)."""
-    docs = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
-    lines = arrow_map(docs, "text", _profile, "doc_id long, pos int, h1 long, h2 long, bands array<bigint>")
+def line_families(docs: DataFrame, share: int = 80, null_ids: bool = False) -> DataFrame:
+    """``doc_id, th, pos`` (``th``: hash of the text) of every line that goes (checkpointed)."""
+    docs = docs.where("text is not null" if null_ids else "doc_id is not null and text is not null").select("doc_id", "text")
+    hashed = docs.withColumn("th", F.xxhash64("text"))
+    lines = arrow_map(hashed, "text", _profile, "doc_id long, th long, pos int, h1 long, h2 long, bands array<bigint>")
     lines = lines.where("h1 is not null").persist(StorageLevel.MEMORY_AND_DISK)
     with scratch(docs.sparkSession), released(lines):
         banded = lines.select(F.col("h1").alias("id"), F.explode("bands").alias("key"))
@@ -175,32 +179,32 @@ def line_families(docs: DataFrame, share: int = 80) -> DataFrame:
 
         def texts_of(ids: DataFrame) -> DataFrame:
             ids = cut(ids)
-            spots = lines.join(ids, lines["h1"] == ids["id"]).groupBy("h1").agg(F.min("doc_id").alias("doc_id"))
-            wanted = cut(spots.select("doc_id").distinct())
-            rows = arrow_map(join_checked(docs, wanted, "doc_id", "left_semi", 16), "text", _line_texts, "id long, text string")
+            spots = lines.join(ids, lines["h1"] == ids["id"]).groupBy("h1").agg(F.first("doc_id").alias("doc_id"), F.first("th").alias("th"))
+            wanted = cut(spots.select("doc_id", "th").distinct())
+            rows = arrow_map(join_text(docs, wanted, "left_semi", 24), "text", _line_texts, "id long, text string")
             rows = join_checked(rows, ids, "id", "left_semi", 16)
             return cut(rows.groupBy("id").agg(F.first("text").alias("text")))
 
         joined = link_groups(groups, texts_of, _line_sets, share)
         # a family is a component of links, or the copies of one comparison text
-        tagged = join_checked(lines.select("doc_id", "pos", "h1", "h2"), joined.withColumnRenamed("id", "h1"), "h1", "left", 24)
+        tagged = join_checked(lines.select("doc_id", "th", "pos", "h1", "h2"), joined.withColumnRenamed("id", "h1"), "h1", "left", 24)
         tagged = tagged.select(
-            "doc_id", "pos", F.coalesce("component", "h1").alias("f1"), F.when(F.col("component").isNull(), F.col("h2")).otherwise(0).alias("f2")
+            "doc_id", "th", "pos", F.coalesce("component", "h1").alias("f1"), F.when(F.col("component").isNull(), F.col("h2")).otherwise(0).alias("f2")
         )
-        spot = F.struct("doc_id", "pos")
+        spot = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "pos", "th")
         families = cut(tagged.groupBy("f1", "f2").agg(F.min(spot).alias("top"), F.max(spot).alias("end")).where("top < end").select("f1", "f2", "top"))
-        gone = tagged.join(families, ["f1", "f2"]).where(F.struct("doc_id", "pos") > F.col("top"))
-        return final(gone.select("doc_id", "pos").distinct())
+        gone = tagged.join(families, ["f1", "f2"]).where(spot > F.col("top"))
+        return final(gone.select("doc_id", "th", "pos").distinct())
 
 
-def dedup_lines(docs: DataFrame, share: int = 80) -> DataFrame:
+def dedup_lines(docs: DataFrame, share: int = 80, null_ids: bool = False) -> DataFrame:
     """``docs`` with ``text`` cleaned, plus ``n_lines`` (before) and ``n_removed``
     (columns of these names are replaced)."""
     docs = docs.drop("n_lines", "n_removed")
-    gone = line_families(docs, share)
-    per = cut(gone.groupBy("doc_id").agg(F.collect_list("pos").alias("__gone")))
+    gone = line_families(docs, share, null_ids)
+    per = cut(gone.groupBy("doc_id", "th").agg(F.collect_list("pos").alias("__gone")))
     rows = max(per.count(), 1)
-    out = join_checked(docs, per, "doc_id", "left", 40 + 4 * (gone.count() // rows + 1))
+    out = join_text(docs, per, "left", 48 + 4 * (gone.count() // rows + 1))
     # __parts is referred to several times, which keeps the split out of the lambda below
     out = out.withColumn("__parts", F.split("text", "\n", -1))
     left = F.array_except(F.sequence(F.lit(0), F.size("__parts") - 1), F.col("__gone"))

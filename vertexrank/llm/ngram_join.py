@@ -67,7 +67,7 @@ def _profile(n: int, share: int):
         at = ranges[:-1][row] + np.arange(begin[-1]) - begin[:-1][row]
         node = mix(range_sums(mix(values ^ U(0x5851F42D4C957F2D)), ranges) + size.astype(U))
         return {
-            "doc_id": part.column("doc_id"),
+            **{c: part.column(c) for c in part.schema.names if c != "text"},
             "n": size,
             "node": pa.array(as_long(node), pa.int64(), mask=size == 0),
             "counted": counted.astype(np.int32),
@@ -90,13 +90,17 @@ def _node_texts(n: int):
     return make
 
 
-def ngram_components(docs: DataFrame, n: int = 4, share: int = 85, orders: int = ORDERS) -> DataFrame:
+def ngram_components(docs: DataFrame, n: int = 4, share: int = 85, orders: int = ORDERS, by_text: bool = False) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``
     (columns ``doc_id, text``): the number of distinct n-word shingles and the
-    smallest ``doc_id`` reachable by links, its own included."""
+    smallest ``doc_id`` reachable by links, its own included. With ``by_text``
+    also ``th``, the hash of the row's text, and ``component``, an id of the texts
+    linked with it (null without shingles)."""
     docs = docs.select("doc_id", "text")
+    rows, key, own = (docs.withColumn("th", F.xxhash64("text")), ", th long", ["th"]) if by_text else (docs, "", [])
+    group = ["component"] if by_text else []
     profile = arrow_map(
-        docs, "text", _profile(n, share), "doc_id long, n long, node long, counted int, tokens array<bigint>"
+        rows, "text", _profile(n, share), f"doc_id long{key}, n long, node long, counted int, tokens array<bigint>"
     ).persist(StorageLevel.MEMORY_AND_DISK)
     first = profile.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counted").alias("counted"), F.first("tokens").alias("tokens")
@@ -136,7 +140,6 @@ def ngram_components(docs: DataFrame, n: int = 4, share: int = 85, orders: int =
         of_node = nodes.select("node", "doc_id").join(joined, nodes["node"] == joined["id"], "left")
         of_node = of_node.select("node", "doc_id", F.coalesce("component", "node").alias("component"))
         least = of_node.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-        of_node = cut(of_node.join(least, "component").select("node", "component_id"))
-        own = profile.select("doc_id", F.col("n").alias("n_shingles"), "node")
-        out = own.join(of_node, "node", "left")
-        return final(out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+        of_node = cut(of_node.join(least, "component").select("node", "component_id", *group))
+        out = profile.select("doc_id", *own, F.col("n").alias("n_shingles"), "node").join(of_node, "node", "left")
+        return final(out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *own, *group))

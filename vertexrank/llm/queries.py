@@ -22,7 +22,7 @@ from .suffix_dedup import remove_repeats
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines before, lines removed, and the text that stays."""
-    return dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), null_ids=True)
 
 
 def op2_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
