@@ -360,3 +360,23 @@ def test_preferences(spark):
     assert (got[2]["prompt"], got[2]["chosen"], got[2]["rejected"]) == (say("user", "same"), "", "")
     assert got[3]["chosen"] is None and got[3]["rejected"] == say("assistant", "né") + say("user", "q") * 2
     assert preference.format_preferences(preference.neighbour_pairs(df.limit(0))).count() == 0
+
+
+def test_preferences_share_a_prompt(spark):
+    rows = [
+        (2, 0, "user", "q2"), (2, 1, "assistant", "a2"), (2, 2, "user", "more"), (2, 3, "assistant", "b2"), (2, 4, "user", "thanks"),
+        (3, 0, "user", "unanswered"), (9, 0, "user", "q9"), (9, 1, "assistant", "a9"), (40, None, "assistant", "a40"), (None, 0, "assistant", "lost"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r["pair_id"]: r for r in preference.format_preferences(preference.shared_prompt_pairs(df)).collect()}
+    say = lambda role, text: f"<|{role}|>\n{text}<|end|>\n"
+    assert sorted(got) == [2, 3, 9, 40] and [got[k]["n_prompt"] for k in (2, 3, 9, 40)] == [3, 0, 1, 0]
+    assert [got[k]["rejected_id"] for k in (2, 3, 9, 40)] == [9, None, 40, 2]
+    assert got[2]["prompt"] == say("user", "q2") + say("assistant", "a2") + say("user", "more")
+    assert (got[2]["chosen"], got[2]["rejected"]) == (say("assistant", "b2") + say("user", "thanks"), say("assistant", "a9"))
+    assert (got[9]["prompt"], got[9]["chosen"], got[9]["rejected"]) == (say("user", "q9"), say("assistant", "a9"), say("assistant", "a40"))
+    assert got[3]["rejected"] is None and (got[40]["chosen"], got[40]["rejected"]) == (say("assistant", "a40"), say("assistant", "b2"))
+    assert preference.shared_prompt_pairs(df.where("conv_id = 9")).where("not chosen").count() == 0
+    table = spark.read.parquet(f"{SF}/conversations.parquet")
+    out = preference.format_preferences(preference.shared_prompt_pairs(table))
+    assert out.count() == table.select("conv_id").distinct().count() and out.where("n_prompt > 0").count() > 0

@@ -23,6 +23,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.succession import successor_pairs
+from .common import cut
+
 END = "<|end|>\n"
 
 
@@ -97,3 +100,22 @@ def neighbour_pairs(conversations: DataFrame) -> DataFrame:
     return conversations.where("conv_id is not null").select(
         F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id"), (F.pmod("conv_id", F.lit(2)) == 0).alias("chosen"), "conv_id", "turn", "role", "text"
     )
+
+
+def shared_prompt_pairs(conversations: DataFrame) -> DataFrame:
+    """Turns of every conversation as chosen (``pair_id`` is its ``conv_id``) and, as
+    rejected, its turns before the last assistant turn followed by the last
+    assistant turn of the next conversation by id that has one (the last takes the
+    first's; ``rejected_id`` names it). The turns before the reply are shared, so
+    they are the prompt. A conversation without assistant turn, or the only one
+    with such a turn, has no rejected side."""
+    rows = conversations.where("conv_id is not null").select("conv_id", F.coalesce(F.col("turn").cast("long"), F.lit(-(1 << 62))).alias("turn"), "role", "text")
+    last = cut(rows.where("role = 'assistant'").groupBy("conv_id").agg(F.max("turn").alias("last")))
+    following = successor_pairs(last.withColumn("all", F.lit(0)), "all", ["conv_id"], "conv_id").toDF("conv_id", "donor")
+    wrap = last.agg(F.max("conv_id").alias("conv_id"), F.min("conv_id").alias("donor")).where("conv_id <> donor")
+    pairs = cut(last.join(following.unionByName(wrap), "conv_id"))
+    head = rows.join(pairs, "conv_id").where("turn < last").select(F.col("conv_id").alias("pair_id"), F.lit(False).alias("chosen"), F.col("donor").alias("conv_id"), "turn", "role", "text")
+    reply = rows.join(last, "conv_id").where("turn = last").select(F.col("conv_id").alias("donor"), "role", "text")
+    tail = reply.join(pairs, "donor").select(F.col("conv_id").alias("pair_id"), F.lit(False).alias("chosen"), F.col("donor").alias("conv_id"), F.col("last").alias("turn"), "role", "text")
+    own = rows.select(F.col("conv_id").alias("pair_id"), F.lit(True).alias("chosen"), "conv_id", "turn", "role", "text")
+    return own.unionByName(head).unionByName(tail)

@@ -14,7 +14,7 @@ from .html_extract import extract
 from .line_dedup import dedup_lines
 from .mixing import mix_documents
 from .ngram_join import ngram_components
-from .preference import format_preferences, neighbour_pairs
+from .preference import format_preferences, neighbour_pairs, shared_prompt_pairs
 from .quality import quality
 from .secrets import find_secrets
 from .suffix_dedup import remove_repeats
@@ -27,10 +27,16 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table marks no preference; conversation 2k is taken as chosen and
-    2k + 1 as rejected."""
+    2k + 1 as rejected. These share no turn, so there is no prompt."""
     return format_preferences(neighbour_pairs(read_table(spark, sf_dir, "conversations")))
 
 
+def op2_preference_shared_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs that share a prompt: every conversation against itself with the last
+    reply of the next one."""
+    return format_preferences(shared_prompt_pairs(read_table(spark, sf_dir, "conversations")))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -67,6 +73,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_preference_formatting": op2_preference_formatting,
+    "op2_preference_shared_prompt": op2_preference_shared_prompt,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_mix_sources": op5_mix_sources,
@@ -140,3 +147,18 @@ r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
 FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM r GROUP BY a) USING (doc_id)""",
 }
+
+# the pairs of the second form, formatted by the same SQL
+_SHARED_PROMPT = """
+WITH s AS (SELECT conv_id, coalesce(turn, -(1::BIGINT << 62)) AS turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT conv_id, max(turn) AS last FROM s WHERE role = 'assistant' GROUP BY conv_id),
+o AS (SELECT conv_id, last, coalesce(lead(conv_id) OVER (ORDER BY conv_id), min(conv_id) OVER ()) AS donor FROM l),
+u AS (
+  SELECT conv_id AS pair_id, true AS yes, conv_id, turn, role, text FROM s
+  UNION ALL SELECT s.conv_id, false, donor, turn, role, text FROM s JOIN o ON o.conv_id = s.conv_id WHERE donor <> o.conv_id AND turn < last
+  UNION ALL SELECT o.conv_id, false, donor, o.last, role, text FROM o JOIN l ON l.conv_id = donor JOIN s ON s.conv_id = donor AND s.turn = l.last
+  WHERE donor <> o.conv_id),
+t AS (
+  SELECT pair_id, yes, conv_id, turn, replace(coalesce(role, ''), '<|', '< |') AS role, replace(coalesce(text, ''), '<|', '< |') AS text FROM u),
+e AS ("""
+ORACLE_SQL["op2_preference_shared_prompt"] = _SHARED_PROMPT + ORACLE_SQL["op2_preference_formatting"].partition("e AS (")[2]
