@@ -167,6 +167,19 @@ def test_decontamination(spark, docs):
     assert decontaminate.find_leaks(docs.limit(0), items).count() == 0
 
 
+def test_decontamination_of_items_without_id(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f"{prose(60 + k, 30)} and {prose(90, 10)}") for k in range(12)], "doc_id long, text string")
+    items = spark.createDataFrame([(None if k == 3 else 1, prose(60 + k, 30)) for k in range(10)] + [(2, prose(63, 30))], "item_id long, text string")
+    sizes = []
+    index = decontaminate.ItemIndex
+    monkeypatch.setattr(decontaminate, "ItemIndex", lambda rows: sizes.append(sum(len(r[1]) for r in rows)) or index(rows))
+    monkeypatch.setattr(decontaminate, "BLOCK_SHINGLES", 60)
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, items).collect()}
+    assert got == {(k, None if k == 3 else 1) for k in range(10)} | {(3, 2)}
+    assert sum(sizes) == 260 and max(sizes) <= 60
+    assert {r["doc_id"] for r in decontaminate.drop_leaks(docs, items.where("item_id is null")).collect()} == set(range(12)) - {3}
+
+
 @pytest.mark.parametrize("salted", [False, True])
 def test_suffix_dedup(spark, docs, salted, monkeypatch):
     if salted:

@@ -15,25 +15,30 @@ The minimum of an item's bin is one of its shingles, so only windows that hold
 a shingle of the benchmark can agree in a bin: signatures are computed for
 those alone, after one pass of the document's shingles through a bit table.
 
-The items are the query set: they go to the tasks in blocks of at most
-``BLOCK_SHINGLES`` shingles (one pass over the documents per block), so what
-is broadcast is bounded whatever the size of the benchmark. Documents are not
-shuffled.
+The items are the query set: their distinct shingle sets go to the tasks in
+blocks of at most ``BLOCK_SHINGLES`` shingles (a larger set is a block of its
+own; one pass over the documents per block), so what is broadcast is bounded
+whatever the size of the benchmark and however often an id or a text repeats.
+Sets are searched by a 64-bit hash; item ids are joined to what was found.
+Documents are not shuffled.
 
 Defined cases: null or empty documents and items match nothing; an item of
 fewer than five words is one shingle (its whole sequence) and matches only
-documents made of just these words; repeated rows give the same pairs once
-per distinct (doc_id, item_id); other columns are ignored.
+documents made of just these words; a null ``item_id`` is a value like any
+other; repeated rows give the same pairs once per distinct (doc_id, item_id);
+other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, join_text, list_of, utf8
+from .common import arrow_map, cut, join_checked, join_text, list_of, utf8
 from .hashing import U, as_long, distinct_sets, mix, shingles
 
 WORDS = 5
@@ -113,12 +118,12 @@ def _search(index: ItemIndex, share: int):
         near = near[index.values[place] == values[near]]
         bounds = np.searchsorted(near, ranges)
         keys = [c for c in part.schema.names if c != "text"]
-        out = {"row": [], "item_id": [], "n_item": [], "n_shared": []}
+        out = {"row": [], "key": [], "n_item": [], "n_shared": []}
         for d in np.flatnonzero(np.diff(bounds)).tolist():
             own = values[ranges[d] : ranges[d + 1]]
             for item, shared in index.leaks(own, share, near[bounds[d] : bounds[d + 1]] - ranges[d]):
                 out["row"].append(d)
-                out["item_id"].append(int(index.ids[item]))
+                out["key"].append(int(index.ids[item]))
                 out["n_item"].append(len(index.sets[item]))
                 out["n_shared"].append(shared)
         row = pa.array(out.pop("row"), pa.int64())
@@ -132,32 +137,51 @@ def _item_sets(part: pa.RecordBatch) -> dict:
     return {"item_id": part.column("item_id"), "shingles": list_of(as_long(values), ranges, pa.int64())}
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, share: int = 80, by_text: bool = False) -> DataFrame:
-    """``doc_id, item_id, n_item, n_shared, containment`` of every leak of an
-    item (``item_id, text``) into a document (``doc_id, text``); with ``by_text``
-    also ``th``, the hash of the document's text."""
-    rows, key = docs.select("doc_id", "text"), ""
-    if by_text:
-        rows, key = rows.withColumn("th", F.xxhash64("text")), ", th long"
-    sets = arrow_map(items.select("item_id", "text"), "text", _item_sets, "item_id long, shingles array<bigint>")
-    sets = cut(sets.where("size(shingles) > 0 and item_id is not null").distinct())
+def _blocks(sets: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """The distinct sets (``key, shingles``), filled up to ``BLOCK_SHINGLES`` a block."""
+    sets = cut(sets.groupBy("key").agg(F.first("shingles").alias("shingles")))
     total = sets.agg(F.sum(F.size("shingles"))).head()[0] or 0
-    blocks = -(-total // BLOCK_SHINGLES)
+    rows = sets.repartition(max(1, -(-total // BLOCK_SHINGLES)), "key").sortWithinPartitions("key")
+    block, held = [], 0
+    for key, shingles_ in rows.toLocalIterator():  # the driver holds a partition and a block
+        if block and held + len(shingles_) > BLOCK_SHINGLES:
+            yield block
+            block, held = [], 0
+        block.append((key, np.array(shingles_, np.int64).view(U)))
+        held += len(shingles_)
+    if block:
+        yield block
+
+
+def _item_table(items: DataFrame) -> DataFrame:
+    sets = arrow_map(items.select("item_id", "text"), "text", _item_sets, "item_id long, shingles array<bigint>")
+    return cut(sets.where("size(shingles) > 0").select("item_id", F.xxhash64("shingles").alias("key"), "shingles"))
+
+
+def _leaks_of(docs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """The columns of ``docs`` but ``text``, with ``key, n_item, n_shared`` of every set found."""
+    kept = "".join(f"{c} long, " for c in docs.columns if c != "text")
+    schema = f"{kept}key long, n_item long, n_shared long"
     out = None
-    for b in range(blocks):
-        part = sets.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "shingles").collect()
-        if not part:
-            continue
-        index = ItemIndex([(r[0], np.array(r[1], np.int64).view(U)) for r in part])
-        found = arrow_map(rows, "text", _search(index, share), f"doc_id long{key}, item_id long, n_item long, n_shared long")
+    for block in _blocks(sets):
+        found = arrow_map(docs, "text", _search(ItemIndex(block), share), schema)
         out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = docs.sparkSession.createDataFrame([], f"doc_id long{key}, item_id long, n_item long, n_shared long")
-    return out.withColumn("containment", F.col("n_shared") / F.col("n_item")).distinct()
+    return docs.sparkSession.createDataFrame([], schema) if out is None else out
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, share: int = 80) -> DataFrame:
+    """``doc_id, item_id, n_item, n_shared, containment`` of every leak of an
+    item (``item_id, text``) into a document (``doc_id, text``)."""
+    sets = _item_table(items)
+    names = cut(sets.select("key", "item_id").distinct())
+    found = join_checked(_leaks_of(docs.select("doc_id", "text"), sets, share), names, "key", "inner", 24)
+    found = found.select("doc_id", "item_id", "n_item", "n_shared")
+    return found.withColumn("containment", F.col("n_shared") / F.col("n_item")).distinct()
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, share: int = 80) -> DataFrame:
     """``docs`` without the documents that an item leaks into, judged by id and
     text (rows without id too)."""
-    gone = cut(find_leaks(docs, items, share, by_text=True).select("doc_id", "th").distinct())
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
+    gone = cut(_leaks_of(rows, _item_table(items), share).select("doc_id", "th").distinct())
     return join_text(docs, gone, "left_anti", 24)
