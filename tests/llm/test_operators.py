@@ -330,6 +330,14 @@ def test_secrets(spark, docs):
     assert secrets.find_secrets(df.limit(0)).count() == 0
 
 
+def test_secrets_scope_is_the_gap_between_parts(spark):
+    value = "Ab1/" * 75
+    rows = [(1, f"token: {value}\nuser: bob"), (2, f"{value}{' ' * 200}user: bob"), (3, f"{value}{' ' * 201}user: bob"), (4, f"user: bob{' ' * 200}{value * 4}")]
+    got = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == "assign:0:307,secret:7:307,identifier:308:317" and got[3] == ""
+    assert got[2] == "secret:0:300,identifier:500:509" and got[4] == "identifier:0:9,secret:209:1409"
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(4)
     v = rng.normal(size=(400, 8)).astype(np.float32)

@@ -11,11 +11,12 @@ A credential is often spread over parts that say little alone. Weak parts are
 (an assigned value of 6 to 11 characters, or a run of 32 or more base-64
 characters) and ``endpoint`` (a URL). A weak part is reported only if a
 complementary part - a secret for an identifier or endpoint, an identifier or
-endpoint for a secret - co-occurs in its scope, i.e. starts within ``SCOPE``
-code points of it in the same document; strong spans count as parts too
+endpoint for a secret - co-occurs in its scope, i.e. at most ``SCOPE`` code
+points lie between the two in the same document; strong spans count as parts too
 (``access`` as identifier, ``assign`` and ``hex`` as secrets). Scopes meet in
-an interval join on bins of ``SCOPE`` code points, so a document with many
-parts costs their number times the few parts that fit in three bins.
+an interval join on bins of ``SCOPE`` code points, each part in all bins that it
+touches, so a document with many parts costs their bins times the few parts
+that fit in three bins.
 
 All of it is DataFrame expressions: positions come from the lengths of the
 pieces between matches. The text is read once; only spans are shuffled.
@@ -107,11 +108,14 @@ def linked_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     """``doc_id, th, linked``: the weak spans with a complementary part in scope."""
     every = parts.where(F.size("weak") > 0).select("doc_id", "th", F.explode(F.concat("strong", "weak")).alias("s")).distinct()
     every = every.select("doc_id", "th", F.col("s.start").alias("start"), F.col("s.rank").alias("rank"), F.col("s.end").alias("end"))
-    every = every.withColumn("secret", F.col("rank").isin(0, 2, 4)).withColumn("bin", F.floor(F.col("start") / scope))
-    near = every.where("rank >= 3").withColumn("bin", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)))
-    other = every.select(*[F.col(c).alias(f"o_{c}") for c in ("doc_id", "th", "start", "secret", "bin")])
+    every = every.withColumn("secret", F.col("rank").isin(0, 2, 4))
+    lo, hi = F.floor(F.col("start") / scope), F.floor(F.col("end") / scope)
+    near = every.where("rank >= 3").withColumn("bin", F.explode(F.sequence(lo - 1, hi + 1)))
+    other = every.withColumn("bin", F.explode(F.sequence(lo, hi)))
+    other = other.select(*[F.col(c).alias(f"o_{c}") for c in ("doc_id", "th", "start", "end", "secret", "bin")])
     same = F.col("doc_id").eqNullSafe(F.col("o_doc_id")) & (F.col("th") == F.col("o_th")) & (F.col("bin") == F.col("o_bin"))
-    in_scope = (F.col("secret") != F.col("o_secret")) & (F.abs(F.col("start") - F.col("o_start")) <= scope)
+    gap = F.greatest("start", "o_start") - F.least("end", "o_end")  # negative where they overlap
+    in_scope = (F.col("secret") != F.col("o_secret")) & (gap <= scope)
     kept = near.join(other, same & in_scope, "left_semi")
     return kept.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "rank", "end")).alias("linked"))
 
