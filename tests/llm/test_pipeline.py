@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_per_operator():
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 14))
     assert set(QUERIES) <= set(contract.queries()) and "pipeline" in contract.queries()
     assert set(ORACLE_SQL) <= set(contract.oracle_sql())
 
@@ -24,7 +24,7 @@ def test_one_query_per_operator():
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)

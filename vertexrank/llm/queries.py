@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align
 from .ann import neighbours
+from .clustering import CLUSTERS, DIM, ROUNDS, SCALE, SEED, cluster
 from .common import read_table
 from .decontaminate import find_leaks
 from .html_extract import extract
@@ -18,6 +20,16 @@ from .preference import format_preferences, neighbour_pairs, shared_prompt_pairs
 from .quality import quality
 from .secrets import find_secrets
 from .suffix_dedup import remove_repeats
+from .token_count import count_tokens
+
+# vocabulary files (see the public_tokenizers module); operators take any path
+BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +82,18 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(read_table(spark, sf_dir, "documents"), n=4, share=85)
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(read_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE), tokenizer_path(PIECE_BPE))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_preference_formatting": op2_preference_formatting,
@@ -82,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_multi_index_neighbours": op9_multi_index_neighbours,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_token_counts": op13_token_counts,
 }
 
 _WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
@@ -96,6 +123,27 @@ SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= {n}
 FROM (SELECT {key}, {_WORDS} AS w FROM {table} WHERE text IS NOT NULL)"""
 
 
+def _clustering_sql() -> str:
+    """Lloyd's rounds written out one after the other (x: component, d: its place)."""
+    parts = [
+        f"""k AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings WHERE len(embedding) = {DIM}
+  AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {DIM})""",
+        f"v AS MATERIALIZED (SELECT r, unnest(range({DIM})) AS d, CAST(floor({SCALE} * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x FROM k)",
+        f"""f AS (SELECT r, row_number() OVER (ORDER BY sha256('{SEED}:' || vec_id)) - 1 AS c FROM k WHERE vec_id IS NOT NULL),
+c0 AS MATERIALIZED (SELECT c, d, x FROM f JOIN v USING (r) WHERE c < {CLUSTERS})""",
+    ]
+    for i in range(ROUNDS + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (SELECT r, min(s * {CLUSTERS} + c) AS m FROM (
+  SELECT v.r, c.c, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS s FROM v JOIN c{i} c USING (d) GROUP BY v.r, c.c) GROUP BY r)""")
+        parts.append(f"""c{i + 1} AS MATERIALIZED (SELECT c, d, CAST(coalesce((s - ((s % n) + n) % n) // n, x) AS BIGINT) AS x FROM c{i} LEFT JOIN (
+  SELECT m % {CLUSTERS} AS c, d, sum(x) AS s, count(*) AS n FROM a{i} JOIN v USING (r) GROUP BY 1, 2) USING (c, d))""")
+    return f"""WITH {", ".join(parts)},
+h AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{ROUNDS} GROUP BY c),
+o AS (SELECT vec_id, m % {CLUSTERS} AS c, m // {CLUSTERS} AS distance FROM a{ROUNDS} JOIN k USING (r))
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256 FROM o JOIN h USING (c)"""
+
+
 # DuckDB SQL of the queries that SQL can express on whole tables
 ORACLE_SQL: dict[str, str] = {
     "op2_preference_formatting": """
@@ -146,6 +194,7 @@ l AS MATERIALIZED (
 r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
 FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM r GROUP BY a) USING (doc_id)""",
+    "op11_centroid_clustering": _clustering_sql(),
 }
 
 # the pairs of the second form, formatted by the same SQL
