@@ -9,10 +9,13 @@ from .operators import (
     RankResult,
     adjacency,
     close_dangling,
+    compact_adjacency,
     contributions,
     dangling,
     dangling_mass,
+    decode_vertices,
     degree_table,
+    encode_edges,
     graph_stats,
     order_ranks,
     out_degrees,
@@ -22,11 +25,14 @@ from .operators import (
     source_inflow,
     sources,
     split_sources,
+    unpack_neighbours,
+    vertex_dictionary,
     vertices,
     with_in_edges,
     with_out_edges,
     with_positions,
 )
+from .plans.saved import SavedGraph, open_graph, save_graph
 from .session import build_session, checkpoint_dir
 from .sources import (
     edge_line_report,
@@ -37,23 +43,30 @@ from .sources import (
     read_edges,
     read_rank_history,
     read_ranks,
+    sort_edge_lines,
+    store_edge_lines,
     write_ranks,
 )
 
 __all__ = [
     "RankResult",
+    "SavedGraph",
     "adjacency",
     "build_session",
     "checkpoint_dir",
     "close_dangling",
+    "compact_adjacency",
     "contributions",
     "dangling",
     "dangling_mass",
+    "decode_vertices",
     "degree_table",
     "edge_line_report",
     "edges_from_table",
+    "encode_edges",
     "graph_stats",
     "normalize_edges",
+    "open_graph",
     "order_ranks",
     "out_degrees",
     "parse_edge_lines",
@@ -64,9 +77,14 @@ __all__ = [
     "read_edges",
     "read_rank_history",
     "read_ranks",
+    "save_graph",
+    "sort_edge_lines",
     "source_inflow",
     "sources",
     "split_sources",
+    "store_edge_lines",
+    "unpack_neighbours",
+    "vertex_dictionary",
     "vertices",
     "with_in_edges",
     "with_out_edges",

@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 from .operators import (
     adjacency,
     close_dangling,
+    compact_adjacency,
     contributions,
     dangling,
     dangling_mass,
     degree_table,
+    encode_edges,
     graph_stats,
     order_ranks,
     out_degrees,
@@ -35,13 +37,16 @@ from .operators import (
     source_inflow,
     sources,
     split_sources,
+    unpack_neighbours,
+    vertex_dictionary,
     vertices,
     with_in_edges,
     with_out_edges,
     with_positions,
 )
+from .plans.saved import open_graph, save_graph
 from .session import scratch_path
-from .sources.edges import edge_line_report, normalize_edges, parse_edge_lines, read_edges
+from .sources.edges import edge_line_report, normalize_edges, parse_edge_lines, read_edges, store_edge_lines
 from .sources.graphs import customer_supplier, load_table, order_chain, part_chain
 from .sources.sinks import read_rank_history, read_ranks, write_ranks
 
@@ -124,6 +129,14 @@ def q_read_edges_text(spark, sf_dir):
     return read_edges(spark, path)
 
 
+def q_stored_edges(spark, sf_dir):
+    return store_edge_lines(_edge_text_lines(spark, sf_dir), scratch_path(spark, "lines"))[0]
+
+
+def q_edge_rejects(spark, sf_dir):
+    return store_edge_lines(_edge_text_lines(spark, sf_dir), scratch_path(spark, "lines"))[1]
+
+
 # ------------------------------------------------------------------ graph SQL
 
 _CHAIN_SQL = """SELECT DISTINCT src, dst FROM (
@@ -345,6 +358,58 @@ def q_rank_history(spark, sf_dir):
     return read_rank_history(spark, path).select("iteration", "vertex", _r6())
 
 
+def q_rank_resumed(spark, sf_dir, **kw):
+    """Stopped after half of the steps, then resumed; every iteration of both runs."""
+    path = scratch_path(spark, "resumed")
+    edges = order_chain(spark, sf_dir)
+    rank(edges, max_iter=K // 2, history_path=path, **kw)
+    rank(edges, max_iter=K, history_path=path, resume=True, **kw)
+    return read_rank_history(spark, path).select("iteration", "vertex", _r6())
+
+
+def _saved_rank_query(g: str, hot_threshold: int | None = None, **kw):
+    """Laid out on disk, opened again, and ranked twice from there: the second run."""
+
+    def run(spark, sf_dir):
+        path = scratch_path(spark, "graph")
+        save_graph(_graph(g)(spark, sf_dir), path, hot_threshold=hot_threshold)
+        rank(open_graph(spark, path), max_iter=1, **kw)
+        return _ranks6(rank(open_graph(spark, path), max_iter=K, **kw).ranks)
+
+    return run
+
+
+def q_rank_order_free(spark, sf_dir):
+    """Run on two layouts with sums that do not depend on them: rows of either
+    that the other has not to the last bit would be missing here."""
+    edges = order_chain(spark, sf_dir)
+    a, b = (rank(edges, dangling="redistribute", tol=TOL, order_free=True, num_partitions=n, hot_threshold=h) for n, h in ((3, None), (11, HUB_THRESHOLD)))
+    both = a.ranks.join(b.ranks, ["vertex", "rank"]) if a.deltas == b.deltas else a.ranks.limit(0)
+    return both.select("vertex", F.lit(a.iterations).cast("long").alias("iterations"), _r6())
+
+
+def q_compact_adjacency(spark, sf_dir):
+    edges = order_chain(spark, sf_dir)
+    names = vertex_dictionary(edges)
+    lists = unpack_neighbours(compact_adjacency(encode_edges(edges, names), names.count(), chunk_size=64))
+    whole = lists.groupBy("vertex", "out_degree").agg(F.array_sort(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
+    return whole.select("vertex", "out_degree", F.array_join("neighbours", ",").alias("neighbours"))
+
+
+def q_ranks_in_part_files(spark, sf_dir):
+    """Sorted ranks in text files of a set size: a row's position is its place in
+    the files taken in name order."""
+    path = scratch_path(spark, "parts")
+    ranks = _ranks6(rank(order_chain(spark, sf_dir), max_iter=K).ranks)
+    write_ranks(ranks, path, fmt="parquet", part_bytes=8192)
+    back = spark.read.parquet(path).select("vertex", "rank", "_metadata.file_name", "_metadata.row_index")
+    sizes = back.groupBy("file_name").agg(F.count("*").alias("n"))  # one row per file
+    before = sizes.select("file_name", (F.sum("n").over(Window.orderBy("file_name")) - F.col("n")).alias("before"))
+    return back.join(F.broadcast(before), "file_name").select(
+        "vertex", "rank", (F.col("before") + F.col("row_index") + 1).cast("long").alias("position")
+    )
+
+
 def _topo(g: str, fn, post=None):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = fn(_graph(g)(spark, sf_dir))
@@ -359,6 +424,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "edge_line_report": q_edge_line_report,
     "normalize_edges": q_normalize_edges,
     "read_edges_text": q_read_edges_text,
+    "stored_edges": q_stored_edges,
+    "edge_rejects": q_edge_rejects,
+    # dense ids
+    "vertex_dictionary": _topo("F", vertex_dictionary),
+    "encode_edges": _topo("F", lambda e: encode_edges(e, vertex_dictionary(e))),
+    "compact_adjacency": q_compact_adjacency,
+    "rank_self_loop_dense": _rank_query("F", max_iter=K, dense_ids=True),
+    "rank_redistribute_pruned_dense_hubs": _rank_query(
+        "F", dangling="redistribute", prune_sources=True, max_iter=K, dense_ids=True, hot_threshold=HUB_THRESHOLD
+    ),
+    # a graph on disk, a run resumed, sums without an order
+    "rank_saved_graph": _saved_rank_query("F"),
+    "rank_saved_graph_pruned_hubs": _saved_rank_query("F", HUB_THRESHOLD, dangling="redistribute", prune_sources=True),
+    "rank_saved_graph_c": _saved_rank_query("C", dangling="redistribute"),
+    "rank_resumed": q_rank_resumed,
+    "rank_resumed_pruned": lambda spark, sf_dir: q_rank_resumed(spark, sf_dir, dangling="redistribute", prune_sources=True),
+    "rank_order_free": q_rank_order_free,
     # topology
     "with_out_edges": _topo("F", with_out_edges),
     "with_in_edges": _topo("F", with_in_edges),
@@ -427,6 +509,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # order and sinks
     "order_ranks": q_order_ranks,
     "rank_positions": q_rank_positions,
+    "ranks_in_part_files": q_ranks_in_part_files,
     "write_ranks_roundtrip": q_write_ranks_roundtrip,
     "rank_history": q_rank_history,
 }
@@ -445,6 +528,17 @@ def _oracle() -> dict[str, str]:
 FROM {_FIELDS_SQL}"""
     sql["normalize_edges"] = f"SELECT DISTINCT src, dst FROM {_PARSED_SQL} WHERE src <> '0' AND dst <> '0'"
 
+    sql["stored_edges"] = sql["normalize_edges"]
+    sql["edge_rejects"] = f"""SELECT value, CASE WHEN len(f) < 2 THEN 'malformed' ELSE 'sentinel' END AS problem
+FROM (SELECT value, string_split(rtrim(value, chr(9)), chr(9)) AS f FROM {_LINES_SQL})
+WHERE len(f) < 2 OR trim(f[1], '"') = '0' OR trim(f[2], '"') = '0'"""
+    ids = "i AS MATERIALIZED (SELECT v, row_number() OVER (ORDER BY v) - 1 AS id FROM v)"
+    with_ids = lambda body: _with_graph("F", "").rstrip() + f",\n{ids}\n{body}"
+    sql["vertex_dictionary"] = with_ids("""SELECT v AS vertex, id, coalesce(o.n, 0) AS out_degree, coalesce(t.n, 0) AS in_degree FROM i
+LEFT JOIN (SELECT src AS v, count(*) AS n FROM e GROUP BY src) o USING (v) LEFT JOIN (SELECT dst AS v, count(*) AS n FROM e GROUP BY dst) t USING (v)""")
+    sql["encode_edges"] = with_ids("SELECT a.id AS src, b.id AS dst FROM e JOIN i a ON a.v = e.src JOIN i b ON b.v = e.dst")
+    sql["compact_adjacency"] = with_ids("""SELECT a.id AS vertex, count(*) AS out_degree, string_agg(CAST(b.id AS VARCHAR), ',' ORDER BY b.id) AS neighbours
+FROM e JOIN i a ON a.v = e.src JOIN i b ON b.v = e.dst GROUP BY a.id""")
     sql["read_edges_text"] = _with_graph(
         "F", "SELECT CAST(src AS VARCHAR) AS src, CAST(dst AS VARCHAR) AS dst FROM e"
     )
@@ -483,7 +577,9 @@ FROM e GROUP BY src""",
     for g, name in (("F", "graph_stats"), ("C", "graph_stats_c"), ("P", "graph_stats_p")):
         sql[name] = _with_graph(g, stats)
     sql["split_sources"] = _with_graph(
-        "F", "SELECT src, dst, src NOT IN (SELECT dst FROM e) AS from_source FROM e"
+        "F",
+        """SELECT e.src, e.dst, t.v IS NULL AS from_source
+FROM e LEFT JOIN (SELECT DISTINCT dst AS v FROM e) t ON t.v = e.src""",
     )
     inflow = """SELECT e.dst AS vertex, R6(sum(1.0::DOUBLE / d.deg)) AS source_in
 FROM e JOIN (SELECT src, count(*) AS deg FROM e GROUP BY src) d ON d.src = e.src
@@ -520,9 +616,12 @@ WHERE e.src NOT IN (SELECT dst FROM e) GROUP BY e.dst"""
             sql["rank_broadcast"] = sl
             sql["rank_redistribute_pruned_hubs"] = la
             sql["rank_broadcast_pruned"] = la
+            sql["rank_self_loop_dense"] = sql["rank_saved_graph"] = sl
+            sql["rank_redistribute_pruned_dense_hubs"] = sql["rank_saved_graph_pruned_hubs"] = la
         if g == "C":
             sql["rank_redistribute_pruned_hubs_c"] = la
             sql["rank_broadcast_pruned_c"] = la
+            sql["rank_saved_graph_c"] = rd
         if g == "P":
             sql["rank_redistribute_p"] = rd
             sql["rank_redistribute_pruned_p"] = la
@@ -539,12 +638,16 @@ WHERE e.src NOT IN (SELECT dst FROM e) GROUP BY e.dst"""
         "SELECT vertex, rank, row_number() OVER (ORDER BY rank, vertex) AS position FROM "
         f"(SELECT v AS vertex, R6(rank) AS rank FROM r WHERE k = {K})"
     )
-    sql["rank_positions"] = sql["order_ranks"]
+    sql["rank_positions"] = sql["ranks_in_part_files"] = sql["order_ranks"]
     sql["write_ranks_roundtrip"] = sl_r + (
         "SELECT fmt, v AS vertex, R6(rank) AS rank FROM r "
         f"CROSS JOIN (VALUES ('tuple'), ('tsv')) t(fmt) WHERE k = {K}"
     )
     sql["rank_history"] = sl_r + "SELECT CAST(k AS INTEGER) AS iteration, v AS vertex, R6(rank) AS rank FROM r"
+    sql["rank_resumed"] = sql["rank_history"]
+    look_ahead = _lookahead_rank_cte("F", K)
+    sql["rank_resumed_pruned"] = look_ahead + "SELECT CAST(k AS INTEGER) AS iteration, v AS vertex, R6(rank) AS rank FROM r"
+    sql["rank_order_free"] = sql["rank_tolerance"]
     return sql
 
 

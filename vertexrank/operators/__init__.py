@@ -3,6 +3,7 @@
 from .topology import (
     adjacency,
     close_dangling,
+    compact_adjacency,
     dangling,
     degree_table,
     graph_stats,
@@ -10,27 +11,34 @@ from .topology import (
     source_inflow,
     sources,
     split_sources,
+    unpack_neighbours,
     vertices,
     with_in_edges,
     with_out_edges,
 )
 from .step import contributions, dangling_mass, layout_step, rank_delta, rank_step
 from .loop import RankResult, iterate, measure_state
+from .order import number_rows, order_ranks, with_positions
+from .dictionary import decode_vertices, encode_edges, encode_vertices, vertex_dictionary
 from .rank import rank
-from .order import order_ranks, with_positions
 
 __all__ = [
     "RankResult",
     "adjacency",
     "close_dangling",
+    "compact_adjacency",
     "contributions",
     "dangling",
     "dangling_mass",
+    "decode_vertices",
     "degree_table",
+    "encode_edges",
+    "encode_vertices",
     "graph_stats",
     "iterate",
     "layout_step",
     "measure_state",
+    "number_rows",
     "order_ranks",
     "out_degrees",
     "rank",
@@ -39,6 +47,8 @@ __all__ = [
     "source_inflow",
     "sources",
     "split_sources",
+    "unpack_neighbours",
+    "vertex_dictionary",
     "vertices",
     "with_in_edges",
     "with_out_edges",

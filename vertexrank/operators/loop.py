@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..functions.sums import order_free_sum
 from ..plans.lineage import cut_lineage
 
 
@@ -36,28 +37,29 @@ class RankResult:
         return order_ranks(self.ranks)
 
 
-def _measures():
+def _measures(order_free: bool = False):
+    add = order_free_sum if order_free else lambda value: F.sum(F.expr(value))
     return (
-        F.coalesce(F.sum(F.abs(F.col("rank") - F.col("prev_rank"))), F.lit(0.0)).alias("delta"),
-        F.coalesce(F.sum(F.when(F.col("is_dangling"), F.col("rank"))), F.lit(0.0)).alias("dmass"),
+        F.coalesce(add("abs(rank - prev_rank)"), F.lit(0.0)).alias("delta"),
+        F.coalesce(add("CASE WHEN is_dangling THEN rank END"), F.lit(0.0)).alias("dmass"),
         F.count(F.lit(1)).alias("rows"),
     )
 
 
-def measure_state(state: DataFrame) -> tuple[float, float]:
+def measure_state(state: DataFrame, order_free: bool = False) -> tuple[float, float]:
     """(L1 change, rank held by dangling vertices) of a state, in one job."""
-    row = state.agg(*_measures()).first()
+    row = state.agg(*_measures(order_free)).first()
     return float(row["delta"]), float(row["dmass"])
 
 
-def checkpoint_and_measure(new: DataFrame, expected_rows: int | None) -> tuple[DataFrame, float, float]:
+def checkpoint_and_measure(new: DataFrame, expected_rows: int | None, order_free: bool = False) -> tuple[DataFrame, float, float]:
     """Checkpoint a state and return it with its L1 change and dangling rank."""
     obs = Observation()
-    state = cut_lineage(new.observe(obs, *_measures()))
+    state = cut_lineage(new.observe(obs, *_measures(order_free)))
     seen = obs.get
     if expected_rows is not None and seen.get("rows") == expected_rows:
         return state, float(seen["delta"]), float(seen["dmass"])
-    delta, dmass = measure_state(state)
+    delta, dmass = measure_state(state, order_free)
     return state, delta, dmass
 
 
@@ -70,24 +72,28 @@ def iterate(
     initial_dangling_rank: float,
     expected_rows: int | None = None,
     on_iteration: Callable[[int, DataFrame, float], None] | None = None,
+    done: int = 0,
+    order_free: bool = False,
 ) -> tuple[DataFrame, int, list[float], list[float]]:
     """Repeat ``step`` until the L1 change is at most ``tol`` or ``max_iter``
     steps ran (whichever first); at least one step always runs.
 
     ``step(state, k, dangling_rank)`` builds iteration ``k`` lazily from the
     previous state and the rank its dangling vertices held. ``expected_rows``
-    is the state size, used to validate the observed measures. Returns the final
-    state, the number of steps, and the L1 change and dangling rank per step.
+    is the state size, used to validate the observed measures. ``done`` steps ran
+    before (``state`` is theirs); they count for ``max_iter``. ``order_free`` measures
+    with sums that do not depend on the partitions. Returns the final state, the
+    number of all steps, and the L1 change and dangling rank per step run here.
     """
     if tol is None and max_iter is None:
         raise ValueError("give tol, max_iter or both")
     deltas: list[float] = []
     masses: list[float] = []
     dangling_rank = initial_dangling_rank
-    k = 0
+    k = done
     while True:
         k += 1
-        state, delta, dangling_rank = checkpoint_and_measure(step(state, k, dangling_rank), expected_rows)
+        state, delta, dangling_rank = checkpoint_and_measure(step(state, k, dangling_rank), expected_rows, order_free)
         deltas.append(delta)
         masses.append(dangling_rank)
         if on_iteration is not None:

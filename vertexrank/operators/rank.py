@@ -23,22 +23,27 @@ forms the L1 change counts the iterated vertices only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.layout import BROADCAST_MAX_VERTICES, build_layout
-from ..plans.lineage import keep, release
-from ..session import path_exists, sql_conf
+from ..plans.layout import BROADCAST_MAX_VERTICES, GraphLayout, build_layout
+from ..plans.lineage import cut_lineage, keep, release
+from ..plans.saved import SavedGraph
+from ..session import list_folder, path_exists, sql_conf
 from ..sources.edges import normalize_edges
-from .loop import RankResult, iterate
+from .dictionary import decode_vertices, encode_edges, encode_vertices, vertex_dictionary
+from .loop import RankResult, iterate, measure_state
 from .step import POLICIES, REDISTRIBUTE, layout_step
 
 STRATEGIES = ("shuffle", "broadcast")
 
 
 def rank(
-    edges: DataFrame,
+    edges: DataFrame | SavedGraph,
     *,
     dangling: str = "self_loop",
     prune_sources: bool = False,
@@ -51,8 +56,13 @@ def rank(
     hot_threshold: int | None = None,
     broadcast_max_vertices: int = BROADCAST_MAX_VERTICES,
     history_path: str | None = None,
+    resume: bool = False,
+    dense_ids: bool = False,
+    order_free: bool = False,
 ) -> RankResult:
-    """Rank the vertices of ``edges`` (columns ``src, dst``, any one key type).
+    """Rank the vertices of ``edges`` (columns ``src, dst``, any one key type), or
+    of a graph laid out on disk (``save_graph``, ``open_graph``), whose partitions
+    and hubs are those it was saved with.
 
     Stops when the L1 change is at most ``tol`` or after ``max_iter`` steps,
     whichever comes first; ``tol`` alone runs to the tolerance, ``max_iter``
@@ -67,6 +77,14 @@ def rank(
     ``history_path`` (a folder under a shared filesystem, not yet there)
     receives every iteration's ranks as parquet partitioned by ``iteration``, 0
     included.
+    ``resume=True`` goes on from the last finished iteration in ``history_path``
+    (none: from the start) and writes what follows there; ``iterations`` and
+    ``max_iter`` count all steps, ``deltas`` has those run now. The settings must
+    be those the history was written with; they are kept beside it and compared.
+    ``dense_ids=True`` runs the loop on BIGINT ids from a dictionary of the keys,
+    so a step shuffles eight bytes per id; results carry the keys.
+    ``order_free=True`` adds up in integers (``functions/sums.py``): ranks, changes
+    and so the number of steps are the same to the last bit for any partitioning.
     ``num_partitions=None`` sizes the loop's partitions from the edge count.
     """
     if dangling not in POLICIES:
@@ -77,7 +95,12 @@ def rank(
         raise ValueError("give tol, max_iter or both")
     if max_iter is not None and max_iter < 1:
         raise ValueError("max_iter must be at least 1")
-    spark = edges.sparkSession
+    saved = edges if isinstance(edges, SavedGraph) else None
+    if saved is not None and (dense_ids or strategy != "shuffle"):
+        raise ValueError("a saved graph runs as it was laid out: save encoded edges, use the shuffle strategy")
+    if resume and history_path is None:
+        raise ValueError("resume needs history_path")
+    spark = saved.spark if saved is not None else edges.sparkSession
     redistribute = dangling == REDISTRIBUTE
     base = 1.0 - damping
 
@@ -88,26 +111,38 @@ def rank(
     # The input plan (scans, joins, de-duplication) runs first, under the
     # session's own settings, so adaptive skew-join handling still applies to it.
     inputs: list[DataFrame] = []
+    names: list[DataFrame] = []
     layout = None
     try:
-        clean = keep(normalize_edges(edges, sentinel=None), inputs)
-        n_edges = clean.count()
+        dictionary = clean = None
+        if saved is None:
+            clean = keep(normalize_edges(edges, sentinel=None), inputs)
+            n_edges = clean.count()
+            if dense_ids:
+                dictionary = keep(vertex_dictionary(clean), names)
+                given, clean = clean, keep(encode_edges(clean, dictionary), inputs)
+                clean.count()
+                given.unpersist(blocking=False)
         shuffle_partitions = spark.conf.get("spark.sql.shuffle.partitions")
         loop_conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": shuffle_partitions}
         with sql_conf(spark, loop_conf):
-            layout = build_layout(
-                clean,
-                n_edges=n_edges,
-                num_partitions=num_partitions,
-                prune_sources=prune_sources,
-                strategy=strategy,
-                initial_rank=initial_rank,
-                hot_threshold=hot_threshold,
-                broadcast_max_vertices=broadcast_max_vertices,
-            )
+            if saved is not None:
+                layout = saved.layout(prune_sources=prune_sources, initial_rank=initial_rank)
+            else:
+                layout = build_layout(
+                    clean,
+                    n_edges=n_edges,
+                    num_partitions=num_partitions,
+                    prune_sources=prune_sources,
+                    strategy=strategy,
+                    initial_rank=initial_rank,
+                    hot_threshold=hot_threshold,
+                    broadcast_max_vertices=broadcast_max_vertices,
+                    order_free=order_free,
+                )
             release(inputs)
             if layout.is_empty:
-                return RankResult(_empty_ranks(clean), 0, [], [], None if tol is None else True)
+                return RankResult(_empty_ranks(spark, edges, saved), 0, [], [], None if tol is None else True)
             n_vertices = float(layout.n_vertices)
             masses: list[float] = []  # dangling mass m used by each step
 
@@ -125,7 +160,7 @@ def rank(
                 if prune_sources:
                     src_rank = initial_rank if k == 1 else source_rank_at(k, m)
                 return layout_step(
-                    layout, state, self_loop=not redistribute, damping=damping, mass=m, source_rank=src_rank
+                    layout, state, self_loop=not redistribute, damping=damping, mass=m, source_rank=src_rank, order_free=order_free
                 )
 
             def full_ranks(state: DataFrame, source_value: float | None) -> DataFrame:
@@ -134,43 +169,107 @@ def rank(
                     ranks = ranks.unionByName(
                         layout.factored.select("vertex", F.lit(float(source_value)).alias("rank"))
                     )
-                return ranks
+                return ranks if dictionary is None else decode_vertices(ranks, dictionary)
 
-            on_iteration = None
+            on_iteration, done = None, 0
+            start, dangling_rank = layout.state, initial_rank * layout.n_dangling
             if history_path is not None:
-                if path_exists(spark, history_path):
-                    raise FileExistsError(f"history_path is in use: {history_path}")
-                _write_history(full_ranks(layout.state, initial_rank), 0, history_path)
+                settings = dict(
+                    dangling=dangling, prune_sources=prune_sources, damping=damping, initial_rank=initial_rank,
+                    n_vertices=layout.n_vertices, n_edges=layout.n_edges,
+                )
+                done = _open_history(spark, history_path, settings, resume)
+                if done is None:
+                    _write_history(full_ranks(layout.state, initial_rank), 0, history_path)
+                    done = 0
 
                 def on_iteration(k: int, state: DataFrame, _dangling_rank: float) -> None:
                     _write_history(full_ranks(state, source_rank_at(k, masses[-1])), k, history_path)
 
+            deltas: list[float] = []
+            if done:
+                start, mass = _state_after(spark, layout, history_path, done, dictionary, redistribute)
+                delta, dangling_rank = measure_state(start, order_free)
+                masses.append(mass)  # of the last step done
+                if (tol is not None and delta <= tol) or (max_iter is not None and done >= max_iter):
+                    final = full_ranks(start, source_rank_at(done, mass))
+                    return RankResult(_kept(final, dictionary), done, deltas, [], None if tol is None else delta <= tol)
+                masses.clear()
             state, k, deltas, _ = iterate(
-                layout.state,
+                start,
                 step,
                 tol=tol,
                 max_iter=max_iter,
-                initial_dangling_rank=initial_rank * layout.n_dangling,
+                initial_dangling_rank=dangling_rank,
                 expected_rows=layout.n_state,
                 on_iteration=on_iteration,
+                done=done,
+                order_free=order_free,
             )
-            final = full_ranks(state, source_rank_at(k, masses[-1]))
+            final = _kept(full_ranks(state, source_rank_at(k, masses[-1])), dictionary)
     finally:  # caches go whether the loop finished or failed
         release(inputs)
+        release(names)
         if layout is not None:
             layout.close()
     return RankResult(final, k, deltas, masses, None if tol is None else deltas[-1] <= tol)
 
 
+def _kept(ranks: DataFrame, dictionary: DataFrame | None) -> DataFrame:
+    """Decoded ranks are written once, so the dictionary need not outlive the run."""
+    return ranks if dictionary is None else cut_lineage(ranks)
+
+
 def _write_history(ranks: DataFrame, k: int, path: str) -> None:
-    ranks.select("vertex", "rank").write.mode("error").parquet(f"{path.rstrip('/')}/iteration={k}")
+    # an iteration that an earlier run left unfinished is replaced
+    ranks.select("vertex", "rank").write.mode("overwrite").parquet(f"{path.rstrip('/')}/iteration={k}")
+
+
+def _open_history(spark: SparkSession, path: str, settings: dict, resume: bool) -> int | None:
+    """The last iteration of which this one and all before are finished in
+    ``path`` (none: ``None``); a new history gets its settings written."""
+    path, beside = path.rstrip("/"), f"{path.rstrip('/')}/_settings"
+    if not resume and path_exists(spark, path):
+        raise FileExistsError(f"history_path is in use: {path}")
+    there = {int(m[1]) for name in list_folder(spark, path) if (m := re.fullmatch(r"iteration=(\d+)", name))}
+    there = {k for k in there if "_SUCCESS" in list_folder(spark, f"{path}/iteration={k}")}
+    done = None
+    while (0 if done is None else done + 1) in there:
+        done = 0 if done is None else done + 1
+    if "_SUCCESS" in list_folder(spark, beside):
+        found = json.loads(spark.read.text(beside).first()["value"])
+        if found != settings:
+            raise ValueError(f"history_path was written with other settings: {found}")
+    elif done is not None:
+        raise ValueError(f"history_path has no settings: {path}")
+    else:
+        spark.range(1).select(F.lit(json.dumps(settings, sort_keys=True)).alias("value")).write.mode("overwrite").text(beside)
+    return done
+
+
+def _state_after(
+    spark: SparkSession, layout: GraphLayout, path: str, k: int, dictionary: DataFrame | None, redistribute: bool
+) -> tuple[DataFrame, float]:
+    """The layout's state as it was after step ``k``, from the history, and the
+    dangling mass that step used (read off the ranks before it)."""
+
+    def ranks_at(i: int, name: str) -> DataFrame:
+        rows = spark.read.parquet(f"{path.rstrip('/')}/iteration={i}").select("vertex", "rank")
+        return (rows if dictionary is None else encode_vertices(rows, dictionary)).withColumnRenamed("rank", name)
+
+    fixed = layout.state.drop("rank", "prev_rank")
+    state = fixed.join(ranks_at(k, "rank").hint("merge"), "vertex").join(ranks_at(k - 1, "prev_rank").hint("merge"), "vertex")
+    state = cut_lineage(state.select(*layout.state.columns))
+    if state.count() != layout.n_state:
+        raise ValueError(f"iteration {k} in {path} is of another graph")
+    mass = 0.0
+    if redistribute:
+        held = state.where("is_dangling").agg(F.sum("prev_rank")).first()[0]
+        mass = float(held or 0.0) / layout.n_vertices
+    return state, mass
 
 
-def _empty_ranks(edges: DataFrame) -> DataFrame:
-    schema = T.StructType(
-        [
-            T.StructField("vertex", edges.schema["src"].dataType, False),
-            T.StructField("rank", T.DoubleType(), False),
-        ]
-    )
-    return edges.sparkSession.createDataFrame([], schema)
+def _empty_ranks(spark: SparkSession, edges: DataFrame | SavedGraph, saved: SavedGraph | None) -> DataFrame:
+    keys = spark.read.parquet(f"{saved.path}/vertices").schema["vertex"] if saved is not None else edges.schema["src"]
+    schema = T.StructType([T.StructField("vertex", keys.dataType, False), T.StructField("rank", T.DoubleType(), False)])
+    return spark.createDataFrame([], schema)

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sums import limbs_sql, total_sql
 from ..plans.layout import STATE_COLUMNS, GraphLayout
 from .topology import close_dangling, dangling, join_source, out_degrees
 
@@ -114,30 +115,38 @@ def layout_step(
     damping: float,
     mass: float,
     source_rank: float | None,
+    order_free: bool = False,
 ) -> DataFrame:
     """Next state from ``state`` over a laid-out graph (lazy, one exchange).
 
     ``mass`` is the dangling mass to add (0 for the self-loop policy);
     ``source_rank`` the rank the factored-out sources hold during this step
-    (``None`` when sources are not factored out). Expressions are given as SQL
+    (``None`` when sources are not factored out). ``order_free`` adds shares up as
+    two integers each, so the sums do not depend on the partitions. Expressions are given as SQL
     strings (``selectExpr``): the loop builds a new plan every iteration, and
     one string per projection is far fewer driver round trips than a tree of
     column objects.
     """
-    shares = state.selectExpr("vertex AS src", f"{SHARE_EXPR} AS share")
+    if order_free:
+        parts_of = limbs_sql(SHARE_EXPR)
+        share_columns = [f"{x} AS {name}" for x, name in zip(parts_of, ("share_hi", "share_lo"), strict=True)]
+        inflow_sum = total_sql("sum(share_hi)", "sum(share_lo)")
+    else:
+        share_columns, inflow_sum = [f"{SHARE_EXPR} AS share"], "sum(share)"
+    shares = state.selectExpr("vertex AS src", *share_columns)
     parts = []
     if layout.cold_edges is not None:
         parts.append(layout.cold_edges.join(shares.hint("merge"), "src"))
     if layout.hot_edges is not None:
         senders = shares if layout.strategy == "broadcast" else (
-            state.where("is_hot").selectExpr("vertex AS src", f"{SHARE_EXPR} AS share")
+            state.where("is_hot").selectExpr("vertex AS src", *share_columns)
         )
         parts.append(layout.hot_edges.join(F.broadcast(senders), "src"))
     if parts:
         msgs = parts[0]
         for extra in parts[1:]:
             msgs = msgs.unionByName(extra)
-        inflow = msgs.groupBy("dst").agg(F.expr("sum(share) AS inflow")).withColumnRenamed("dst", "vertex")
+        inflow = msgs.groupBy("dst").agg(F.expr(f"{inflow_sum} AS inflow")).withColumnRenamed("dst", "vertex")
         fed = state.join(inflow.hint("merge"), "vertex", "left")
         total = "coalesce(inflow, double('0.0'))"
     else:  # every edge left the loop with its source: nothing to join or shuffle

@@ -98,6 +98,40 @@ def adjacency(edges: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE) -> DataFra
     )
 
 
+def compact_adjacency(edges: DataFrame, n_vertices: int, chunk_size: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
+    """Neighbour lists of dense ids (``src, dst`` in 0 .. n_vertices - 1) in few bytes:
+    ``vertex, chunk, out_degree, n, base, width, packed``.
+
+    A vertex's targets are cut by id range into about ``out_degree / chunk_size``
+    chunks; a chunk is sorted, and each target stored as its difference from the
+    smallest (``base``) in the fewest bytes (1, 2, 4 or 8) that hold the largest
+    difference. The differences have one width, so a list is read in one pass
+    (:func:`unpack_neighbours`) or at any place.
+    """
+    deg = out_degrees(edges).withColumnRenamed("vertex", "src")
+    parts = F.ceil(F.col("out_degree") / F.lit(chunk_size)).cast("long")
+    chunk = F.floor(F.col("dst") / F.lit(float(max(n_vertices, 1))) * parts).cast("long")
+    lists = (
+        join_source(edges.select("src", "dst"), deg)
+        .groupBy(F.col("src").alias("vertex"), chunk.alias("chunk"), "out_degree")
+        .agg(F.array_sort(F.collect_list("dst")).alias("_to"))
+        .withColumn("base", F.element_at("_to", 1))
+    )
+    span = F.element_at("_to", -1) - F.col("base")
+    width = F.when(span < 1 << 8, 1).when(span < 1 << 16, 2).when(span < 1 << 32, 4).otherwise(8)
+    lists = lists.withColumn("width", width)
+    digits = F.transform("_to", lambda to: F.lpad(F.hex(to - F.col("base")), 2 * F.col("width"), F.lit("0")))
+    return lists.select("vertex", "chunk", "out_degree", F.size("_to").alias("n"), "base", "width", F.unhex(F.array_join(digits, "")).alias("packed"))
+
+
+def unpack_neighbours(lists: DataFrame) -> DataFrame:
+    """``vertex, chunk, out_degree, neighbours`` (sorted array) of :func:`compact_adjacency`."""
+    start = lambda i: (i * F.col("width") + 1).cast("int")
+    number = lambda i: F.conv(F.hex(F.substring("packed", start(i), F.col("width"))), 16, 10).cast("long")
+    neighbours = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.col("base") + number(i))
+    return lists.select("vertex", "chunk", "out_degree", neighbours.alias("neighbours"))
+
+
 def join_source(edges: DataFrame, facts: DataFrame) -> DataFrame:
     """``edges`` with the facts of their source: ``facts`` has ``src``,
     ``out_degree`` (over these edges) and more, one row per source.

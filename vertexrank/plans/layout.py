@@ -36,6 +36,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sums import order_free_sum
 from ..operators.topology import degree_table
 from .lineage import cut_lineage, keep, release
 
@@ -69,14 +70,18 @@ class GraphLayout:
     state: DataFrame | None
     factored: DataFrame | None
     cached: list[DataFrame] = field(default_factory=list)
+    tables: list[str] = field(default_factory=list)  # declared over saved files
 
     @property
     def is_empty(self) -> bool:
         return self.n_vertices == 0
 
     def close(self) -> None:
-        """Release the cached edge tables."""
+        """Release the cached edge tables, and drop the tables declared over files."""
+        spark = self.cached[0].sparkSession if self.cached else None
         release(self.cached)
+        while self.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop()}")
 
 
 def _count_stats(deg: DataFrame) -> dict[str, int]:
@@ -108,6 +113,7 @@ def build_layout(
     initial_rank: float = 1.0,
     hot_threshold: int | None = None,
     broadcast_max_vertices: int = BROADCAST_MAX_VERTICES,
+    order_free: bool = False,
 ) -> GraphLayout:
     """Lay out a clean, distinct edge table for the loop.
 
@@ -230,7 +236,7 @@ def build_layout(
         msgs = source_parts[0]
         for part in source_parts[1:]:
             msgs = msgs.unionByName(part)
-        source_in = msgs.groupBy("vertex").agg(F.sum("w").alias("source_in"))
+        source_in = msgs.groupBy("vertex").agg((order_free_sum("w") if order_free else F.sum("w")).alias("source_in"))
 
     base = deg.where(F.col("in_degree") > 0) if prune_sources else deg
     base = base.select(

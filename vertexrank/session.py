@@ -72,6 +72,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (none if it is not there)."""
+    fs, p = _path(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path of the checkpoint folder for written tables; it is
     removed when the application ends."""

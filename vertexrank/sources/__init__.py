@@ -7,6 +7,8 @@ from .edges import (
     parse_edge_lines,
     read_edge_lines,
     read_edges,
+    sort_edge_lines,
+    store_edge_lines,
 )
 from .graphs import customer_supplier, part_chain, returned_part_chain
 from .sinks import read_rank_history, read_ranks, write_ranks
@@ -23,5 +25,7 @@ __all__ = [
     "read_rank_history",
     "read_ranks",
     "returned_part_chain",
+    "sort_edge_lines",
+    "store_edge_lines",
     "write_ranks",
 ]

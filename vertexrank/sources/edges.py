@@ -65,6 +65,40 @@ def edge_line_report(lines: DataFrame, value_col: str = "value", sentinel=SENTIN
     )
 
 
+def sort_edge_lines(lines: DataFrame, value_col: str = "value", sentinel=SENTINEL) -> DataFrame:
+    """Every line with what becomes of it: ``src, dst, value, problem``.
+
+    ``problem`` is null for an edge, else ``malformed`` (under two fields; no
+    ``src, dst``) or ``sentinel`` (one end is the sentinel id). Rejected lines keep
+    their text in ``value``; edges do not carry it.
+    """
+    fields = line_fields(F.col(value_col))
+    parsed = lines.select(fields.alias("_f"), F.col(value_col).alias("_line"))
+    ok = is_well_formed(F.col("_f"))
+    parsed = parsed.select(
+        "_line", ok.alias("_ok"), *[F.when(ok, strip_quotes(field(F.col("_f"), i))).alias(c) for i, c in enumerate(("src", "dst"))]
+    )
+    kept = not_sentinel(F.col("src"), sentinel) & not_sentinel(F.col("dst"), sentinel)
+    problem = F.when(~F.col("_ok"), "malformed").when(~kept, "sentinel")
+    return parsed.select("src", "dst", F.when(problem.isNotNull(), F.col("_line")).alias("value"), problem.alias("problem"))
+
+
+def store_edge_lines(lines: DataFrame, folder: str, value_col: str = "value", sentinel=SENTINEL) -> tuple[DataFrame, DataFrame]:
+    """Edges and rejected lines from one scan of ``lines``.
+
+    The sorted lines are written once under ``folder`` (a path not yet in use),
+    parted by ``outcome``; returned are the clean, distinct edges and the rejects
+    ``value, problem``, each reading only its own part.
+    """
+    spark = lines.sparkSession
+    outcome = F.when(F.col("problem").isNull(), "edge").otherwise("reject").alias("outcome")
+    sorted_lines = sort_edge_lines(lines, value_col, sentinel).select("*", outcome)
+    sorted_lines.write.partitionBy("outcome").parquet(folder)
+    stored = spark.read.schema(sorted_lines.schema).parquet(folder)
+    edges = stored.where("outcome = 'edge'").select("src", "dst")
+    return normalize_edges(edges, sentinel=None), stored.where("outcome = 'reject'").select("value", "problem")
+
+
 def normalize_edges(
     edges: DataFrame, src: str = "src", dst: str = "dst", sentinel=SENTINEL
 ) -> DataFrame:
