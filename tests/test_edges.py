@@ -67,3 +67,21 @@ def test_edges_from_table_keeps_type_and_drops_nulls(spark):
 def test_parse_plan_has_no_python(spark):
     plan = parse_edge_lines(lines_df(spark, T5_LINES))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_rejected_lines_are_kept_and_edges_come_from_the_same_scan(spark, tmp_path):
+    from vertexrank.plans.inspect import plan_text
+    from vertexrank.sources.edges import sort_edge_lines, store_edge_lines
+
+    rows = ['"1"\t"2"', "1\t2\textra", '"0"\t3', "3\t0", "5", "", "7\t", "\t5", None, "1\t2"]
+    lines = spark.createDataFrame([(x,) for x in rows], "value string")
+    edges, rejects = store_edge_lines(lines, str(tmp_path / "s"))
+    assert sorted(map(tuple, edges.collect())) == [("", "5"), ("1", "2")]
+    assert sorted(map(tuple, rejects.collect()), key=repr) == sorted(
+        [('"0"\t3', "sentinel"), ("3\t0", "sentinel"), ("5", "malformed"), ("", "malformed"), ("7\t", "malformed"), (None, "malformed")], key=repr
+    )
+    assert plan_text(sort_edge_lines(lines)).count("Scan") == 1
+    for part, df in (("edge", edges), ("reject", rejects)):  # each reads its own part only
+        assert df.inputFiles() and all(f"outcome={part}" in f for f in df.inputFiles())
+    everything, nothing = store_edge_lines(lines.limit(0), str(tmp_path / "e"))
+    assert everything.count() == nothing.count() == 0

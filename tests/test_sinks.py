@@ -47,3 +47,29 @@ def test_positions_follow_rank_then_vertex(spark):
     got = [(r.position, r.vertex) for r in with_positions(df, num_partitions=5).collect()]
     expected = sorted(rows, key=lambda x: (x[1], x[0]))
     assert sorted(got) == [(i + 1, v) for i, (v, _) in enumerate(expected)]
+
+
+def test_part_files_have_the_size_asked_for(spark, tmp_path):
+    rows = [(f"vertex-{i:06d}" + "x" * (i % 50), (i * 7919 % 20011) / 7) for i in range(20000)]
+    df = spark.createDataFrame(rows, "vertex string, rank double").repartition(3)
+    for fmt in ("tsv", "tuple"):
+        path, size = str(tmp_path / fmt), 50_000
+        write_ranks(df, path, fmt=fmt, part_bytes=size)
+        parts = sorted(glob.glob(os.path.join(path, "part-*")))
+        sizes = [os.path.getsize(p) for p in parts]
+        assert len(parts) == -(-sum(sizes) // size)
+        assert max(sizes) <= 1.6 * size and min(sizes) >= 0.4 * size
+        lines = [line for p in parts for line in open(p).read().splitlines()]
+        value = lambda x: float(x.strip("()").replace(",", "\t").split("\t")[1])
+        assert [value(x) for x in lines] == sorted(r for _, r in rows)
+        assert as_dict(read_ranks(spark, path, fmt=fmt)) == dict(rows)
+
+
+def test_part_files_of_few_or_no_rows(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("b2", 0.5)], "vertex string, rank double")
+    write_ranks(df, str(tmp_path / "one"), fmt="tuple", part_bytes=1 << 20)
+    assert len(glob.glob(str(tmp_path / "one" / "part-*"))) == 1
+    write_ranks(df, str(tmp_path / "each"), fmt="parquet", part_bytes=1)
+    assert as_dict(read_ranks(spark, str(tmp_path / "each"), fmt="parquet")) == {"a": 1.0, "b": 1.0, "b2": 0.5}
+    write_ranks(df.limit(0), str(tmp_path / "none"), fmt="tsv", part_bytes=100)
+    assert read_ranks(spark, str(tmp_path / "none"), fmt="tsv").count() == 0

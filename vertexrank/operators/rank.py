@@ -28,7 +28,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..plans.layout import BROADCAST_MAX_VERTICES, GraphLayout, build_layout
 from ..plans.lineage import cut_lineage, keep, release
@@ -142,7 +141,7 @@ def rank(
                 )
             release(inputs)
             if layout.is_empty:
-                return RankResult(_empty_ranks(spark, edges, saved), 0, [], [], None if tol is None else True)
+                return RankResult(_empty_ranks(spark, saved.id_type if saved is not None else dict(edges.dtypes)["src"]), 0, [], [], None if tol is None else True)
             n_vertices = float(layout.n_vertices)
             masses: list[float] = []  # dangling mass m used by each step
 
@@ -269,7 +268,5 @@ def _state_after(
     return state, mass
 
 
-def _empty_ranks(spark: SparkSession, edges: DataFrame | SavedGraph, saved: SavedGraph | None) -> DataFrame:
-    keys = spark.read.parquet(f"{saved.path}/vertices").schema["vertex"] if saved is not None else edges.schema["src"]
-    schema = T.StructType([T.StructField("vertex", keys.dataType, False), T.StructField("rank", T.DoubleType(), False)])
-    return spark.createDataFrame([], schema)
+def _empty_ranks(spark: SparkSession, id_type: str) -> DataFrame:
+    return spark.createDataFrame([], f"vertex {id_type}, rank double")

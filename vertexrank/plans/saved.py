@@ -6,8 +6,8 @@
   sorted by ``src``;
 * ``hub_edges``: the same columns for sources above the hub threshold, spread over
   ``n`` files;
-* ``vertices``: ``vertex, out_degree, in_degree, source_in``, bucketed by ``vertex``
-  into ``n`` files;
+* ``vertices``: ``id, out_degree, in_degree, source_in``, bucketed by ``id`` into
+  ``n`` files;
 * ``about``: one row of counts, written last; a folder without it is unfinished.
 
 A run reads the buckets as the hash partitions the loop needs, so neither cleaning,
@@ -54,11 +54,15 @@ class SavedGraph:
     n_dangling: int
     n_sources: int
     n_hot: int
+    id_type: str
+
+    @property
+    def _edge_columns(self) -> str:
+        return f"src {self.id_type}, dst {self.id_type}, from_source BOOLEAN"
 
-    def _bucketed(self, name: str, key: str, tables: list[str]) -> DataFrame:
+    def _bucketed(self, name: str, key: str, columns: str, tables: list[str]) -> DataFrame:
         """The bucketed files as a table of this session (dropped with the layout)."""
         folder = f"{self.path}/{name}"
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spark.read.parquet(folder).schema)
         table = f"vertexrank_{os.urandom(8).hex()}"
         self.spark.sql(
             f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
@@ -75,14 +79,17 @@ class SavedGraph:
         with sql_conf(spark, BUCKETED_READ):
             cold = hot = state = factored = None
             if self.n_vertices:
-                cold = keep(self._bucketed("edges", "src", tables).where(wanted).select("src", "dst"), cached)
+                cold = keep(self._bucketed("edges", "src", self._edge_columns, tables).where(wanted).select("src", "dst"), cached)
                 if cold.isEmpty():
                     cold = None
                 if self.n_hot:
-                    hot = keep(spark.read.parquet(f"{self.path}/hub_edges").where(wanted).select("src", "dst"), cached)
+                    hot = keep(spark.read.schema(self._edge_columns).parquet(f"{self.path}/hub_edges").where(wanted).select("src", "dst"), cached)
                     if hot.isEmpty():
                         hot = None
-                vertices = self._bucketed("vertices", "vertex", tables)
+                # renamed: a column that keeps its table's name loses the partitioning when the
+                # checkpointed state meets itself in the step's join
+                columns = f"id {self.id_type}, out_degree BIGINT, in_degree BIGINT, source_in DOUBLE"
+                vertices = self._bucketed("vertices", "id", columns, tables).withColumnRenamed("id", "vertex")
                 r0 = F.lit(float(initial_rank))
                 here = {
                     "is_dangling": F.col("out_degree") == 0,
@@ -131,10 +138,12 @@ def save_graph(
             share = tagged.where("from_source").select(F.col("dst").alias("vertex"), (F.lit(1.0) / F.col("out_degree")).alias("w"))
             inflow = share.groupBy("vertex").agg((order_free_sum("w") if order_free else F.sum("w")).alias("source_in"))
             vertices = degrees.select("vertex", "out_degree", "in_degree").join(inflow, "vertex", "left")
-            _write_buckets(vertices.withColumn("source_in", F.coalesce("source_in", F.lit(0.0))), f"{path}/vertices", "vertex", n)
+            vertices = vertices.withColumn("source_in", F.coalesce("source_in", F.lit(0.0))).withColumnRenamed("vertex", "id")
+            _write_buckets(vertices, f"{path}/vertices", "id", n)
             about = {"num_partitions": n, "hot_threshold": threshold, "n_hot": n_hot}
             about |= {c: stats[c] for c in ("n_vertices", "n_edges", "n_dangling", "n_sources")}
-            one = spark.range(1).select(*[F.lit(int(v)).cast("long").alias(c) for c, v in about.items()])
+            id_type = F.lit(dict(clean.dtypes)["src"]).alias("id_type")
+            one = spark.range(1).select(*[F.lit(int(v)).cast("long").alias(c) for c, v in about.items()], id_type)
             one.write.parquet(f"{path}/about")
     finally:
         release(caches)

@@ -74,7 +74,7 @@ def sort_edge_lines(lines: DataFrame, value_col: str = "value", sentinel=SENTINE
     """
     fields = line_fields(F.col(value_col))
     parsed = lines.select(fields.alias("_f"), F.col(value_col).alias("_line"))
-    ok = is_well_formed(F.col("_f"))
+    ok = F.coalesce(is_well_formed(F.col("_f")), F.lit(False))  # a null line is malformed
     parsed = parsed.select(
         "_line", ok.alias("_ok"), *[F.when(ok, strip_quotes(field(F.col("_f"), i))).alias(c) for i, c in enumerate(("src", "dst"))]
     )
