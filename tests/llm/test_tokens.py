@@ -146,9 +146,10 @@ def brute_rows(rows):
 
 @pytest.mark.parametrize("small", [False, True])
 def test_alignment_equals_brute_force(spark, odd_docs, small, monkeypatch):
-    if small:  # many blocks, and texts cut into stretches
+    if small:  # many blocks, units forgotten, texts cut into stretches
         monkeypatch.setattr(alignment, "BLOCK_DOCS", 7)
-        monkeypatch.setattr(alignment.stretches, "__defaults__", (40,))
+        monkeypatch.setattr(alignment.units, "__defaults__", (40,))
+        monkeypatch.setattr(alignment, "CACHE_UNITS", 10)
     want, _, found = brute_rows([(r["doc_id"], r["text"]) for r in odd_docs.collect()])
     assert 50 < sum(f is None for f in found) < len(found) - 50  # texts of either kind
     got = alignment.align(odd_docs, A, B)

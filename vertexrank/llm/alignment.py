@@ -19,8 +19,12 @@ to the block, where each document's links are scored.
 
 A pair in every document costs one bitmap per block; the join that carries the
 scores is one adaptive execution splits where a pair is hot. An A id meets at
-most all B ids, which bounds its window. A text of any length is encoded in
-stretches, cut where no token of either vocabulary can cross.
+most all B ids, which bounds its window.
+
+No token of either vocabulary crosses from a visible character to a blank, so
+texts are cut there into units, words with the blank before them. A unit is
+encoded and aligned once and then looked up; a task remembers a bounded number
+of them. (For a vocabulary B whose pieces cross such places the unit is the text.)
 
 Defined cases: null or empty texts, and texts whose joined tokens are not the
 space and the text in either vocabulary, have no tokens: zeros and empty
@@ -32,6 +36,7 @@ ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import os
 import re
@@ -44,13 +49,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, final, scratch, shuffle_partitions, slices
+from .common import SLICE_BYTES, cut, final, scratch, shuffle_partitions, slices
 from .token_count import byte_symbols
 
 # a block ends at this much text (a longer text is a block alone), or at so many documents
 BLOCK_BYTES = 8 * 1024 * 1024
 BLOCK_DOCS = 1 << 16
 STRETCH = 1 << 16
+# units remembered in a task, by number and by characters
+CACHE_UNITS, CACHE_CHARS = 300_000, 1 << 24
+JOINED = 500  # units encoded in one call
+MARKS = ",|;"
+BLANK = re.compile(r"(?<=\S) (?!\Z)")
 _ID_BITS, _DOC_BITS = 24, 16
 
 INDEX = "block long, n_docs int, a int, b int, plane int, n int, bits binary"
@@ -78,28 +88,28 @@ class Encoders:
         self.b = SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        # without a piece that holds a space after a visible character, none crosses such a place
-        self.divisible = not any(re.search("[^▁]▁", p) for p in pieces)
+        # without a piece that holds a space after a visible character none crosses such a
+        # place, and what stands between two of them has the same tokens wherever it stands
+        kept = b"".join(self.b_bytes[i] for i in self.b.encode("a  b")) == b" a  b"
+        self.divisible = kept and not any(re.search("[^▁]▁", p) for p in pieces)
         if max(len(self.a_bytes), len(self.b_bytes)) > 1 << _ID_BITS:
             raise ValueError(f"a vocabulary has more than {1 << _ID_BITS} tokens")
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Token ids of a space and each text, by A and by B."""
         self.a.encode_special_tokens = True  # not kept when the tokenizer is sent
-        parts = [list(stretches(t)) if self.divisible else [t] for t in texts]
-        flat = [p for own in parts for p in own]
-        a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in flat], add_special_tokens=False)]
-        b = self.b.encode(flat, num_threads=1)
-        if len(flat) == len(texts):
-            return a, b
-        ends = np.cumsum([len(own) for own in parts]).tolist()
-        begins = [0, *ends[:-1]]
-        return tuple([[i for ids in side[x:y] for i in ids] for x, y in zip(begins, ends, strict=True)] for side in (a, b))
-
-
-def stretches(text: str, size: int = STRETCH) -> Iterator[str]:
-    """``text`` cut at single blanks that follow a visible character, about every
-    ``size`` characters; the blank itself is left out (each stretch gets one)."""
+        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        return [e.ids for e in a], self.b.encode(texts, num_threads=1)
+
+    def same(self, a: list[int], b: list[int], raw: bytes) -> bool:
+        """Whether the joined tokens of both are ``raw``."""
+        return b"".join(map(self.a_bytes.__getitem__, a)) == raw and b"".join(map(self.b_bytes.__getitem__, b)) == raw
+
+
+def units(text: str, size: int = STRETCH) -> Iterator[list[str]]:
+    """``text`` cut at every single blank that follows a visible character and does
+    not end it; the blanks are left out (each unit is encoded with one). A list per
+    about ``size`` characters."""
     start = 0
     while len(text) - start > size:
         stop = text.find(" ", start + size)
@@ -107,9 +117,9 @@ def stretches(text: str, size: int = STRETCH) -> Iterator[str]:
             stop = text.find(" ", stop + 1)
         if stop < 0 or stop + 1 >= len(text):
             break
-        yield text[start:stop]
+        yield BLANK.split(text[start:stop])
         start = stop + 1
-    yield text[start:]
+    yield BLANK.split(text[start:])
 
 
 def _before(ends: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -118,39 +128,36 @@ def _before(ends: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 class Aligned:
-    """Links and groups of texts, from their tokens: one pass over flat arrays."""
-
-    def __init__(self, a: list[list[int]], b: list[list[int]], sizes: list[int], a_size: np.ndarray, b_size: np.ndarray):
-        self.n_a = np.array([len(x) for x in a], np.int64)
-        self.n_b = np.array([len(x) for x in b], np.int64)
-        self.a = np.fromiter((i for x in a for i in x), np.int64, int(self.n_a.sum()))
-        self.b = np.fromiter((i for x in b for i in x), np.int64, int(self.n_b.sum()))
-        a_end, b_end, doc_end = np.cumsum(a_size[self.a]), np.cumsum(b_size[self.b]), np.cumsum(np.array(sizes, np.int64))
+    """Links and groups of non-empty texts (``sizes``: bytes), from the tokens of all
+    of them, one after the other: one pass over flat arrays."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, sizes: np.ndarray, a_size: np.ndarray, b_size: np.ndarray):
+        self.a, self.b = a, b
+        a_end, b_end, doc_end = np.cumsum(a_size[a]), np.cumsum(b_size[b]), np.cumsum(sizes)
         end = np.union1d(a_end, b_end)  # a link ends at each end of either
         at_a, at_b = np.searchsorted(a_end, end), np.searchsorted(b_end, end)
         self.link_a, self.link_b = self.a[at_a], self.b[at_b]
-        self.link_doc = np.searchsorted(doc_end, end)
         group = end[(a_end[at_a] == end) & (b_end[at_b] == end)]
-        self.n_links = np.diff(_before(end, doc_end), prepend=0)
+        self.n_a, self.n_b, self.n_links = (np.diff(_before(x, doc_end), prepend=0) for x in (a_end, b_end, end))
         self.groups_to = _before(group, doc_end)
         self.n_groups = np.diff(self.groups_to, prepend=0)
         self.a_to, self.b_to = _before(a_end, group), _before(b_end, group)  # tokens up to the end of each group
 
-    def texts(self) -> Iterator[bytes]:
-        """``a1,a2|b1;a3|b2,b3`` of every text."""
+    def texts(self, shown: list[bytes]) -> list[bytes]:
+        """``a1,a2|b1;a3|b2,b3`` of every text; ``shown``: every id with each of ``MARKS``."""
         # a side's tokens come after all of both sides of the groups before
-        n = len(self.a) + len(self.b)
-        order, mark = np.zeros(n, np.int64), np.full(n, ord(","), np.uint8)
+        order = np.zeros(len(self.a) + len(self.b), np.int64)
         group_a = np.searchsorted(self.a_to, np.arange(len(self.a)), "right")
         group_b = np.searchsorted(self.b_to, np.arange(len(self.b)), "right")
-        order[np.arange(len(self.a)) + np.append(0, self.b_to)[group_a]] = self.a
-        order[np.arange(len(self.b)) + self.a_to[group_b]] = self.b
-        mark[self.a_to + np.append(0, self.b_to)[:-1] - 1] = ord("|")
-        mark[self.a_to + self.b_to - 1] = ord(";")
-        ends = np.append(0, (self.a_to + self.b_to)[self.groups_to - 1]) if len(self.groups_to) else np.zeros(1, np.int64)
-        shown = [f"{i}{c}" for i, c in zip(order.tolist(), mark.tobytes().decode(), strict=True)]
-        for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-            yield "".join(shown[x:y])[:-1].encode()
+        b_before = np.append(0, self.b_to)
+        order[np.arange(len(self.a)) + b_before[group_a]] = self.a * len(MARKS)
+        order[np.arange(len(self.b)) + self.a_to[group_b]] = self.b * len(MARKS)
+        order[self.a_to + b_before[:-1] - 1] += MARKS.index("|")
+        order[self.a_to + self.b_to - 1] += MARKS.index(";")
+        parts = [shown[i] for i in order.tolist()]
+        to = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))[(self.a_to + self.b_to)[self.groups_to - 1] - 1].tolist()
+        text = b"".join(parts)
+        return [text[x : y - 1] for x, y in zip([0, *to[:-1]], to, strict=True)]
 
 
 def bitmaps(pair: np.ndarray, doc: np.ndarray, n_docs: int) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
@@ -204,6 +211,88 @@ def members(n: np.ndarray, bits: pa.Array, n_docs: int) -> tuple[np.ndarray, np.
     return np.concatenate(rows or [np.zeros(0, np.int64)]), np.concatenate(docs or [np.zeros(0, np.int64)])
 
 
+class _Units:
+    """Units met in a task: encoded and aligned once, then looked up."""
+
+    def __init__(self, encoders: Encoders):
+        self.encoders = encoders
+        self.sizes = [np.array([len(x) for x in table], np.int64) for table in (encoders.a_bytes, encoders.b_bytes)]
+        self.ids_shown = [f"{i}{mark}".encode() for i in range(max(map(len, self.sizes))) for mark in MARKS]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.at: dict[str, int] = {}
+        self.chars = 0
+        self.shown: list[bytes] = []
+        self.numbers = np.zeros((0, 4), np.int64)  # n_a, n_b, n_groups, n_links
+        self.whole = np.zeros(0, bool)  # the joined tokens are the space and the unit
+        self.first_link = np.zeros(0, np.int64)
+        self.links = np.zeros(0, np.uint64)  # pair of every link, in the upper bits of a key
+
+    def _encoded(self, new: list[str]) -> tuple[list[str], list[str], list[list[int]], list[list[int]]]:
+        """Units whose tokens join to them, those where they don't, and the former's
+        tokens. Units are encoded many at once, joined by their blanks."""
+        encoders, good, bad, a_all, b_all = self.encoders, [], [], [], []
+        alone = [u for u in new if not u or u[-1].isspace()] if encoders.divisible else new  # these end a text
+        if alone:
+            rest = set(new).difference(alone)
+            new = [u for u in new if u in rest]
+        groups = [new[i : i + JOINED] for i in range(0, len(new), JOINED)]
+        while groups or alone:
+            texts = [" ".join(g) for g in groups]
+            again = []
+            for g, t, a, b in zip(groups, texts, *(encoders.encode(texts) if texts else ((), ())), strict=True):
+                if encoders.same(a, b, b" " + t.encode()):
+                    good += g
+                    a_all.append(a)
+                    b_all.append(b)
+                elif len(g) == 1:
+                    bad += g
+                else:
+                    again += g
+            groups, alone = [[u] for u in again + alone], []
+        return good, bad, a_all, b_all
+
+    def _learn(self, new: list[str]) -> None:
+        good, bad, a, b = self._encoded(new)
+        new = good + bad
+        flat = [np.fromiter(itertools.chain.from_iterable(side), np.int64, sum(map(len, side))) for side in (a, b)]
+        size = np.fromiter((1 + len(u) if u.isascii() else 1 + len(u.encode()) for u in good), np.int64, len(good))
+        found = Aligned(*flat, size, *self.sizes)
+        numbers = np.zeros((len(new), 4), np.int64)
+        numbers[: len(good)] = np.stack([found.n_a, found.n_b, found.n_groups, found.n_links], axis=1)
+        self.shown += found.texts(self.ids_shown) + [b""] * len(bad)
+        self.at.update(zip(new, range(len(self.at), len(self.at) + len(new)), strict=True))
+        self.chars += sum(map(len, new))
+        pairs = found.link_a.astype(np.uint64) << np.uint64(_ID_BITS + _DOC_BITS) | found.link_b.astype(np.uint64) << np.uint64(_DOC_BITS)
+        self.first_link = np.append(self.first_link, len(self.links) + np.append(0, np.cumsum(numbers[:, 3]))[:-1])
+        self.links = np.append(self.links, pairs)
+        self.numbers, self.whole = np.concatenate([self.numbers, numbers]), np.append(self.whole, np.arange(len(new)) < len(good))
+
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the units of all texts, one after the other, and each text's range (n + 1)."""
+        if len(self.at) > CACHE_UNITS or self.chars > CACHE_CHARS:
+            self._forget()
+        places, count, waiting, chars = [], np.zeros(len(texts), np.int64), [], 0
+
+        def look_up():
+            new = set().union(*waiting).difference(self.at)
+            if new:
+                self._learn(list(new))
+            places.extend(np.fromiter(map(self.at.__getitem__, own), np.int64, len(own)) for own in waiting)
+
+        for i, text in enumerate(texts):
+            for own in units(text) if self.encoders.divisible else ([text],):
+                waiting.append(own)
+                count[i] += len(own)
+                chars += min(len(text), STRETCH)
+                if chars > SLICE_BYTES:
+                    look_up()
+                    waiting, chars = [], 0
+        look_up()
+        return np.concatenate(places), np.append(0, np.cumsum(count))
+
+
 class _Block:
     """Rows and pair postings of the documents of one block, inside a task."""
 
@@ -211,29 +300,26 @@ class _Block:
         self.name, self.held, self.keys = name, 0, []
         self.rows = {c.split()[0]: [] for c in ROW.split(", ")}
 
-    def add(self, ids: list, texts: list[str | None], encoders: Encoders, a_size: np.ndarray, b_size: np.ndarray) -> None:
+    def add(self, ids: list, texts: list[str | None], known: _Units) -> None:
         first, n = len(self.rows["idx"]), len(ids)
-        raw = [b" " + t.encode() if t else b"" for t in texts]
-        self.held += sum(map(len, raw))
-        asked = [i for i in range(n) if raw[i]]
-        a, b = encoders.encode([texts[i] for i in asked]) if asked else ([], [])
-        whole = [
-            k for k, i in enumerate(asked)
-            if b"".join(map(encoders.a_bytes.__getitem__, a[k])) == raw[i] and b"".join(map(encoders.b_bytes.__getitem__, b[k])) == raw[i]
-        ]
-        at = np.array([asked[k] for k in whole], np.int64)
-        numbers = {c: np.zeros(n, np.int64) for c in ("n_a", "n_b", "n_groups", "n_links")}
-        digest = [""] * n
-        if len(at):
-            found = Aligned([a[k] for k in whole], [b[k] for k in whole], [len(raw[i]) for i in at.tolist()], a_size, b_size)
-            for c, values in numbers.items():
-                values[at] = getattr(found, c)
-            for i, text in zip(at.tolist(), found.texts(), strict=True):
-                digest[i] = hashlib.sha256(text).hexdigest()
-            doc = (first + at)[found.link_doc].astype(np.uint64)
-            wide = np.uint64(_ID_BITS + _DOC_BITS)
-            self.keys.append(np.sort(found.link_a.astype(np.uint64) << wide | found.link_b.astype(np.uint64) << np.uint64(_DOC_BITS) | doc))
-        for c, values in ({"idx": range(first, first + n), "doc_id": ids, "groups_sha256": digest} | {c: v.tolist() for c, v in numbers.items()}).items():
+        self.held += sum(len(t) for t in texts if t)
+        asked = np.array([i for i in range(n) if texts[i]], np.int64)
+        numbers, digest = np.zeros((n, 4), np.int64), [""] * n
+        if len(asked):
+            at, ranges = known.of([texts[i] for i in asked.tolist()])
+            whole = np.logical_and.reduceat(known.whole[at], ranges[:-1])
+            per_doc = np.add.reduceat(known.numbers[at], ranges[:-1]) * whole[:, None]
+            numbers[asked] = per_doc
+            places = at.tolist()
+            for k in np.flatnonzero(whole).tolist():
+                digest[asked[k]] = hashlib.sha256(b";".join(map(known.shown.__getitem__, places[ranges[k] : ranges[k + 1]]))).hexdigest()
+            at = at[np.repeat(whole, np.diff(ranges))]
+            links = known.numbers[at, 3]
+            to = np.cumsum(links)
+            place = np.repeat(known.first_link[at] - (to - links), links) + np.arange(int(links.sum()))
+            self.keys.append(np.sort(known.links[place] | np.repeat((first + asked).astype(np.uint64), per_doc[:, 3])))
+        columns = dict(zip(("n_a", "n_b", "n_groups", "n_links"), numbers.T.tolist(), strict=True))
+        for c, values in ({"idx": range(first, first + n), "doc_id": ids, "groups_sha256": digest} | columns).items():
             self.rows[c] += values
 
     def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -246,7 +332,7 @@ class _Block:
             )
 
         yield batch(n_docs, self.rows)
-        if not self.keys:
+        if not sum(map(len, self.keys)):
             return
         # merged (OR): a document that several slices could name is there once, with its links
         key, links = np.unique(np.concatenate(self.keys), return_counts=True)
@@ -268,8 +354,7 @@ def build_index(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoders = sent.value
-        sizes = [np.array([len(x) for x in table], np.int64) for table in (encoders.a_bytes, encoders.b_bytes)]
+        known = _Units(sent.value)
         name = TaskContext.get().partitionId() << 32
         block = _Block(name)
         for whole in batches:
@@ -284,7 +369,7 @@ def build_index(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                         name += 1
                         block = _Block(name)
                     own = part.slice(lo, BLOCK_DOCS)
-                    block.add(own.column("doc_id").to_pylist(), own.column("text").to_pylist(), encoders, *sizes)
+                    block.add(own.column("doc_id").to_pylist(), own.column("text").to_pylist(), known)
         yield from block.batches(schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
