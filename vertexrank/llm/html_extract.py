@@ -16,8 +16,12 @@ besides the sampled pages themselves where they mark up an article. Labels are
 read from the layout, features only from what the parser sees.
 
 Defined cases: null or empty html gives empty text; unclosed, misnested and cut
-off markup is read as a browser would roughly do; text without any markup is
-one block; equal pages get equal results; other columns are ignored.
+off markup is read as a browser would roughly do (a head left open ends at the
+first tag or text that may not stand in it); formulas and the fallback text of
+embedded parts count as text; text without any markup is one block; where no page
+can be learned from, the blocks of ``article`` and ``main``, or else all, that no
+named menu, notice or the like holds are the text; equal pages get equal results;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ from .common import arrow_map
 from .crf import Crf, train, viterbi
 
 SAMPLE_PAGES = 200
+SAMPLE_BYTES = 1 << 20  # of a page that may be in the sample
 VARIANTS = 4
 
 _TOKEN = re.compile(
@@ -49,9 +54,12 @@ _SPACE = re.compile(r"\s+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr"
+    " math mi mn mo ms mtext mrow msub msup msubsup mfrac msqrt mroot mover munder semantics annotation svg tspan canvas object audio video".split()
 )
-SKIP = frozenset("head title noscript template svg math iframe object canvas audio video select textarea button option datalist".split())
+# not shown, or controls of a form; the text of formulas and fallback text is the article's
+SKIP = frozenset("head title template iframe select textarea button option datalist".split())
+IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
@@ -115,6 +123,8 @@ def blocks(page: str, cache: dict | None = None) -> list[tuple[str, int, int]]:
 
     def say(text: str):
         nonlocal linked, path
+        if stack[-1][0] == "head" and not text.isspace():  # text ends a head left open
+            pop_to(len(stack) - 1)
         if not stack[-1][2] and text:
             parts.append(text)
             if not text.isspace():
@@ -138,6 +148,8 @@ def blocks(page: str, cache: dict | None = None) -> list[tuple[str, int, int]]:
         if tag == "br":
             say(" ")
             continue
+        if not m["end"] and stack[-1][0] == "head" and tag not in IN_HEAD:  # so does what may not stand in it
+            pop_to(len(stack) - 1)
         inline = tag in INLINE
         if not inline:
             flush()
@@ -158,7 +170,7 @@ def blocks(page: str, cache: dict | None = None) -> list[tuple[str, int, int]]:
                     break
                 if t in CLOSES_P or t in ("table", "td", "th"):
                     break
-        if tag == "body":  # a head left open ends here
+        if tag == "body":  # whatever a head left open ends here
             pop_to(1)
         attrs = m["attrs"] or ""
         if not attrs.endswith("/") or not inline:
@@ -309,10 +321,21 @@ def labels(page_blocks: list[tuple[str, int, int]], mark: int) -> np.ndarray:
     return np.array([int(bool(bits & mark) and not bits & _NOT_MAIN) for _, bits, _ in page_blocks], np.int64)
 
 
+def _named(page_blocks: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    return [b for b in page_blocks if b[1] & (_BIT["article"] | _BIT["main"])]
+
+
 def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Crf | None:
-    rows = pages.where("html is not null and page_id is not null").select("page_id", "html")
-    rows = rows.orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(sample_pages).collect()
-    sampled = [r["html"] for r in rows]
+    """The field fitted on the ``sample_pages`` pages of smallest id hash (one each
+    of repeated ids) among those of at most ``SAMPLE_BYTES``; none without text."""
+    rows = pages.select("page_id", "html").where(F.octet_length("html").between(1, SAMPLE_BYTES) & F.col("page_id").isNotNull())
+    chosen = rows.groupBy(F.col("page_id").alias("s_id")).agg(F.min(F.xxhash64("html")).alias("s_hash"))
+    chosen = chosen.orderBy(F.xxhash64("s_id"), "s_id").limit(sample_pages)
+    # at most sample_pages rows of two numbers; whole pages leave the tasks only for these
+    here = (F.col("page_id") == F.col("s_id")) & (F.xxhash64("html") == F.col("s_hash"))
+    rows = rows.join(F.broadcast(chosen), here).dropDuplicates(["page_id"])
+    rows = rows.select(F.xxhash64("page_id").alias("h"), "page_id", "html").collect()
+    sampled = [r["html"] for r in sorted(rows, key=lambda r: (r["h"], r["page_id"]))]
     x, y, size = [], [], []
     for page, mark in [(p, _LABEL) for p in labelled_pages(sampled)] + [(p, _BIT["article"]) for p in sampled]:
         found = blocks(page)
@@ -330,8 +353,10 @@ def extract_text(pages: list[str | None], model: Crf | None) -> list[str]:
     found = [blocks(p or "", cache) for p in pages]
     size = np.array([len(b) for b in found], np.int64)
     ranges = np.append(0, np.cumsum(size))
-    if model is None or not ranges[-1]:
+    if not ranges[-1]:
         return [""] * len(pages)
+    if model is None:  # nothing to learn from: by the names of the parts alone
+        return [" ".join(t for t, bits, _ in (_named(b) or b) if not bits & _NOT_MAIN) for b in found]
     x = np.concatenate([features(b) for b in found if b])
     state = viterbi(model.scores(x), model.transition, ranges)
     return [" ".join(t for (t, _, _), s in zip(b, state[a:z], strict=True) if s) for b, a, z in zip(found, ranges[:-1], ranges[1:], strict=True)]
