@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from .common import cut, final, scratch
 
 SCOPE = 200
+RUN = 256
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_HINT = r"(?i)passw|secret|token|api_?key"
 # maximal runs: the same matches as "+" followed by a length test, found without the short ones
@@ -52,11 +53,19 @@ KINDS = ("assign", "access", "hex", "identifier", "secret", "endpoint")
 SPAN = "array<struct<start:int,rank:int,end:int>>"
 
 
-def _found(text: Column, pattern: str, rank: int, hint: Column, size: Column | None = None) -> Column:
-    """All matches as (start, rank, end, match) from the pieces between them."""
-    gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,rank:int,end:int,hit:string>>").alias("out"))
+HIT = "array<struct<start:int,rank:int,end:int,hit:string>>"
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated a single time, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _placed(pairs: Column, rank: int) -> Column:
+    """Matches with their places from (gap before, match) pairs. Places are running
+    sums; a list that grows match by match is copied at each, so it only ever grows
+    over ``RUN`` matches, and the runs are moved by the sums of those before."""
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast(HIT).alias("out"))
 
     def step(acc: Column, pair: Column) -> Column:
         start = acc["at"] + pair["gap"]
@@ -64,8 +73,27 @@ def _found(text: Column, pattern: str, rank: int, hint: Column, size: Column | N
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), pair["hit"].alias("hit"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
+    def moved(spans: Column, by: Column) -> Column:
+        shift = lambda s: F.struct((s["start"] + by).alias("start"), s["rank"].alias("rank"), (s["end"] + by).alias("end"), s["hit"].alias("hit"))
+        return F.transform(spans, shift)
+
+    def joined(runs: Column) -> Column:
+        ends = F.aggregate(runs, F.array(F.lit(0)), lambda acc, run: F.concat(acc, F.array(F.element_at(acc, -1) + run["at"])))
+        return F.flatten(F.zip_with(runs, F.slice(ends, 1, F.size(runs)), lambda run, by: moved(run["out"], by)))
+
+    def runs(p: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(p) - 1) / RUN).cast("int"))
+        return _once(F.transform(numbers, lambda k: F.aggregate(F.slice(p, k * RUN + 1, RUN), empty, step)), joined)
+
+    return _once(pairs, lambda p: F.when(F.size(p) > 0, runs(p)).otherwise(F.array().cast(HIT)))
+
+
+def _found(text: Column, pattern: str, rank: int, hint: Column) -> Column:
+    """All matches as (start, rank, end, match) from the pieces between them."""
+    gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.filter(F.arrays_zip(gaps.alias("gap"), hits.alias("hit")), lambda p: p["hit"].isNotNull())
-    return F.when(hint, F.aggregate(pairs, empty, step)["out"]).otherwise(F.array().cast("array<struct<start:int,rank:int,end:int,hit:string>>"))
+    return F.when(hint, _placed(pairs, rank)).otherwise(F.array().cast(HIT))
 
 
 def _spans(found: Column) -> Column:
