@@ -162,11 +162,15 @@ def _leaks_of(docs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     """The columns of ``docs`` but ``text``, with ``key, n_item, n_shared`` of every set found."""
     kept = "".join(f"{c} long, " for c in docs.columns if c != "text")
     schema = f"{kept}key long, n_item long, n_shared long"
-    out = None
+    out, last = None, None
     for block in _blocks(sets):
-        found = arrow_map(docs, "text", _search(ItemIndex(block), share), schema)
-        out = found if out is None else out.unionByName(found)
-    return docs.sparkSession.createDataFrame([], schema) if out is None else out
+        if last is not None:  # searched before the next block is built: the driver holds two at most
+            found = cut(last)
+            out = found if out is None else out.unionByName(found)
+        last = arrow_map(docs, "text", _search(ItemIndex(block), share), schema)
+    if last is None:
+        return docs.sparkSession.createDataFrame([], schema)
+    return last if out is None else out.unionByName(last)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, share: int = 80) -> DataFrame:
