@@ -31,10 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, cut, final, join_checked, join_text, list_of, released, scratch, utf8
-from .hashing import U, as_long, characters, distinct_sets, mix, range_sums, span_hashes
+from .hashing import U, as_long, characters, distinct_sets, mix, span_hashes
 from .linking import link_groups
 
 GRAM = 7
+SLICE = 256 * 1024  # bytes of text at once: what is made of them stays in a core's cache
 ROUNDS, BINS, BANDS, ROWS = 2, 20, 10, 4
 EMPTY = np.uint32(0xFFFFFFFF)
 
@@ -85,15 +86,17 @@ def normal_lines(data: np.ndarray, offsets: np.ndarray):
     return mix(code[drop] + U(1)), ranges, doc, pos, spans
 
 
-def line_shingles(codes: np.ndarray, ranges: np.ndarray, gram: int = GRAM):
-    """Character shingles of every line (a shorter line: itself; blank: none)."""
-    size = np.diff(ranges)
+def line_shingles(codes: np.ndarray, ranges: np.ndarray, gram: int = GRAM, which: np.ndarray | None = None):
+    """Character shingles of every line, or of those in ``which`` (a shorter line:
+    itself; blank: none)."""
+    which = np.arange(len(ranges) - 1) if which is None else which
+    first, size = ranges[:-1][which], np.diff(ranges)[which]
     per = np.where(size >= gram, size - gram + 1, (size > 0).astype(np.int64))
     out = np.zeros(len(size) + 1, np.int64)
     np.cumsum(per, out=out[1:])
     line = np.repeat(np.arange(len(size)), per)
-    starts = ranges[:-1][line] + np.arange(out[-1]) - out[:-1][line]
-    ends = np.minimum(starts + gram, ranges[1:][line])
+    starts = first[line] + np.arange(out[-1]) - out[:-1][line]
+    ends = np.minimum(starts + gram, (first + size)[line])
     return span_hashes(codes, starts, ends), out
 
 
@@ -134,19 +137,21 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 def _profile(part: pa.RecordBatch) -> dict:
     codes, ranges, doc, pos, _ = normal_lines(*utf8(part.column("text")))
-    values, at = line_shingles(codes, ranges)
-    blank = np.diff(ranges) == 0
+    size = np.diff(ranges)
     h1 = span_hashes(codes, ranges[:-1], ranges[1:])
-    h2 = mix(range_sums(mix(values ^ U(0xA24BAED4963EE407)), at) + np.diff(ranges).astype(U))
-    long_enough = np.diff(ranges) >= GRAM
-    keys = band_keys(signatures(values, at))[long_enough]
-    offsets = np.zeros(len(blank) + 1, np.int64)
-    np.cumsum(long_enough * BANDS, out=offsets[1:])
+    h2 = span_hashes(mix(codes ^ U(0xA24BAED4963EE407)), ranges[:-1], ranges[1:])
+    # copies within the slice share one signature: it stands for the text, not the line
+    signed = np.zeros(len(size), bool)
+    signed[np.unique(h1, return_index=True)[1]] = True
+    signed &= size >= GRAM
+    keys = band_keys(signatures(*line_shingles(codes, ranges, which=np.flatnonzero(signed))))
+    offsets = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(signed * BANDS, out=offsets[1:])
     return {
         "doc_id": part.column("doc_id").take(pa.array(doc)),
         "th": part.column("th").take(pa.array(doc)),
         "pos": pos.astype(np.int32),
-        "h1": pa.array(as_long(h1), pa.int64(), mask=blank),
+        "h1": pa.array(as_long(h1), pa.int64(), mask=size == 0),
         "h2": as_long(h2),
         "bands": list_of(as_long(keys.reshape(-1)), offsets, pa.int64()),
     }
@@ -170,7 +175,7 @@ def line_families(docs: DataFrame, share: int = 80, null_ids: bool = False) -> D
     """``doc_id, th, pos`` (``th``: hash of the text) of every line that goes (checkpointed)."""
     docs = docs.where("text is not null" if null_ids else "doc_id is not null and text is not null").select("doc_id", "text")
     hashed = docs.withColumn("th", F.xxhash64("text"))
-    lines = arrow_map(hashed, "text", _profile, "doc_id long, th long, pos int, h1 long, h2 long, bands array<bigint>")
+    lines = arrow_map(hashed, "text", _profile, "doc_id long, th long, pos int, h1 long, h2 long, bands array<bigint>", SLICE)
     lines = lines.where("h1 is not null").persist(StorageLevel.MEMORY_AND_DISK)
     with scratch(docs.sparkSession), released(lines):
         banded = lines.select(F.col("h1").alias("id"), F.explode("bands").alias("key"))
@@ -179,9 +184,10 @@ def line_families(docs: DataFrame, share: int = 80, null_ids: bool = False) -> D
 
         def texts_of(ids: DataFrame) -> DataFrame:
             ids = cut(ids)
-            spots = lines.join(ids, lines["h1"] == ids["id"]).groupBy("h1").agg(F.first("doc_id").alias("doc_id"), F.first("th").alias("th"))
-            wanted = cut(spots.select("doc_id", "th").distinct())
-            rows = arrow_map(join_text(docs, wanted, "left_semi", 24), "text", _line_texts, "id long, text string")
+            # one spot per text before the join, so a common line is one row per task
+            spots = lines.groupBy("h1").agg(F.min(F.struct("doc_id", "th")).alias("at"))
+            wanted = cut(spots.join(ids, spots["h1"] == ids["id"], "left_semi").select("at.doc_id", "at.th").distinct())
+            rows = arrow_map(join_text(docs, wanted, "left_semi", 24), "text", _line_texts, "id long, text string", SLICE)
             rows = join_checked(rows, ids, "id", "left_semi", 16)
             return cut(rows.groupBy("id").agg(F.first("text").alias("text")))
 
