@@ -5,7 +5,7 @@ Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Like the original programs, a timed run reads a TAB-separated edge-list text
 file, cleans it, ranks, and writes the ranks sorted ascending as
 ``(vertex,rank)`` lines. The edge files are derived once from the tables
-(order chain ``R``, customer->supplier ``C``) before timing; that
+(order chain ``F``, customer->supplier ``C``) before timing; that
 derivation is reported separately as ``prep``.
 """
 
@@ -33,18 +33,18 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 
 RUNS = [
-    ("rank_self_loop", "R", dict(max_iter=K)),
-    ("rank_redistribute", "R", dict(dangling="redistribute", max_iter=K)),
-    ("rank_self_loop_pruned", "R", dict(prune_sources=True, max_iter=K)),
-    ("rank_redistribute_pruned", "R", dict(dangling="redistribute", prune_sources=True, max_iter=K)),
-    ("rank_broadcast", "R", dict(strategy="broadcast", max_iter=K)),
-    ("rank_tolerance", "R", dict(dangling="redistribute", tol=TOL)),
+    ("rank_self_loop", "F", dict(max_iter=K)),
+    ("rank_redistribute", "F", dict(dangling="redistribute", max_iter=K)),
+    ("rank_self_loop_pruned", "F", dict(prune_sources=True, max_iter=K)),
+    ("rank_redistribute_pruned", "F", dict(dangling="redistribute", prune_sources=True, max_iter=K)),
+    ("rank_broadcast", "F", dict(strategy="broadcast", max_iter=K)),
+    ("rank_tolerance", "F", dict(dangling="redistribute", tol=TOL)),
     ("rank_self_loop_c", "C", dict(max_iter=K)),
     ("rank_redistribute_c", "C", dict(dangling="redistribute", max_iter=K)),
     ("rank_self_loop_pruned_c", "C", dict(prune_sources=True, max_iter=K)),
     ("rank_redistribute_pruned_c", "C", dict(dangling="redistribute", prune_sources=True, max_iter=K)),
 ]
-GRAPHS = {"R": order_chain, "C": customer_supplier}
+GRAPHS = {"F": order_chain, "C": customer_supplier}
 
 
 def main() -> None:
