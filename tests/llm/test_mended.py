@@ -1,11 +1,15 @@
 """Cases that earlier forms of the operators lost or took too long over."""
 
+import hashlib
+import random
 import re
 import time
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from vertexrank.llm import decontaminate, html_extract, line_dedup, secrets
+from vertexrank.llm import decontaminate, html_extract, line_dedup, secrets, suffix_dedup
 
 from .test_operators import SF, Sets, prose
 
@@ -121,3 +125,31 @@ def test_page_sample_has_one_page_per_id(spark):
     for r in got:
         if r["page_id"] not in (None, 99):
             assert "foot" not in r["text"] and r["n_chars"] > 100
+
+
+@pytest.mark.parametrize("collection", [3_000, 1_000_000])
+def test_suffix_dedup_passage_in_many_texts(spark, collection, monkeypatch):
+    """One passage in many texts: its anchor has too much context for a collection."""
+    monkeypatch.setattr(suffix_dedup, "COLLECTION_BYTES", collection)
+    rng = random.Random(7)
+    letters = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    shared, long, dots = letters(450), letters(1500), "." * 700
+    rows = [(k, letters(rng.randint(0, 300)) + shared[rng.randint(0, 40) :] + letters(rng.randint(0, 300))) for k in range(60)]
+    rows += [(100 + k, letters(200) + long + letters(200)) for k in range(10)]
+    rows += [(200 + k, letters(rng.randint(0, 90)) + dots[: rng.randint(380, 700)] + letters(rng.randint(0, 90)) + "ab" * rng.randint(150, 300)) for k in range(25)]
+    rows += [(300, letters(900))] * 2 + [(300, shared), (None, long), (301, None), (302, ""), (303, letters(2000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    assert Counter(map(tuple, out.collect())) == Counter(suffix_dedup_by_force(rows))
+
+
+def suffix_dedup_by_force(rows):
+    texts = [(d, (t or "").encode()) for d, t in rows]
+    count = Counter(b[i : i + 400] for _, b in texts for i in range(len(b) - 399))
+    for d, b in texts:
+        cover = bytearray(len(b))
+        for i in range(len(b) - 399):
+            if count[b[i : i + 400]] > 1:
+                cover[i : i + 400] = b"\1" * 400
+        kept = bytes(x for x, c in zip(b, cover, strict=True) if not c)
+        yield d, len(b), sum(cover), len([x for x in bytes(cover).split(b"\0") if x]), hashlib.sha256(kept).hexdigest()

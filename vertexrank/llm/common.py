@@ -77,15 +77,21 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def scoped_folder(spark: SparkSession, name: str) -> str:
+    """``scratch_folder``, removed with the innermost ``scratch``."""
+    path = scratch_folder(spark, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, into a Parquet table in the shared checkpoint folder,
     and continue from that table: lineage ends there, a lost executor costs a
     re-read, and later plans see its true size (a checkpointed plan keeps the
     estimates it was made from, which multiply with every round of joins)."""
     spark = df.sparkSession
-    path = scratch_folder(spark, "table")
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    path = scoped_folder(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
