@@ -16,12 +16,15 @@ _CACHE: dict[str, np.ndarray] = {}
 
 def mix(h: np.ndarray) -> np.ndarray:
     """Bijective finaliser of 64-bit values (a new array)."""
-    h = h ^ (h >> U(30))
-    h *= U(0xBF58476D1CE4E5B9)
-    h ^= h >> U(27)
-    h *= U(0x94D049BB133111EB)
-    h ^= h >> U(31)
-    return h
+    out = h >> U(30)
+    out ^= h
+    out *= U(0xBF58476D1CE4E5B9)
+    shifted = out >> U(27)
+    out ^= shifted
+    out *= U(0x94D049BB133111EB)
+    np.right_shift(out, U(31), out=shifted)
+    out ^= shifted
+    return out
 
 
 def _bytes_table() -> np.ndarray:
@@ -33,6 +36,8 @@ def _bytes_table() -> np.ndarray:
         space = np.zeros(256, bool)
         space[[9, 10, 11, 12, 13, 32]] = True
         _CACHE["space"] = space
+        _CACHE["small"] = np.arange(256, dtype=np.uint8)
+        _CACHE["small"][65:91] += 32
     return _CACHE["bytes"]
 
 
@@ -47,14 +52,30 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _CACHE["pow"][:n], _CACHE["inv"][:n]
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of ``values[start:end]`` (64-bit codes) for every span."""
-    power, inverse = _powers(len(values) + 1)
+def running_sum(values: np.ndarray) -> np.ndarray:
+    """What the hash of any span of ``values`` is read from (n + 1)."""
     total = np.zeros(len(values) + 1, U)
-    np.cumsum(values * power[:-1], out=total[1:])
+    np.cumsum(values * _powers(len(values) + 1)[0][:-1], out=total[1:])
+    return total
+
+
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, total: np.ndarray | None = None) -> np.ndarray:
+    """Hash of ``values[start:end]`` (64-bit codes) for every span."""
+    total = running_sum(values) if total is None else total
+    inverse = _powers(len(values) + 1)[1]
     return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(U))
 
 
+def window_hashes(values: np.ndarray, size: int, keep: np.ndarray, total: np.ndarray | None = None) -> np.ndarray:
+    """``span_hashes`` of ``values[i:i + size]`` for the places marked in ``keep``
+    (a mask over all ``len(values) - size + 1`` of them), in one sweep."""
+    total = running_sum(values) if total is None else total
+    h = total[size:] - total[:-size]
+    h *= _powers(len(values) + 1)[1][: len(h)]
+    h += U(size)
+    return mix(h[keep])
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and for every text the range of its words (n + 1)."""
     _bytes_table()
@@ -134,13 +155,13 @@ def range_sums(values: np.ndarray, ranges: np.ndarray) -> np.ndarray:
 def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start of every UTF-8 character, and a code that tells characters apart
     (ASCII capitals as small letters)."""
+    _bytes_table()
     at = np.flatnonzero((data & 0xC0) != 0x80)
-    code = data[at].astype(U)
-    capital = (code >= 65) & (code <= 90)
-    code[capital] += U(32)
+    code = _CACHE["small"][data[at]].astype(U)
     nxt = np.append(at[1:], len(data))
+    more = np.flatnonzero(nxt - at > 1)
     for j in (1, 2, 3):
-        more = np.flatnonzero(at + j < nxt)
+        more = more[at[more] + j < nxt[more]]
         code[more] = (code[more] << U(8)) | data[at[more] + j].astype(U)
     return at, code
 

@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, cut, final, join_checked, join_text, list_of, released, scratch, utf8
-from .hashing import U, as_long, characters, distinct_sets, mix, span_hashes
+from .hashing import U, as_long, characters, distinct_sets, mix, running_sum, span_hashes, window_hashes
 from .linking import link_groups
 
 GRAM = 7
-SLICE = 256 * 1024  # bytes of text at once: what is made of them stays in a core's cache
+SLICE = 64 * 1024  # bytes of text at once: what is made of them stays in a core's cache
 ROUNDS, BINS, BANDS, ROWS = 2, 20, 10, 4
 EMPTY = np.uint32(0xFFFFFFFF)
 
@@ -45,7 +45,9 @@ def normal_lines(data: np.ndarray, offsets: np.ndarray):
     the text of each line and its position in it, and the byte range."""
     at, code = characters(data)
     docs = np.searchsorted(at, offsets)
-    breaks = np.flatnonzero(code == U(10))
+    low = np.flatnonzero(code <= U(32))
+    breaks = low[code[low] == U(10)]
+    low = low[(code[low] >= U(9)) & ((code[low] <= U(13)) | (code[low] == U(32)))]
     per = np.diff(np.searchsorted(breaks, docs)) + 1
     first = np.zeros(len(per) + 1, np.int64)
     np.cumsum(per, out=first[1:])
@@ -64,8 +66,9 @@ def normal_lines(data: np.ndarray, offsets: np.ndarray):
     at = np.append(at, len(data))
     spans = at[starts], at[ends]
 
-    space = (code == U(32)) | ((code >= U(9)) & (code <= U(13)))
-    code = np.where(space, U(32), code)
+    space = np.zeros(len(code), bool)
+    space[low] = True
+    code[low] = U(32)
     last = np.ones(len(code), bool)  # of a run of spaces, the last before a word stays
     last[:-1] = space[1:]
     edge = ends[(ends > 0) & (ends > starts)] - 1
@@ -78,38 +81,48 @@ def normal_lines(data: np.ndarray, offsets: np.ndarray):
     code = code[keep]
     lead = lo[(hi > lo)]
     lead = lead[code[lead] == U(32)]
-    drop = np.ones(len(code), bool)
-    drop[lead] = False
-    kept = np.zeros(len(code) + 1, np.int64)
-    np.cumsum(drop, out=kept[1:])
-    ranges = np.append(kept[lo], kept[hi[-1]] if len(hi) else 0)
-    return mix(code[drop] + U(1)), ranges, doc, pos, spans
-
-
-def line_shingles(codes: np.ndarray, ranges: np.ndarray, gram: int = GRAM, which: np.ndarray | None = None):
-    """Character shingles of every line, or of those in ``which`` (a shorter line:
-    itself; blank: none)."""
+    ranges = np.append(lo, hi[-1] if len(hi) else 0)
+    if len(lead):
+        drop = np.ones(len(code), bool)
+        drop[lead] = False
+        kept = np.zeros(len(code) + 1, np.int64)
+        np.cumsum(drop, out=kept[1:])
+        code, ranges = code[drop], kept[ranges]
+    return mix(code + U(1)), ranges, doc, pos, spans
+
+
+def line_shingles(codes: np.ndarray, ranges: np.ndarray, gram: int = GRAM, which: np.ndarray | None = None, total: np.ndarray | None = None):
+    """Character shingles of every line, or of those in ``which`` (ascending; a
+    shorter line: itself; blank: none). ``total``: ``running_sum(codes)``."""
     which = np.arange(len(ranges) - 1) if which is None else which
     first, size = ranges[:-1][which], np.diff(ranges)[which]
     per = np.where(size >= gram, size - gram + 1, (size > 0).astype(np.int64))
     out = np.zeros(len(size) + 1, np.int64)
     np.cumsum(per, out=out[1:])
+    if len(size) and size.min() >= gram:  # all shingles are full ones: no place needs looking up
+        turn = np.zeros(len(codes) + 1, np.int8)
+        turn[first] += 1
+        turn[first + per] -= 1
+        inside = np.cumsum(turn, dtype=np.int8).view(bool)
+        return window_hashes(codes, gram, inside[: len(codes) - gram + 1], total), out
     line = np.repeat(np.arange(len(size)), per)
     starts = first[line] + np.arange(out[-1]) - out[:-1][line]
     ends = np.minimum(starts + gram, (first + size)[line])
-    return span_hashes(codes, starts, ends), out
+    return span_hashes(codes, starts, ends, total), out
 
 
 def signatures(values: np.ndarray, ranges: np.ndarray) -> np.ndarray:
     """One-permutation MinHash of every non-empty range: ``ROUNDS * BINS`` values."""
     n = len(ranges) - 1
-    line = np.repeat(np.arange(n), np.diff(ranges))
+    base = np.repeat(np.arange(n) * BINS, np.diff(ranges))
     out = np.full((n, ROUNDS, BINS), EMPTY, np.uint32)
     for r in range(ROUNDS):
         g = mix(values ^ U(0x94D049BB133111EB)) if r else values
-        place = (line * BINS + (((g >> U(32)) * U(BINS)) >> U(32)).astype(np.int64))
+        place = g >> U(32)
+        place *= U(BINS)
+        place >>= U(32)
         own = np.full(n * BINS, EMPTY, np.uint32)
-        np.minimum.at(own, place, (g & U(0xFFFFFFFE)).astype(np.uint32))
+        np.minimum.at(own, base + place.view(np.int64), g.astype(np.uint32) & np.uint32(0xFFFFFFFE))
         own = own.reshape(n, BINS)
         filled = own.copy()
         for t in range(1, 60):
@@ -138,13 +151,14 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 def _profile(part: pa.RecordBatch) -> dict:
     codes, ranges, doc, pos, _ = normal_lines(*utf8(part.column("text")))
     size = np.diff(ranges)
-    h1 = span_hashes(codes, ranges[:-1], ranges[1:])
+    total = running_sum(codes)
+    h1 = span_hashes(codes, ranges[:-1], ranges[1:], total)
     h2 = span_hashes(mix(codes ^ U(0xA24BAED4963EE407)), ranges[:-1], ranges[1:])
     # copies within the slice share one signature: it stands for the text, not the line
     signed = np.zeros(len(size), bool)
     signed[np.unique(h1, return_index=True)[1]] = True
     signed &= size >= GRAM
-    keys = band_keys(signatures(*line_shingles(codes, ranges, which=np.flatnonzero(signed))))
+    keys = band_keys(signatures(*line_shingles(codes, ranges, which=np.flatnonzero(signed), total=total)))
     offsets = np.zeros(len(size) + 1, np.int64)
     np.cumsum(signed * BANDS, out=offsets[1:])
     return {
@@ -166,9 +180,10 @@ def _line_texts(part: pa.RecordBatch) -> dict:
     data, offsets = utf8(part.column("text"))
     codes, ranges, _, _, (lo, hi) = normal_lines(data, offsets)
     raw = data.tobytes()
-    keep = np.flatnonzero(np.diff(ranges) >= GRAM)
-    h1 = span_hashes(codes, ranges[:-1], ranges[1:])[keep]
-    return {"id": as_long(h1), "text": [raw[a:b].decode("utf-8", "replace") for a, b in zip(lo[keep].tolist(), hi[keep].tolist(), strict=True)]}
+    h1 = span_hashes(codes, ranges[:-1], ranges[1:])
+    once = np.unique(h1, return_index=True)[1]
+    keep = once[np.diff(ranges)[once] >= GRAM]
+    return {"id": as_long(h1[keep]), "text": [raw[a:b].decode("utf-8", "replace") for a, b in zip(lo[keep].tolist(), hi[keep].tolist(), strict=True)]}
 
 
 def line_families(docs: DataFrame, share: int = 80, null_ids: bool = False) -> DataFrame:

@@ -21,11 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, shuffle_partitions
+from .common import cut, shuffle_partitions, slices
 from .components import components
 
 # Text of a family that one salt holds; a task sees two salts at most.
 BLOCK_BYTES = 4 * 1024 * 1024
+# Text whose sets are made at once.
+SLICE = 256 * 1024
 
 Sets = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
@@ -34,15 +36,22 @@ def _linked(both, a, b, share: int):
     return 100 * both >= share * (a + b - both)
 
 
-def family_links(hub: int, hub_set: np.ndarray, ids: np.ndarray, sets: list[np.ndarray], filters: list[list[np.ndarray]], share: int):
-    """Links (x, y) that span the components of a family block."""
-    size = np.array([len(s) for s in sets])
-    values = np.concatenate(sets) if sets else hub_set[:0]
-    offsets = np.append(0, np.cumsum(size))[:-1]
-    at = np.searchsorted(hub_set, values)
-    at[at == len(hub_set)] = 0
-    same = np.append(0, np.cumsum(hub_set[at] == values)) if len(hub_set) else np.zeros(len(values) + 1, np.int64)
-    ends = np.append(offsets, len(values))
+def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which values of ``b`` are in the sorted set ``a``."""
+    if not len(a):
+        return np.zeros(len(b), bool)
+    at = np.searchsorted(a, b)
+    at[at == len(a)] = 0
+    return a[at] == b
+
+
+def family_links(hub: int, hub_set: np.ndarray, ids: np.ndarray, values: np.ndarray, size: np.ndarray, filters: list[list[np.ndarray]], share: int):
+    """Links (x, y) that span the components of a family block; the members' sets
+    stand one after the other in ``values``."""
+    ends = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=ends[1:])
+    same = np.zeros(len(values) + 1, np.int64)
+    np.cumsum(_shared(hub_set, values), out=same[1:])
     near = _linked(same[ends[1:]] - same[ends[:-1]], size, len(hub_set), share) & (size > 0)
     out = [(int(x), hub) for x in ids[near] if x != hub]
     rest = np.flatnonzero(~near)
@@ -70,12 +79,13 @@ def family_links(hub: int, hub_set: np.ndarray, ids: np.ndarray, sets: list[np.n
         if not len(found):
             continue
         if len(found) <= 8:
-            both = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for j in found.tolist()])
+            own = values[ends[i] : ends[i + 1]]
+            both = np.array([np.count_nonzero(_shared(own, values[ends[j] : ends[j + 1]])) for j in found.tolist()])
         else:
             if codes is None:
                 codes = np.unique(values, return_inverse=True)[1]
                 flag = np.zeros(len(values) + 1, bool)
-            own = codes[offsets[i] : offsets[i] + size[i]]
+            own = codes[ends[i] : ends[i + 1]]
             flag[own] = True
             total = np.zeros(len(values) + 1, np.int32)
             np.cumsum(flag[codes], out=total[1:])
@@ -112,35 +122,48 @@ def verify_families(tried: DataFrame, rows: DataFrame, sets: Sets, share: int, f
     dealt = hubs.unionByName(members).repartition(n, "y", "lo", "hi").sortWithinPartitions("y", "lo", "hi", F.col("x").asc_nulls_first())
 
     def run(batches):
-        key, block = None, None
+        key, block, links = None, None, []
 
         def finish():
-            links = family_links(key[0], block["hub"], np.array(block["ids"], np.int64), block["sets"], block["filters"], share) if block["ids"] else []
-            return pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in links], pa.int64()), "b": pa.array([p[1] for p in links], pa.int64())})
+            if block["ids"]:
+                joined = [np.concatenate(block[c]) for c in ("ids", "values", "size")]
+                links.extend(family_links(key[0], block["hub"], *joined, block["filters"], share))
+
+        def found():
+            out = pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in links], pa.int64()), "b": pa.array([p[1] for p in links], pa.int64())})
+            links.clear()
+            return out
 
         for batch in batches:
-            step = max(1, int(len(batch) * 2_000_000 / max(batch.column("text").nbytes, 1)))
-            for at in range(0, len(batch), step):
-                part = batch.slice(at, step)
+            for part in slices(batch, "text", SLICE):
                 values, ranges = sets(part.column("text"))
-                keys = list(zip(*[part.column(c).to_pylist() for c in ("y", "lo", "hi")], strict=True))
-                xs = part.column("x").to_pylist()
+                y, lo, hi = (part.column(c).to_numpy(zero_copy_only=False) for c in ("y", "lo", "hi"))
+                leader = part.column("x").is_null().to_numpy(zero_copy_only=False)
+                xs = part.column("x").fill_null(0).to_numpy(zero_copy_only=False)
                 extra = [part.column(c) for c in filters]
-                for i, x in enumerate(xs):
-                    if keys[i] != key:
+                edges = np.flatnonzero((y[1:] != y[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
+                for at, end in zip([0, *edges.tolist()], [*edges.tolist(), len(y)], strict=True):
+                    if (y[at], lo[at], hi[at]) != key:
                         if key is not None:
-                            yield finish()
-                        key, block = keys[i], {"hub": values[:0], "ids": [], "sets": [], "filters": [[] for _ in filters]}
-                    held = values[ranges[i] : ranges[i + 1]].copy()
-                    if x is None:
-                        block["hub"] = held
+                            finish()
+                        key = (int(y[at]), int(lo[at]), int(hi[at]))
+                        block = {"hub": values[:0], "ids": [], "values": [], "size": [], "filters": [[] for _ in filters]}
+                    while at < end and leader[at]:
+                        block["hub"] = values[ranges[at] : ranges[at + 1]]
+                        at += 1
+                    if at == end:
                         continue
-                    block["ids"].append(x)
-                    block["sets"].append(held)
+                    block["ids"].append(xs[at:end])
+                    block["values"].append(values[ranges[at] : ranges[end]])
+                    block["size"].append(np.diff(ranges[at : end + 1]))
                     for k, column in enumerate(extra):
-                        block["filters"][k].append(column[i].values.to_numpy(zero_copy_only=False).copy())
+                        block["filters"][k] += [column[i].values.to_numpy(zero_copy_only=False).copy() for i in range(at, end)]
+                if links:
+                    yield found()
         if key is not None:
-            yield finish()
+            finish()
+        if links:
+            yield found()
 
     return dealt.mapInArrow(run, "a long, b long")
 
