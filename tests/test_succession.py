@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 import pytest
 
 from vertexrank.operators.succession import successor_pairs
-from vertexrank.plans.inspect import python_nodes
+from vertexrank.plans.inspect import plan_text, python_nodes, shuffle_count
 from vertexrank.session import sql_conf
+from vertexrank.sources.graphs import order_chain, order_chain_edges
 
 from .conftest import SF001
 
@@ -52,3 +53,25 @@ def test_runs_without_python_udf_rows(spark):
     df = spark.range(10).select((F.col("id") % 2).alias("g"), "id")
     plan = successor_pairs(df, "g", ["id"], "id")
     assert not python_nodes(plan)
+
+
+def test_order_chain_is_the_same_with_orders_split_over_tasks(spark):
+    orders, li = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("orders", "lineitem"))
+    # one order without a customer row, one with lines that tie, null keys
+    odd = spark.createDataFrame(
+        [(-1, 1, 5, 1), (-1, 1, 5, 1), (-1, 2, 6, 2), (-2, 1, 7, None), (-2, 2, None, 3), (None, 1, 8, 4)],
+        "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long",
+    )
+    li = li.select(*odd.columns).unionByName(odd)
+    whole = sorted(map(tuple, order_chain_edges(orders, li).collect()))
+    for most in (3, 0):  # some orders are large, then all are
+        assert sorted(map(tuple, order_chain_edges(orders, li, hot_group_rows=most).collect())) == whole
+    assert ("p5", "p6") in whole and ("p6", "s2") in whole and len(whole) == len(set(whole))
+
+
+def test_order_chain_is_derived_once(spark):
+    # every reader of the edges used to repeat the whole derivation, exchanges included
+    assert shuffle_count(order_chain(spark, SF001)) == 0
+    orders, li = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("orders", "lineitem"))
+    plan = order_chain_edges(orders, li)
+    assert plan_text(plan).count("Window ") == 1 and shuffle_count(plan) <= 3  # lines, orders, distinct

@@ -20,8 +20,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.lineage import cut_lineage
 from ..session import scratch_path
 
+HOT_GROUP_ROWS = 1_000_000  # rows of one group that a task may hold; larger groups are split
+
+
+def split_large_groups(df: DataFrame, group: str, most: int = HOT_GROUP_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of the groups with at most ``most`` rows, which may be dealt by group, and
+    those of all larger ones (``None`` if there are none). ``group`` is not null.
+
+    The sizes come from a partial aggregate over the one column; at most one group
+    per ``most`` rows is large, so their keys may be broadcast.
+    """
+    large = cut_lineage(df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select(group))
+    if large.isEmpty():
+        return df, None
+    return df.join(F.broadcast(large), group, "left_anti"), df.join(F.broadcast(large), group, "left_semi")
+
 
 def successor_pairs(
     df: DataFrame, group: str, order: list[str], value: str, num_partitions: int | None = None
