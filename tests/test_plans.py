@@ -1,13 +1,15 @@
 """Plan shape: one shuffle per step, constant plan size, no Python, pushdown."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import vertexrank.operators as ops
 from vertexrank.operators import degree_table, rank
 from vertexrank.operators.step import layout_step
 from vertexrank.plans.inspect import live_plan_lines, plan_text, python_nodes, shuffle_count
-from vertexrank.plans.layout import build_layout
+from vertexrank.plans.layout import build_layout, choose_partitions
 from vertexrank.session import sql_conf
+from vertexrank.sources.edges import normalize_edges
 from vertexrank.sources.graphs import customer_supplier, order_chain, returned_part_chain
 
 from .conftest import SF001
@@ -127,3 +129,24 @@ def test_rank_restores_session_settings(spark):
     rank(spark.createDataFrame([("a", "b")], "src string, dst string"), max_iter=1)
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.shuffle.partitions") == "2"
+
+
+def test_partitions_follow_the_task_slots(spark):
+    # a step shuffles one partial sum per partition and target: more partitions than
+    # slots made that figure grow faster than the edges
+    assert choose_partitions(45_000_000, 100, 12) == choose_partitions(4_500_000, 12, 12) == 12
+    assert choose_partitions(270_000_000, 600, 12) == 17 and choose_partitions(10**12, 600, 12) == 62_500
+    assert choose_partitions(25_000, 100, 12) == 3 and choose_partitions(0, 100, 12) == 1
+    rows = spark.range(200_000).select((F.col("id") % 500).alias("src"), (F.col("id") * 7919 % 200_003).alias("dst"))
+    with sql_conf(spark, LOOP_CONF | {"spark.sql.shuffle.partitions": "64"}):
+        layout = build_layout(rows.cache(), n_edges=200_000)
+        assert layout.num_partitions == spark.sparkContext.defaultParallelism
+        layout.close()
+    rows.unpersist()
+
+
+def test_distinct_edges_are_not_shuffled_to_be_cleaned(spark):
+    e = spark.createDataFrame([("a", "b"), ("b", "c")], "src string, dst string")
+    assert shuffle_count(normalize_edges(e, sentinel=None)) == 1
+    taken = rank(e, max_iter=3, distinct=True).ranks
+    assert sorted(taken.collect()) == sorted(rank(e, max_iter=3).ranks.collect())

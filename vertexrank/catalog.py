@@ -274,24 +274,24 @@ def _graph(g: str):
 
 def _rank_query(g: str, **kw) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _ranks6(rank(_graph(g)(spark, sf_dir), **kw).ranks)
+        return _ranks6(rank(_graph(g)(spark, sf_dir), distinct=True, **kw).ranks)
 
     return run
 
 
 def q_rank_tolerance(spark, sf_dir):
-    res = rank(order_chain(spark, sf_dir), dangling="redistribute", tol=TOL)
+    res = rank(order_chain(spark, sf_dir), distinct=True, dangling="redistribute", tol=TOL)
     return res.ranks.select("vertex", F.lit(res.iterations).cast("long").alias("iterations"), _r6())
 
 
 def q_rank_tolerance_self_loop(spark, sf_dir):
-    res = rank(order_chain(spark, sf_dir), tol=TOL_SELF_LOOP, max_iter=None)
+    res = rank(order_chain(spark, sf_dir), distinct=True, tol=TOL_SELF_LOOP, max_iter=None)
     return res.ranks.select("vertex", F.lit(res.iterations).cast("long").alias("iterations"), _r6())
 
 
 def _ranks_after_one(spark, sf_dir, policy):
     edges = order_chain(spark, sf_dir)
-    return edges, rank(edges, dangling=policy, max_iter=1).ranks
+    return edges, rank(edges, distinct=True, dangling=policy, max_iter=1).ranks
 
 
 def q_contributions(spark, sf_dir):
@@ -316,7 +316,7 @@ def q_rank_delta(spark, sf_dir):
 
 
 def q_rank_positions(spark, sf_dir):
-    ranks = _ranks6(rank(order_chain(spark, sf_dir), max_iter=K).ranks)
+    ranks = _ranks6(rank(order_chain(spark, sf_dir), distinct=True, max_iter=K).ranks)
     return with_positions(ranks)
 
 
@@ -324,7 +324,7 @@ def q_order_ranks(spark, sf_dir):
     """Sorted ranks written out; the position of a row is its place in the files
     taken in name order."""
     path = scratch_path(spark, "ordered")
-    order_ranks(_ranks6(rank(order_chain(spark, sf_dir), max_iter=K).ranks)).write.parquet(path)
+    order_ranks(_ranks6(rank(order_chain(spark, sf_dir), distinct=True, max_iter=K).ranks)).write.parquet(path)
     back = spark.read.parquet(path).select("vertex", "rank", "_metadata.file_name", "_metadata.row_index")
     sizes = back.groupBy("file_name").agg(F.count("*").alias("n"))  # one row per file
     before = sizes.select("file_name", (F.sum("n").over(Window.orderBy("file_name")) - F.col("n")).alias("before"))
@@ -335,14 +335,14 @@ def q_order_ranks(spark, sf_dir):
 
 def _rank_to(tol: float, **kw):
     def run(spark, sf_dir):
-        res = rank(order_chain(spark, sf_dir), tol=tol, **kw)
+        res = rank(order_chain(spark, sf_dir), distinct=True, tol=tol, **kw)
         return res.ranks.select("vertex", F.lit(res.iterations).cast("long").alias("iterations"), _r6())
 
     return run
 
 
 def q_write_ranks_roundtrip(spark, sf_dir):
-    ranks = rank(order_chain(spark, sf_dir), max_iter=K).ranks
+    ranks = rank(order_chain(spark, sf_dir), distinct=True, max_iter=K).ranks
     out = []
     for fmt in ("tuple", "tsv"):
         path = scratch_path(spark, f"ranks-{fmt}")
@@ -354,7 +354,7 @@ def q_write_ranks_roundtrip(spark, sf_dir):
 
 def q_rank_history(spark, sf_dir):
     path = scratch_path(spark, "history")
-    rank(order_chain(spark, sf_dir), max_iter=K, history_path=path)
+    rank(order_chain(spark, sf_dir), distinct=True, max_iter=K, history_path=path)
     return read_rank_history(spark, path).select("iteration", "vertex", _r6())
 
 
@@ -362,8 +362,8 @@ def q_rank_resumed(spark, sf_dir, **kw):
     """Stopped after half of the steps, then resumed; every iteration of both runs."""
     path = scratch_path(spark, "resumed")
     edges = order_chain(spark, sf_dir)
-    rank(edges, max_iter=K // 2, history_path=path, **kw)
-    rank(edges, max_iter=K, history_path=path, resume=True, **kw)
+    rank(edges, distinct=True, max_iter=K // 2, history_path=path, **kw)
+    rank(edges, distinct=True, max_iter=K, history_path=path, resume=True, **kw)
     return read_rank_history(spark, path).select("iteration", "vertex", _r6())
 
 
@@ -372,7 +372,7 @@ def _saved_rank_query(g: str, hot_threshold: int | None = None, **kw):
 
     def run(spark, sf_dir):
         path = scratch_path(spark, "graph")
-        save_graph(_graph(g)(spark, sf_dir), path, hot_threshold=hot_threshold)
+        save_graph(_graph(g)(spark, sf_dir), path, hot_threshold=hot_threshold, distinct=True)
         rank(open_graph(spark, path), max_iter=1, **kw)
         return _ranks6(rank(open_graph(spark, path), max_iter=K, **kw).ranks)
 
@@ -383,7 +383,7 @@ def q_rank_order_free(spark, sf_dir):
     """Run on two layouts with sums that do not depend on them: rows of either
     that the other has not to the last bit would be missing here."""
     edges = order_chain(spark, sf_dir)
-    a, b = (rank(edges, dangling="redistribute", tol=TOL, order_free=True, num_partitions=n, hot_threshold=h) for n, h in ((3, None), (11, HUB_THRESHOLD)))
+    a, b = (rank(edges, distinct=True, dangling="redistribute", tol=TOL, order_free=True, num_partitions=n, hot_threshold=h) for n, h in ((3, None), (11, HUB_THRESHOLD)))
     both = a.ranks.join(b.ranks, ["vertex", "rank"]) if a.deltas == b.deltas else a.ranks.limit(0)
     return both.select("vertex", F.lit(a.iterations).cast("long").alias("iterations"), _r6())
 
@@ -400,7 +400,7 @@ def q_ranks_in_part_files(spark, sf_dir):
     """Sorted ranks in text files of a set size: a row's position is its place in
     the files taken in name order."""
     path = scratch_path(spark, "parts")
-    ranks = _ranks6(rank(order_chain(spark, sf_dir), max_iter=K).ranks)
+    ranks = _ranks6(rank(order_chain(spark, sf_dir), distinct=True, max_iter=K).ranks)
     write_ranks(ranks, path, fmt="parquet", part_bytes=8192)
     back = spark.read.parquet(path).select("vertex", "rank", "_metadata.file_name", "_metadata.row_index")
     sizes = back.groupBy("file_name").agg(F.count("*").alias("n"))  # one row per file

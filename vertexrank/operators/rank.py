@@ -58,6 +58,7 @@ def rank(
     resume: bool = False,
     dense_ids: bool = False,
     order_free: bool = False,
+    distinct: bool = False,
 ) -> RankResult:
     """Rank the vertices of ``edges`` (columns ``src, dst``, any one key type), or
     of a graph laid out on disk (``save_graph``, ``open_graph``), whose partitions
@@ -85,6 +86,9 @@ def rank(
     ``order_free=True`` adds up in integers (``functions/sums.py``): ranks, changes
     and so the number of steps are the same to the last bit for any partitioning.
     ``num_partitions=None`` sizes the loop's partitions from the edge count.
+    ``distinct=True`` takes the edges as they are: the caller knows that none is null
+    or repeated (``normalize_edges`` and the graphs of ``sources/graphs.py`` see to that),
+    and the shuffle that would drop such edges is saved.
     """
     if dangling not in POLICIES:
         raise ValueError(f"dangling must be one of {POLICIES}")
@@ -115,7 +119,7 @@ def rank(
     try:
         dictionary = clean = None
         if saved is None:
-            clean = keep(normalize_edges(edges, sentinel=None), inputs)
+            clean = keep(edges.select("src", "dst") if distinct else normalize_edges(edges, sentinel=None), inputs)
             n_edges = clean.count()
             if dense_ids:
                 dictionary = keep(vertex_dictionary(clean), names)

@@ -42,10 +42,12 @@ from .lineage import cut_lineage, keep, release
 
 MIN_HOT_THRESHOLD = 10_000
 # Partition sizing when no count is given: no partition below MIN edges (task
-# overhead dominates), none above MAX edges (memory and spill), otherwise the
-# session's spark.sql.shuffle.partitions.
+# overhead dominates), none above MAX edges (memory and spill), otherwise one per
+# task slot, at most the session's spark.sql.shuffle.partitions. A step shuffles one
+# partial sum per partition and target it reaches: partitions beyond the slots only
+# add partial sums, up to one per edge.
 MIN_EDGES_PER_PARTITION = 10_000
-MAX_EDGES_PER_PARTITION = 64_000_000
+MAX_EDGES_PER_PARTITION = 16_000_000
 HOT_BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_VERTICES = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
@@ -96,11 +98,13 @@ def _count_stats(deg: DataFrame) -> dict[str, int]:
     return row.asDict()
 
 
-def choose_partitions(n_edges: int, session_partitions: int) -> int:
-    """Partition count for ``n_edges`` edges (see the MIN/MAX constants)."""
+def choose_partitions(n_edges: int, session_partitions: int, slots: int | None = None) -> int:
+    """Partition count for ``n_edges`` edges (see the MIN/MAX constants); ``slots`` is
+    the number of tasks that run at a time."""
     small = max(1, math.ceil(n_edges / MIN_EDGES_PER_PARTITION))
     large = math.ceil(n_edges / MAX_EDGES_PER_PARTITION)
-    return max(1, min(session_partitions, small), large)
+    most = session_partitions if slots is None else min(session_partitions, slots)
+    return max(1, min(most, small), large)
 
 
 def build_layout(
@@ -135,7 +139,8 @@ def build_layout(
         session_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         if n_edges is None:
             n_edges = clean.count()
-        num_partitions = choose_partitions(n_edges, session_partitions)
+        slots = spark.sparkContext.defaultParallelism
+        num_partitions = choose_partitions(n_edges, session_partitions, slots)
     n = num_partitions
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     # Explicit layout, not inherited: the state that grows out of this table
@@ -149,7 +154,7 @@ def build_layout(
     n_state = n_vertices - n_sources if prune_sources else n_vertices
     if sized and prune_sources and n_vertices:
         # the loop runs on the edges of the vertices that stay
-        inner = choose_partitions(max(stats["n_inner"], n_state), session_partitions)
+        inner = choose_partitions(max(stats["n_inner"], n_state), session_partitions, slots)
         if inner != n:
             n = inner
             spark.conf.set("spark.sql.shuffle.partitions", str(n))
