@@ -7,7 +7,7 @@ import vertexrank.operators as ops
 from vertexrank.operators import degree_table, rank
 from vertexrank.operators.step import layout_step
 from vertexrank.plans.inspect import live_plan_lines, plan_text, python_nodes, shuffle_count
-from vertexrank.plans.layout import build_layout, choose_partitions
+from vertexrank.plans.layout import build_layout, choose_partitions, spread_partitions
 from vertexrank.session import sql_conf
 from vertexrank.sources.edges import normalize_edges
 from vertexrank.sources.graphs import customer_supplier, order_chain, returned_part_chain
@@ -150,3 +150,13 @@ def test_distinct_edges_are_not_shuffled_to_be_cleaned(spark):
     assert shuffle_count(normalize_edges(e, sentinel=None)) == 1
     taken = rank(e, max_iter=3, distinct=True).ranks
     assert sorted(taken.collect()) == sorted(rank(e, max_iter=3).ranks.collect())
+
+
+def test_given_partitions_are_multiplied_on_large_graphs(spark):
+    # three partitions used to leave all but three task slots idle, whatever the graph
+    assert [spread_partitions(n, 3, 12) for n in (0, 3_000_000, 4_500_000, 45_000_000, 270_000_000)] == [3, 3, 6, 12, 18]
+    assert spread_partitions(45_000_000, 11, 12) == 22 and spread_partitions(10_000_000, 11, 12) == 11
+    with sql_conf(spark, LOOP_CONF):
+        layout = build_layout(customer_supplier(spark, SF001), num_partitions=3)
+        assert layout.num_partitions == 3
+        layout.close()

@@ -85,7 +85,8 @@ def rank(
     so a step shuffles eight bytes per id; results carry the keys.
     ``order_free=True`` adds up in integers (``functions/sums.py``): ranks, changes
     and so the number of steps are the same to the last bit for any partitioning.
-    ``num_partitions=None`` sizes the loop's partitions from the edge count.
+    ``num_partitions=None`` sizes the loop's partitions from the edge count; a given
+    number is multiplied where its partitions would be large while task slots stay idle.
     ``distinct=True`` takes the edges as they are: the caller knows that none is null
     or repeated (``normalize_edges`` and the graphs of ``sources/graphs.py`` see to that),
     and the shuffle that would drop such edges is saved.

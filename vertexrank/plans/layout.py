@@ -48,6 +48,9 @@ MIN_HOT_THRESHOLD = 10_000
 # add partial sums, up to one per edge.
 MIN_EDGES_PER_PARTITION = 10_000
 MAX_EDGES_PER_PARTITION = 16_000_000
+# A given partition count is multiplied where its partitions would hold more edges
+# than this while task slots stay idle.
+IDLE_EDGES_PER_PARTITION = 1_000_000
 HOT_BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_VERTICES = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
@@ -107,6 +110,14 @@ def choose_partitions(n_edges: int, session_partitions: int, slots: int | None =
     return max(1, min(most, small), large)
 
 
+def spread_partitions(n_edges: int, num_partitions: int, slots: int) -> int:
+    """``num_partitions``, or the smallest multiple of it that keeps the task slots busy
+    with large partitions and no partition above ``MAX_EDGES_PER_PARTITION``."""
+    busy = min(slots, math.ceil(n_edges / IDLE_EDGES_PER_PARTITION))
+    least = max(busy, math.ceil(n_edges / MAX_EDGES_PER_PARTITION))
+    return num_partitions * max(1, math.ceil(least / num_partitions))
+
+
 def build_layout(
     edges: DataFrame,
     *,
@@ -125,7 +136,8 @@ def build_layout(
     does this): it sets ``spark.sql.shuffle.partitions`` to the partition
     count, so that every aggregate's output partitioning equals the explicit
     ``repartition`` of the edges. ``num_partitions=None`` sizes it from the
-    edge count (:func:`choose_partitions`).
+    edge count (:func:`choose_partitions`); a given count is multiplied on graphs
+    too large for it (:func:`spread_partitions`).
     """
     spark = edges.sparkSession
     build: list[DataFrame] = []  # caches needed only while building
@@ -135,13 +147,13 @@ def build_layout(
     owner = edges if edges.is_cached else keep(edges, build)
     clean = owner.select("src", "dst")
     sized = num_partitions is None
+    slots = spark.sparkContext.defaultParallelism
+    if n_edges is None:
+        n_edges = clean.count()
     if sized:
         session_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        if n_edges is None:
-            n_edges = clean.count()
-        slots = spark.sparkContext.defaultParallelism
         num_partitions = choose_partitions(n_edges, session_partitions, slots)
-    n = num_partitions
+    n = num_partitions if sized else spread_partitions(n_edges, num_partitions, slots)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     # Explicit layout, not inherited: the state that grows out of this table
     # must be hash-partitioned by vertex into exactly n partitions whatever the
