@@ -34,11 +34,14 @@ from ..plans.lineage import cut_lineage, keep, release
 from ..plans.saved import SavedGraph
 from ..session import list_folder, path_exists, sql_conf
 from ..sources.edges import normalize_edges
-from .dictionary import decode_vertices, encode_edges, encode_vertices, vertex_dictionary
+from .dictionary import decode_vertices, encode_edges, encode_vertices, vertex_dictionary, vertex_numbers
 from .loop import RankResult, iterate, measure_state
 from .step import POLICIES, REDISTRIBUTE, layout_step
 
 STRATEGIES = ("shuffle", "broadcast")
+# A run that may take more steps than this is done on numbers instead of string keys:
+# two joins of the edges once, against half of the task time of every step.
+NUMBERED_STEPS = 20
 
 
 def rank(
@@ -56,7 +59,7 @@ def rank(
     broadcast_max_vertices: int = BROADCAST_MAX_VERTICES,
     history_path: str | None = None,
     resume: bool = False,
-    dense_ids: bool = False,
+    dense_ids: bool | None = None,
     order_free: bool = False,
     distinct: bool = False,
 ) -> RankResult:
@@ -82,7 +85,9 @@ def rank(
     ``max_iter`` count all steps, ``deltas`` has those run now. The settings must
     be those the history was written with; they are kept beside it and compared.
     ``dense_ids=True`` runs the loop on BIGINT ids from a dictionary of the keys,
-    so a step shuffles eight bytes per id; results carry the keys.
+    so a step shuffles eight bytes per id; results carry the keys. ``None`` (default) does
+    so for string keys where more than ``NUMBERED_STEPS`` steps are possible and no history is
+    written, with numbers that need no order (``vertex_numbers``); ``False`` never.
     ``order_free=True`` adds up in integers (``functions/sums.py``): ranks, changes
     and so the number of steps are the same to the last bit for any partitioning.
     ``num_partitions=None`` sizes the loop's partitions from the edge count; a given
@@ -118,12 +123,18 @@ def rank(
     names: list[DataFrame] = []
     layout = None
     try:
-        dictionary = clean = None
+        dictionary = clean = degrees = None
         if saved is None:
             clean = keep(edges.select("src", "dst") if distinct else normalize_edges(edges, sentinel=None), inputs)
             n_edges = clean.count()
-            if dense_ids:
-                dictionary = keep(vertex_dictionary(clean), names)
+            if dense_ids is None:
+                many = max_iter is None or max_iter > NUMBERED_STEPS
+                numbered = many and history_path is None and strategy == "shuffle" and dict(clean.dtypes)["src"] == "string"
+            else:
+                numbered = dense_ids
+            if numbered:
+                dictionary = keep(vertex_dictionary(clean), names) if dense_ids else vertex_numbers(clean)
+                degrees = dictionary.select(F.col("id").alias("vertex"), "out_degree", "in_degree")
                 given, clean = clean, keep(encode_edges(clean, dictionary), inputs)
                 clean.count()
                 given.unpersist(blocking=False)
@@ -143,6 +154,7 @@ def rank(
                     hot_threshold=hot_threshold,
                     broadcast_max_vertices=broadcast_max_vertices,
                     order_free=order_free,
+                    degrees=degrees,
                 )
             release(inputs)
             if layout.is_empty:

@@ -129,8 +129,10 @@ def build_layout(
     hot_threshold: int | None = None,
     broadcast_max_vertices: int = BROADCAST_MAX_VERTICES,
     order_free: bool = False,
+    degrees: DataFrame | None = None,
 ) -> GraphLayout:
-    """Lay out a clean, distinct edge table for the loop.
+    """Lay out a clean, distinct edge table for the loop. ``degrees``
+    (``vertex, out_degree, in_degree``) saves counting them where the caller has them.
 
     Must run inside a settings scope with adaptive execution off (``rank``
     does this): it sets ``spark.sql.shuffle.partitions`` to the partition
@@ -159,7 +161,7 @@ def build_layout(
     # must be hash-partitioned by vertex into exactly n partitions whatever the
     # input looks like (a one-partition input would otherwise leave it in one).
     # One shuffle of one row per vertex, at build time only.
-    deg = keep(degree_table(clean).repartition(n, "vertex"), build)
+    deg = keep((degree_table(clean) if degrees is None else degrees).repartition(n, "vertex"), build)
     stats = _count_stats(deg)
     n_vertices, n_edges = stats["n_vertices"], stats["n_edges"]
     n_sources = stats["n_sources"]
