@@ -4,8 +4,10 @@ import importlib
 
 import pytest
 
-from vertexrank.operators import rank
+from vertexrank.operators import encode_edges, rank
 from vertexrank.operators.dictionary import vertex_numbers
+from vertexrank.plans.inspect import shuffle_count
+from vertexrank.session import sql_conf
 from vertexrank.sources.graphs import order_chain
 
 from .conftest import SF001, Approx, as_dict
@@ -51,3 +53,17 @@ def test_numbers_are_distinct_and_small(spark):
     rows = vertex_numbers(graph).collect()
     assert len({r.id for r in rows}) == len({r.vertex for r in rows}) == len(rows)
     assert 0 <= min(r.id for r in rows) and max(r.id for r in rows) < 100 * len(rows)
+
+
+def test_edges_are_shuffled_once_per_end(spark):
+    graph = order_chain(spark, SF001)
+    names, held = vertex_numbers(graph), []
+    with sql_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        plain = encode_edges(graph, names)
+        # the first join stands in the plan twice, once for the hubs of the second
+        before, rows = shuffle_count(plain), sorted(plain.collect())
+        kept = encode_edges(graph, names, held)
+        assert shuffle_count(kept) < before
+        assert sorted(kept.collect()) == rows
+    held.pop().unpersist()
+    assert not held

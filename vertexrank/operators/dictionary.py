@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.lineage import cut_lineage
+from ..plans.lineage import cut_lineage, keep
 from .order import number_rows
 from .topology import degree_table, join_source
 
@@ -44,10 +44,14 @@ def vertex_numbers(edges: DataFrame) -> DataFrame:
     return placed.withColumn("id", place * F.lit(parts).cast("long") + part)
 
 
-def encode_edges(edges: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """``edges`` with both ends as dictionary ids (``src, dst`` BIGINT)."""
+def encode_edges(edges: DataFrame, dictionary: DataFrame, held: list[DataFrame] | None = None) -> DataFrame:
+    """``edges`` with both ends as dictionary ids (``src, dst`` BIGINT). The second join
+    reads the first one for hubs and for all others; with ``held`` (a registry of
+    :func:`keep`) it is cached there, so that its edges are shuffled once."""
     senders = dictionary.where(F.col("out_degree") > 0).select(F.col("vertex").alias("src"), "out_degree", F.col("id").alias("from"))
     half = join_source(edges.select("src", "dst"), senders).select(F.col("dst").alias("src"), "from")
+    if held is not None:
+        half = keep(half, held)
     # the other end: the same join with the target as key, its in-edges as the count
     targets = dictionary.where(F.col("in_degree") > 0).select(F.col("vertex").alias("src"), F.col("in_degree").alias("out_degree"), F.col("id").alias("to"))
     return join_source(half, targets).select(F.col("from").alias("src"), F.col("to").alias("dst"))

@@ -135,7 +135,7 @@ def rank(
             if numbered:
                 dictionary = keep(vertex_dictionary(clean), names) if dense_ids else vertex_numbers(clean)
                 degrees = dictionary.select(F.col("id").alias("vertex"), "out_degree", "in_degree")
-                given, clean = clean, keep(encode_edges(clean, dictionary), inputs)
+                given, clean = clean, keep(encode_edges(clean, dictionary, inputs), inputs)
                 clean.count()
                 given.unpersist(blocking=False)
         shuffle_partitions = spark.conf.get("spark.sql.shuffle.partitions")
