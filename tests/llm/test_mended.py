@@ -143,6 +143,41 @@ def test_suffix_dedup_passage_in_many_texts(spark, collection, monkeypatch):
     assert Counter(map(tuple, out.collect())) == Counter(suffix_dedup_by_force(rows))
 
 
+def test_suffix_dedup_common_anchor_is_spread(spark, monkeypatch):
+    """The rows of an anchor that many texts use are not dealt to one task."""
+    rng = random.Random(9)
+    letters = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    shared = letters(450)
+    rows = [(k, letters(rng.randint(0, 300)) + shared + letters(rng.randint(0, 300))) for k in range(300)]
+    rows += [(1000 + k // 2, t) for k in range(0, 60, 2) for t in [letters(700)] * 2]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    tables = []
+
+    def watched(df):
+        out = real(df)
+        if "anchor" in out.columns and {"lo", "at"} & set(out.columns):
+            files = [r["n"] for r in out.groupBy("anchor", F.input_file_name().alias("f")).agg(F.count("*").alias("n")).collect()]
+            anchors = [r["count"] for r in out.groupBy("anchor").count().collect()]
+            tables.append((max(files, default=0), max(anchors, default=0)))
+        return out
+
+    real = suffix_dedup.cut
+    # tables this small would be broadcast
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    monkeypatch.setattr(suffix_dedup, "cut", watched)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert Counter(map(tuple, out)) == Counter(suffix_dedup_by_force(rows))
+    assert max(total for _, total in tables) >= 250
+    assert all(most <= 0.5 * total for most, total in tables if total >= 250)
+
+
 def suffix_dedup_by_force(rows):
     texts = [(d, (t or "").encode()) for d, t in rows]
     count = Counter(b[i : i + 400] for _, b in texts for i in range(len(b) - 399))
