@@ -73,6 +73,15 @@ def test_saved_graph_needs_no_exchange_of_edges(spark, saved, prune):
         layout.close()
 
 
+def test_saved_hubs_are_bounded(graph, expected, tmp_path, monkeypatch):
+    # every source above a given threshold was a hub, and every step broadcasts the hubs
+    monkeypatch.setattr("vertexrank.plans.layout.HOT_BROADCAST_MAX_ROWS", 20)
+    with pytest.warns(UserWarning, match="would broadcast"):
+        few = save_graph(graph, str(tmp_path / "g"), num_partitions=4, hot_threshold=1)
+    assert few.n_hot <= 20 and few.hot_threshold > 1
+    assert Approx(expected[3], 1e-9) == as_dict(rank(few, max_iter=4, **FORMS[3]).ranks)
+
+
 def test_save_refuses_a_folder_in_use_and_open_an_unfinished_one(spark, saved, edges, tmp_path):
     with pytest.raises(FileExistsError):
         save_graph(edges([("a", "b")]), saved.path)

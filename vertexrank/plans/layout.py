@@ -118,6 +118,22 @@ def spread_partitions(n_edges: int, num_partitions: int, slots: int) -> int:
     return num_partitions * max(1, math.ceil(least / num_partitions))
 
 
+def choose_hubs(degrees: DataFrame, n_edges: int, n: int, hot_threshold: int | None) -> tuple[int, int]:
+    """(out-degree above which a source is a hub, number of hubs) over ``n`` partitions:
+    the given threshold, raised where it would broadcast too many hubs."""
+    if hot_threshold is None:
+        # at most num_partitions sources can exceed ceil(n_edges / num_partitions)
+        threshold = max(MIN_HOT_THRESHOLD, math.ceil(n_edges / n))
+    else:
+        threshold = max(1, int(hot_threshold))
+    n_hot = degrees.where(F.col("out_degree") > threshold).count()
+    if n_hot > HOT_BROADCAST_MAX_ROWS:  # keep the broadcast of hub shares bounded
+        threshold = max(threshold, math.ceil(n_edges / HOT_BROADCAST_MAX_ROWS))
+        warnings.warn(f"hot_threshold={hot_threshold} would broadcast {n_hot} hubs; raised to {threshold}", stacklevel=4)
+        n_hot = degrees.where(F.col("out_degree") > threshold).count()
+    return threshold, n_hot
+
+
 def build_layout(
     edges: DataFrame,
     *,
@@ -191,18 +207,7 @@ def build_layout(
         threshold = 0  # every source counts as a hub: all edges join the broadcast state
         n_hot = n_vertices - stats["n_dangling"]
     else:
-        if hot_threshold is None:
-            # at most num_partitions sources can exceed ceil(n_edges / num_partitions)
-            threshold = max(MIN_HOT_THRESHOLD, math.ceil(n_edges / n))
-        else:
-            threshold = max(1, int(hot_threshold))
-        n_hot = deg.where(F.col("out_degree") > threshold).count()
-        if n_hot > HOT_BROADCAST_MAX_ROWS:  # keep the broadcast of hub shares bounded
-            threshold = max(threshold, math.ceil(n_edges / HOT_BROADCAST_MAX_ROWS))
-            warnings.warn(
-                f"hot_threshold={hot_threshold} would broadcast {n_hot} hubs; raised to {threshold}", stacklevel=3
-            )
-            n_hot = deg.where(F.col("out_degree") > threshold).count()
+        threshold, n_hot = choose_hubs(deg, n_edges, n, hot_threshold)
 
     # Per-source facts: out-degree and whether the source has no in-edge.
     src_facts = deg.select(
