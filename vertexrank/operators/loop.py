@@ -46,20 +46,22 @@ def _measures(order_free: bool = False):
     )
 
 
-def measure_state(state: DataFrame, order_free: bool = False) -> tuple[float, float]:
+def measure_state(state: DataFrame, order_free: bool = False, measures: tuple | None = None) -> tuple[float, float]:
     """(L1 change, rank held by dangling vertices) of a state, in one job."""
-    row = state.agg(*_measures(order_free)).first()
+    row = state.agg(*(measures or _measures(order_free))).first()
     return float(row["delta"]), float(row["dmass"])
 
 
-def checkpoint_and_measure(new: DataFrame, expected_rows: int | None, order_free: bool = False) -> tuple[DataFrame, float, float]:
+def checkpoint_and_measure(
+    new: DataFrame, expected_rows: int | None, order_free: bool = False, measures: tuple | None = None
+) -> tuple[DataFrame, float, float]:
     """Checkpoint a state and return it with its L1 change and dangling rank."""
     obs = Observation()
-    state = cut_lineage(new.observe(obs, *_measures(order_free)))
+    state = cut_lineage(new.observe(obs, *(measures or _measures(order_free))))
     seen = obs.get
     if expected_rows is not None and seen.get("rows") == expected_rows:
         return state, float(seen["delta"]), float(seen["dmass"])
-    delta, dmass = measure_state(state, order_free)
+    delta, dmass = measure_state(state, order_free, measures)
     return state, delta, dmass
 
 
@@ -74,6 +76,7 @@ def iterate(
     on_iteration: Callable[[int, DataFrame, float], None] | None = None,
     done: int = 0,
     order_free: bool = False,
+    measures: tuple | None = None,
 ) -> tuple[DataFrame, int, list[float], list[float]]:
     """Repeat ``step`` until the L1 change is at most ``tol`` or ``max_iter``
     steps ran (whichever first); at least one step always runs.
@@ -82,7 +85,8 @@ def iterate(
     previous state and the rank its dangling vertices held. ``expected_rows``
     is the state size, used to validate the observed measures. ``done`` steps ran
     before (``state`` is theirs); they count for ``max_iter``. ``order_free`` measures
-    with sums that do not depend on the partitions. Returns the final state, the
+    with sums that do not depend on the partitions; ``measures`` are the aggregates for a
+    state that is not one row per vertex. Returns the final state, the
     number of all steps, and the L1 change and dangling rank per step run here.
     """
     if tol is None and max_iter is None:
@@ -93,7 +97,7 @@ def iterate(
     k = done
     while True:
         k += 1
-        state, delta, dangling_rank = checkpoint_and_measure(step(state, k, dangling_rank), expected_rows, order_free)
+        state, delta, dangling_rank = checkpoint_and_measure(step(state, k, dangling_rank), expected_rows, order_free, measures)
         deltas.append(delta)
         masses.append(dangling_rank)
         if on_iteration is not None:

@@ -87,7 +87,9 @@ def rank(
     ``dense_ids=True`` runs the loop on BIGINT ids from a dictionary of the keys,
     so a step shuffles eight bytes per id; results carry the keys. ``None`` (default) does
     so for string keys where more than ``NUMBERED_STEPS`` steps are possible and no history is
-    written, with numbers that need no order (``vertex_numbers``); ``False`` never.
+    written, with numbers that need no order (``vertex_numbers``), and large graphs without
+    hubs step on blocks of vertices (``plans/blocks.py``) unless ``hot_threshold`` is given;
+    ``False`` never.
     ``order_free=True`` adds up in integers (``functions/sums.py``): ranks, changes
     and so the number of steps are the same to the last bit for any partitioning.
     ``num_partitions=None`` sizes the loop's partitions from the edge count; a given
@@ -123,7 +125,7 @@ def rank(
     names: list[DataFrame] = []
     layout = None
     try:
-        dictionary = clean = degrees = None
+        dictionary = clean = degrees = n_blocks = None
         if saved is None:
             clean = keep(edges.select("src", "dst") if distinct else normalize_edges(edges, sentinel=None), inputs)
             n_edges = clean.count()
@@ -133,15 +135,31 @@ def rank(
             else:
                 numbered = dense_ids
             if numbered:
-                dictionary = keep(vertex_dictionary(clean), names) if dense_ids else vertex_numbers(clean)
+                if dense_ids is None and hot_threshold is None:
+                    from ..plans import blocks  # numpy and pyarrow are needed for these runs only
+
+                    session_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+                    n_blocks = blocks.choose_blocks(n_edges, num_partitions, session_partitions, spark.sparkContext.defaultParallelism)
+                if n_blocks:
+                    dictionary = blocks.block_numbers(clean, n_blocks)
+                    if blocks.has_hubs(dictionary, n_edges, n_blocks):
+                        n_blocks = None
+                else:
+                    dictionary = keep(vertex_dictionary(clean), names) if dense_ids else vertex_numbers(clean)
                 degrees = dictionary.select(F.col("id").alias("vertex"), "out_degree", "in_degree")
                 given, clean = clean, keep(encode_edges(clean, dictionary, inputs), inputs)
                 clean.count()
                 given.unpersist(blocking=False)
         shuffle_partitions = spark.conf.get("spark.sql.shuffle.partitions")
         loop_conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": shuffle_partitions}
+        if n_blocks:
+            loop_conf[blocks.ARROW_ROWS] = str(blocks.BATCH_ROWS)
         with sql_conf(spark, loop_conf):
-            if saved is not None:
+            if n_blocks:
+                layout = blocks.build_blocks(
+                    clean, dictionary, n_blocks, prune_sources=prune_sources, initial_rank=initial_rank, order_free=order_free
+                )
+            elif saved is not None:
                 layout = saved.layout(prune_sources=prune_sources, initial_rank=initial_rank)
             else:
                 layout = build_layout(
@@ -157,7 +175,7 @@ def rank(
                     degrees=degrees,
                 )
             release(inputs)
-            if layout.is_empty:
+            if not n_blocks and layout.is_empty:
                 return RankResult(_empty_ranks(spark, saved.id_type if saved is not None else dict(edges.dtypes)["src"]), 0, [], [], None if tol is None else True)
             n_vertices = float(layout.n_vertices)
             masses: list[float] = []  # dangling mass m used by each step
@@ -175,11 +193,17 @@ def rank(
                 src_rank = None
                 if prune_sources:
                     src_rank = initial_rank if k == 1 else source_rank_at(k, m)
-                return layout_step(
+                one_step = blocks.block_step if n_blocks else layout_step
+                return one_step(
                     layout, state, self_loop=not redistribute, damping=damping, mass=m, source_rank=src_rank, order_free=order_free
                 )
 
             def full_ranks(state: DataFrame, source_value: float | None) -> DataFrame:
+                if n_blocks:
+                    ranks = decode_vertices(blocks.block_ranks(layout, state), dictionary)
+                    if layout.factored is not None:
+                        ranks = ranks.unionByName(layout.factored.select("vertex", F.lit(float(source_value)).alias("rank")))
+                    return ranks
                 ranks = state.select("vertex", "rank")
                 if layout.factored is not None:
                     ranks = ranks.unionByName(
@@ -221,6 +245,7 @@ def rank(
                 on_iteration=on_iteration,
                 done=done,
                 order_free=order_free,
+                measures=blocks.block_measures(order_free) if n_blocks else None,
             )
             final = _kept(full_ranks(state, source_rank_at(k, masses[-1])), dictionary)
     finally:  # caches go whether the loop finished or failed
