@@ -68,7 +68,7 @@ def test_far_targets_and_cut_tiles(spark, steps, monkeypatch):
 
 def test_hubs_and_small_graphs_stay_on_rows(spark, edges, steps, monkeypatch):
     hub = spark.range(300).selectExpr("'hub' AS src", "concat('v', id) AS dst").union(spark.range(300).selectExpr("concat('v', id) AS src", "'hub' AS dst"))
-    monkeypatch.setattr(blocks, "MIN_HOT_THRESHOLD", 10)
+    monkeypatch.setattr("vertexrank.plans.layout.MIN_HOT_THRESHOLD", 10)
     assert rank(hub, tol=1e-3, num_partitions=4).converged and not steps
     assert blocks.choose_blocks(10**12, None, 10**5, 12) is None and blocks.choose_blocks(270_000_000, None, 600, 12) == 12
     assert rank(edges([]), tol=1e-3).ranks.count() == 0
@@ -76,6 +76,17 @@ def test_hubs_and_small_graphs_stay_on_rows(spark, edges, steps, monkeypatch):
     assert blocks.choose_blocks(750_000, None, 600, 12) is None
 
 
+def test_a_threshold_above_every_degree_leaves_no_hub(graph, steps, monkeypatch):
+    # a threshold that would broadcast too many hubs is raised, here above every out-degree: nothing
+    # is left to lay out as a hub, and the run need not go on rows for it
+    monkeypatch.setattr("vertexrank.plans.layout.HOT_BROADCAST_MAX_ROWS", 5)
+    with pytest.warns(UserWarning, match="would broadcast"):
+        got = rank(graph, tol=0.5, order_free=True, num_partitions=3, hot_threshold=16)
+    assert len(steps) == got.iterations
+    want = rank(graph, tol=0.5, order_free=True, dense_ids=False)
+    assert got.deltas == want.deltas and as_dict(got.ranks) == as_dict(want.ranks)
+
+
 def test_each_partition_has_one_label(spark):
     for n in (1, 7, 64):
         labels = blocks.block_labels(spark, n)

@@ -29,7 +29,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.layout import BROADCAST_MAX_VERTICES, GraphLayout, build_layout
+from ..plans.layout import BROADCAST_MAX_VERTICES, GraphLayout, build_layout, choose_hubs
 from ..plans.lineage import cut_lineage, keep, release
 from ..plans.saved import SavedGraph
 from ..session import list_folder, path_exists, sql_conf
@@ -88,8 +88,8 @@ def rank(
     so a step shuffles eight bytes per id; results carry the keys. ``None`` (default) does
     so for string keys where more than ``NUMBERED_STEPS`` steps are possible and no history is
     written, with numbers that need no order (``vertex_numbers``), and large graphs without
-    hubs step on blocks of vertices (``plans/blocks.py``) unless ``hot_threshold`` is given;
-    ``False`` never.
+    hubs (out-degrees above the hub threshold in force) step on blocks of vertices
+    (``plans/blocks.py``); ``False`` never.
     ``order_free=True`` adds up in integers (``functions/sums.py``): ranks, changes
     and so the number of steps are the same to the last bit for any partitioning.
     ``num_partitions=None`` sizes the loop's partitions from the edge count; a given
@@ -135,14 +135,14 @@ def rank(
             else:
                 numbered = dense_ids
             if numbered:
-                if dense_ids is None and hot_threshold is None:
+                if dense_ids is None:
                     from ..plans import blocks  # numpy and pyarrow are needed for these runs only
 
                     session_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
                     n_blocks = blocks.choose_blocks(n_edges, num_partitions, session_partitions, spark.sparkContext.defaultParallelism)
                 if n_blocks:
                     dictionary = blocks.block_numbers(clean, n_blocks)
-                    if blocks.has_hubs(dictionary, n_edges, n_blocks):
+                    if choose_hubs(dictionary, n_edges, n_blocks, hot_threshold)[1]:  # hubs are laid out on rows
                         n_blocks = None
                 else:
                     dictionary = keep(vertex_dictionary(clean), names) if dense_ids else vertex_numbers(clean)
